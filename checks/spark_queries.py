@@ -21,6 +21,7 @@ from poseval.operators import positions as N
 from poseval.operators import quality as Q
 from poseval.operators import simplify as S
 from poseval.operators import text as X
+from poseval.session import stage
 
 ORD = ["row_id"]
 LINE = ["row_id", "line_no", "part", "supp"]
@@ -71,7 +72,8 @@ def fen_fields(spark, folder):
 
 
 def dedupe_key(spark, folder):
-    return T.positions(spark, folder).select("row_id", P.dedupe_key(F.col("fen")).alias("dedupe_key"))
+    rows = T.positions(spark, folder).withColumn("parts", P.tokens(F.col("fen")))
+    return rows.select("row_id", P.dedupe_key(F.col("fen"), F.col("parts")).alias("dedupe_key"))
 
 
 def board64(spark, folder):
@@ -167,7 +169,7 @@ def castling_letter_distribution(spark, folder):
 
 
 def castling_distribution_by_decile(spark, folder):
-    rows = _with_move(O.decile_of(_orders(spark, folder)))
+    rows = _with_move(O.with_decile(_orders(spark, folder)))
     return Q.letter_snapshots(K.with_encode_error(rows))
 
 
@@ -177,10 +179,9 @@ def bad_castling_scan(spark, folder):
 
 
 def castling_possible(spark, folder):
-    rows = N.with_fen_fields(T.positions(spark, folder))
-    return rows.select(
-        "row_id", P.castling_possible(P.wide_board(F.col("board")), F.col("castling")).alias("possible")
-    )
+    rows = N.with_legality(T.positions(spark, folder))
+    possible = F.col("board_ok") & P.castling_possible(F.col("wide"), F.col("castling"))
+    return rows.select("row_id", possible.alias("possible"))
 
 
 def position_key(spark, folder):
@@ -228,7 +229,8 @@ def duplicate_fens(spark, folder):
 
 
 def rows_with_duplicate_key(spark, folder):
-    return A.rows_with_duplicate_key(_simplified(spark, folder)).select(_key(), "fen", "depth")
+    table = stage(_simplified(spark, folder), "simplified")
+    return A.rows_with_duplicate_key(table).select(_key(), "fen", "depth")
 
 
 def lookup_key(spark, folder):

@@ -167,13 +167,30 @@ FROM {documents} d JOIN {corpus} a ON a.pos_id = d.doc_id % 47 JOIN {corpus} b O
 SPARK_TYPES = {"wide": "DECIMAL(38,0)", "text": "STRING"}
 
 
+SPLIT_BYTES = 128 << 20
+
+
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _spread(spark: SparkSession, table: DataFrame) -> DataFrame:
+    """Use all cores on a table smaller than one split per core.
+
+    The given tables are single files with one row group, which one task would
+    read and compute on alone. Larger inputs are read in enough splits already.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    files = table.inputFiles()
+    if len(files) >= cores:
+        return table
+    size = spark.read.format("binaryFile").load(files).selectExpr("sum(length)").first()[0]
+    return table.repartition(cores) if size < cores * SPLIT_BYTES else table
+
+
 def _derive(spark: SparkSession, folder: str, sql: str, *tables: str) -> DataFrame:
     """Run shared SQL with the tables it names."""
-    frames = {t: spark.sql(CORPUS_SQL) if t == "corpus" else load(spark, folder, t) for t in tables}
+    frames = {t: spark.sql(CORPUS_SQL) if t == "corpus" else _spread(spark, load(spark, folder, t)) for t in tables}
     text = sql.format(**SPARK_TYPES, **{t: f"{{{t}}}" for t in tables})
     return spark.sql(text, **frames)
 

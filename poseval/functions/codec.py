@@ -72,14 +72,19 @@ def _hex_le16(value: Column) -> Column:
     return F.concat(_hex_byte(low), _hex_byte(high))
 
 
-def board34_hex(board: Column, side: Column, castling: Column, ep: Column) -> Column:
+def board34_hex(expanded: Column, side: Column, castling: Column, ep: Column) -> Column:
     """68 hex digits: two squares per byte, low nibble first, then two state bytes."""
-    nibbles = F.translate(P.board64(board), NIBBLE_PIECES, NIBBLE_HEX)
+    nibbles = F.translate(P.board64(expanded), NIBBLE_PIECES, NIBBLE_HEX)
     state = F.when(side == "b", 1).otherwise(0)
     for letter, bit in STATE_BITS.items():
         state = state + F.when(castling.contains(letter), bit).otherwise(0)
     square = F.when(ep == "-", NO_SQUARE).otherwise(P.square_index(ep))
-    return F.concat(F.regexp_replace(nibbles, "(.)(.)", "$2$1"), _hex_byte(state), _hex_byte(square))
+    return F.concat(_swap_pairs(nibbles), _hex_byte(state), _hex_byte(square))
+
+
+def _swap_pairs(digits: Column) -> Column:
+    """Exchange the two digits of every byte."""
+    return F.regexp_replace(digits, "(.)(.)(.)(.)(.)(.)(.)(.)", "$2$1$4$3$6$5$8$7")
 
 
 def encode_entry(score: Column, depth: Column, move_meta: Column, board34: Column) -> Column:
@@ -103,7 +108,7 @@ def decode_entry(entry: Column) -> Column:
 
     meta = le16(7)
     state, square = number(75), number(77)
-    squares = F.translate(F.regexp_replace(F.substring(text, 11, 64), "(.)(.)", "$2$1"), NIBBLE_HEX, NIBBLE_PIECES)
+    squares = F.translate(_swap_pairs(F.substring(text, 11, 64)), NIBBLE_HEX, NIBBLE_PIECES)
     score = F.when(le16(1) >= 32768, le16(1) - 65536).otherwise(le16(1))
     letters = F.concat(
         *[F.when(state.bitwiseAND(F.lit(bit)) != 0, letter).otherwise("") for letter, bit in STATE_BITS.items()]

@@ -5,65 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from poseval.functions.position import first_token
 
-
-def best_eval_first(evals: Column) -> Column:
-    """Struct ``(eval, mate, depth, first_move)`` of the deepest usable entry.
-
-    Entries without depth or without any principal variation are skipped; the
-    first of equally deep entries wins; NULL when nothing is usable. One pass:
-    the greatest struct by (depth, -position), values riding behind.
-    """
+def _deepest(evals: Column, first: bool) -> Column:
+    """Greatest entry by (depth, position), its values riding behind."""
 
     def candidate(entry: Column, nth: Column) -> Column:
         pv = F.get(entry["pvs"], F.lit(0))
-        usable = entry["depth"].isNotNull() & (F.size(entry["pvs"]) > 0)
-        return F.when(
-            usable,
-            F.struct(
-                entry["depth"].cast("int").alias("depth"),
-                (-nth).alias("nth"),
-                pv["cp"].cast("int").alias("eval"),
-                pv["mate"].cast("int").alias("mate"),
-                pv["line"].alias("line"),
-            ),
+        found = F.struct(
+            entry["depth"].cast("int").alias("depth"),
+            (-nth if first else nth).alias("nth"),
+            (F.size(entry["pvs"]) > 0).alias("usable"),
+            pv["cp"].cast("int").alias("eval"),
+            pv["mate"].cast("int").alias("mate"),
+            *([pv["line"].alias("line")] if first else []),
         )
+        return F.when(entry["depth"].isNotNull() & (F.size(entry["pvs"]) > 0), found) if first else found
 
-    best = F.array_max(F.transform(evals, candidate))
-    return F.when(
-        best.isNotNull(),
-        F.struct(
-            best["eval"].alias("eval"),
-            best["mate"].alias("mate"),
-            best["depth"].alias("depth"),
-            first_token(best["line"]).alias("first_move"),
-        ),
-    )
+    return F.array_max(F.transform(evals, candidate))
 
 
-def best_eval_last(evals: Column) -> Column:
-    """Struct ``(eval, mate, depth)`` of the deepest entry, the last on ties.
+def best_eval_first(evals: Column) -> Column:
+    """Struct with ``depth, usable, eval, mate, line`` of the deepest usable entry.
 
-    The entry is chosen before its variations are looked at, so a deepest entry
-    without any gives NULL for the row.
+    Entries without depth or without any principal variation are skipped; the
+    first of equally deep entries wins; NULL when nothing is usable.
     """
+    return _deepest(evals, first=True)
 
-    def candidate(entry: Column, nth: Column) -> Column:
-        pv = F.get(entry["pvs"], F.lit(0))
-        return F.struct(
-            entry["depth"].cast("int").alias("depth"),
-            nth.alias("nth"),
-            (F.size(entry["pvs"]) > 0).alias("usable"),
-            pv["cp"].cast("int").alias("eval"),
-            pv["mate"].cast("int").alias("mate"),
-        )
 
-    best = F.array_max(F.transform(evals, candidate))
-    return F.when(
-        best["usable"],
-        F.struct(best["eval"].alias("eval"), best["mate"].alias("mate"), best["depth"].alias("depth")),
-    )
+def best_eval_last(evals: Column) -> Column:
+    """Struct with ``depth, usable, eval, mate`` of the deepest entry, the last on ties.
+
+    The entry is chosen before its variations are looked at: ``usable`` is
+    false when it has none, and then the row has no evaluation.
+    """
+    return _deepest(evals, first=False)
 
 
 def row_longest_depth(evals: Column) -> Column:

@@ -73,10 +73,10 @@ def state_codes(squares: Column, flags: Column, ep_file: Column, side: Column) -
     )
 
 
-def effective_state(board: Column, side: Column, castling: Column, ep: Column, wide: Column) -> Column:
+def effective_state(squares: Column, side: Column, castling: Column, ep: Column, wide: Column) -> Column:
     """State with castling rights the board supports and legal ep only."""
     file = F.when(P.legal_ep(wide, side, ep), F.substring(ep, 1, 1)).otherwise("-")
-    return state_codes(P.board64(board), P.castling_flags(wide, castling), file, side)
+    return state_codes(squares, P.castling_flags(wide, castling), file, side)
 
 
 def key_by_arrow(state: Column, constants: list[tuple[int, int]]) -> Column:

@@ -30,11 +30,10 @@ def first_token(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, r"(?U)\S+", 0), F.lit(""))
 
 
-def dedupe_key(fen: Column, parts: Column | None = None) -> Column:
+def dedupe_key(fen: Column, parts: Column) -> Column:
     """Everything but castling rights; short texts only equal themselves."""
-    p = tokens(fen) if parts is None else parts
     return F.when(
-        F.size(p) >= 4, F.concat_ws(" ", F.get(p, F.lit(0)), F.get(p, F.lit(1)), F.get(p, F.lit(3)))
+        F.size(parts) >= 4, F.concat_ws(" ", *[F.get(parts, F.lit(i)) for i in (0, 1, 3)])
     ).otherwise(F.concat(F.lit("raw:"), fen))
 
 
@@ -50,18 +49,18 @@ def contract_dots(board: Column) -> Column:
     return board
 
 
-def board_valid(board: Column) -> Column:
-    return board.rlike(BOARD_TEXT) & expand_digits(board).rlike(BOARD_FULL)
+def board_ok(board: Column, expanded: Column) -> Column:
+    """Eight ranks of eight squares; ``expanded`` is ``expand_digits(board)``."""
+    return board.rlike(BOARD_TEXT) & expanded.rlike(BOARD_FULL)
 
 
-def board64(board: Column) -> Column:
-    """64-character board, or NULL when the board text is not valid."""
-    ranks = F.reverse(F.split(expand_digits(board), "/"))
-    return F.when(board_valid(board), F.concat_ws("", ranks))
+def board64(expanded: Column) -> Column:
+    """64 characters of a valid expanded board, a1 first."""
+    return F.concat(*[F.substring(expanded, 64 - 9 * r, 8) for r in range(8)])
 
 
-def wide_board(board: Column) -> Column:
-    return F.when(board_valid(board), F.replace(expand_digits(board), F.lit("/"), F.lit("//")))
+def wide_board(expanded: Column) -> Column:
+    return F.replace(expanded, F.lit("/"), F.lit("//"))
 
 
 def board_from_board64(squares: Column) -> Column:
@@ -69,11 +68,11 @@ def board_from_board64(squares: Column) -> Column:
     return contract_dots(F.concat_ws("/", *ranks))
 
 
-def fen_error(n_fields: Column, board: Column, side: Column, castling: Column, ep: Column) -> Column:
+def fen_error(n_fields: Column, valid_board: Column, side: Column, castling: Column, ep: Column) -> Column:
     """Name of the first failing check of the compact encoding, or NULL."""
     return (
         F.when(n_fields < 4, "fields")
-        .when(~board_valid(board), "board")
+        .when(~valid_board, "board")
         .when(~side.isin("w", "b"), "side")
         .when((castling != "-") & castling.rlike("[^KQkq]"), "castling")
         .when((ep != "-") & ~ep.rlike(SQUARE), "ep")
@@ -109,10 +108,10 @@ def home_right(wide: Column, right: str) -> Column:
 
 def castling_possible(wide: Column, castling: Column) -> Column:
     """Every letter is one of KQkq and has king and rook at home."""
-    ok = castling.rlike(r"^[KQkq]+\z") & wide.isNotNull()
+    ok = castling.rlike(r"^[KQkq]+\z")
     for right in _HOME:
         ok = ok & (~castling.contains(right) | home_right(wide, right))
-    return F.coalesce(ok, F.lit(False))
+    return ok
 
 
 def castling_invalid(wide: Column, castling: Column) -> Column:
@@ -135,45 +134,42 @@ def castling_flags(wide: Column, castling: Column) -> Column:
 # --- attacks --------------------------------------------------------------
 
 
-def _line(king: str, sliders: str, step: int) -> list[str]:
-    gap = f".{{{step - 1}}}" if step > 1 else ""
-    hop = rf"{gap}(?:\.{gap})*"
-    return [king + hop + sliders, sliders + hop + king]
+# Steps in the wide board; the backward half of each is read in the reversed text.
+_STRAIGHT, _DIAGONAL, _KNIGHT, _KING, _PAWN = (1, 10), (9, 11), (8, 12, 19, 21), (1, 9, 10, 11), (9, 11)
 
 
-def _jump(a: str, b: str, step: int) -> str:
-    return f"{a}.{{{step - 1}}}{b}"
+def _skip(step: int) -> str:
+    return f".{{{step - 1}}}" if step > 1 else ""
 
 
-def _attack_patterns(white: bool) -> list[str]:
-    king, rq, bq, knight, other, pawn = (
-        ("K", "[rq]", "[bq]", "n", "k", "p") if white else ("k", "[RQ]", "[BQ]", "N", "K", "P")
-    )
-    found = []
-    for step in (1, 10):
-        found += _line(king, rq, step)
-    for step in (9, 11):
-        found += _line(king, bq, step)
-    for step in (8, 12, 19, 21):
-        found += [_jump(king, knight, step), _jump(knight, king, step)]
-    for step in (1, 9, 10, 11):
-        found += [_jump(king, other, step), _jump(other, king, step)]
-    for step in (9, 11):
-        found.append(_jump(pawn, king, step) if white else _jump(king, pawn, step))
+def _slide(step: int) -> str:
+    return rf"{_skip(step)}(?:\.{_skip(step)})*"
+
+
+def _attackers(white: bool, forward: bool) -> list[str]:
+    """What may follow an attacked king, one pattern per line or jump.
+
+    ``forward`` reads towards the first rank, else the text is reversed. Black
+    pawns attack the white king from the ranks above it, white pawns the black
+    king from below.
+    """
+    rook, bishop, knight, king, pawn = ("[rq]", "[bq]", "n", "k", "p") if white else ("[RQ]", "[BQ]", "N", "K", "P")
+    found = [_slide(s) + rook for s in _STRAIGHT] + [_slide(s) + bishop for s in _DIAGONAL]
+    found += [_skip(s) + knight for s in _KNIGHT] + [_skip(s) + king for s in _KING]
+    if forward != white:
+        found += [_skip(s) + pawn for s in _PAWN]
     return found
 
 
+def _king(white: bool) -> str:
+    return "K" if white else "k"
+
+
 def _aligned_pattern(white: bool) -> str:
     """Two sliders on one line through the king."""
-    king = "K" if white else "k"
-    both = []
-    for sliders, steps in (("[rq]", (1, 10)), ("[bq]", (9, 11))):
-        sliders = sliders if white else sliders.upper()
-        for step in steps:
-            gap = f".{{{step - 1}}}" if step > 1 else ""
-            hop = rf"{gap}(?:\.{gap})*"
-            both.append(sliders + hop + king + hop + sliders)
-    return "|".join(both)
+    rook, bishop = ("[rq]", "[bq]") if white else ("[RQ]", "[BQ]")
+    lines = [(rook, s) for s in _STRAIGHT] + [(bishop, s) for s in _DIAGONAL]
+    return "|".join(who + _slide(s) + _king(white) + _slide(s) + who for who, s in lines)
 
 
 def _by_side(side: Column, white: Column, black: Column) -> Column:
@@ -182,11 +178,12 @@ def _by_side(side: Column, white: Column, black: Column) -> Column:
 
 def king_attacked(wide: Column, side: Column) -> Column:
     """The king of ``side`` stands on an attacked square."""
-    return _by_side(
-        side,
-        wide.rlike("|".join(_attack_patterns(True))),
-        wide.rlike("|".join(_attack_patterns(False))),
-    )
+
+    def attacked(white: bool) -> Column:
+        ahead, behind = (f"{_king(white)}(?:{'|'.join(_attackers(white, f))})" for f in (True, False))
+        return wide.rlike(ahead) | F.reverse(wide).rlike(behind)
+
+    return _by_side(side, attacked(True), attacked(False))
 
 
 def other_side(side: Column) -> Column:
@@ -197,7 +194,11 @@ def impossible_check(wide: Column, side: Column) -> Column:
     """Three or more checkers, or two sliders on one line through the king."""
 
     def count(white: bool) -> Column:
-        return sum((wide.rlike(p).cast("int") for p in _attack_patterns(white)), F.lit(0))
+        total = F.lit(0)
+        for forward, text in ((True, wide), (False, F.reverse(wide))):
+            for pattern in _attackers(white, forward):
+                total = total + text.rlike(_king(white) + pattern).cast("int")
+        return total
 
     many = _by_side(side, count(True), count(False)) >= 3
     aligned = _by_side(side, wide.rlike(_aligned_pattern(True)), wide.rlike(_aligned_pattern(False)))
@@ -284,11 +285,13 @@ def unbuildable(wide: Column, squares: Column, side: Column) -> Column:
     )
 
 
-def syntax_error(n_fields: Column, board: Column, side: Column, castling: Column, ep: Column, clocks: Column) -> Column:
+def syntax_error(
+    n_fields: Column, valid_board: Column, side: Column, castling: Column, ep: Column, clocks: Column
+) -> Column:
     """Text that is no position at all; missing trailing fields have defaults."""
     return (
         F.when((n_fields < 1) | (n_fields > 6) | ~clocks.rlike(r"^[0-9 ]*\z"), "fields")
-        .when(~board_valid(board), "board")
+        .when(~valid_board, "board")
         .when(~side.isin("w", "b"), "side")
         .when(~castling.rlike(r"^(-|[KQkqA-Ha-h]+)\z"), "castling")
         .when((ep != "-") & ~ep.rlike(SQUARE), "ep")

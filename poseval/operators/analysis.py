@@ -7,10 +7,11 @@ must fit one row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from poseval.schema import require_columns
+from poseval.schema import key64_column, require_columns, to_unsigned, unsigned_order
+from poseval.session import stage
 
 
 def lookup_key(df: DataFrame, key: int | str) -> DataFrame:
@@ -18,33 +19,47 @@ def lookup_key(df: DataFrame, key: int | str) -> DataFrame:
     return df.where(F.col("zobr64") == F.lit(str(key)).cast(df.schema["zobr64"].dataType))
 
 
+def _repeated(df: DataFrame, *more: Column) -> DataFrame:
+    """``key64``, ``n`` and ``more`` per key that occurs more than once."""
+    keyed = df.withColumn("key64", key64_column(df))
+    return keyed.groupBy("key64").agg(F.count(F.lit(1)).alias("n"), *more).where("n > 1")
+
+
 def duplicate_keys(df: DataFrame, n: int | None = None, ord: str = "ord") -> DataFrame:
     """Keys with more than one row, by first appearance; ``n`` keeps the top."""
     require_columns(df, ["zobr64", ord])
     found = (
-        df.groupBy("zobr64")
-        .agg(F.count(F.lit(1)).alias("count"), F.min(ord).alias("first_idx"))
-        .where("count > 1")
+        _repeated(df.select("zobr64", ord), F.min(ord).alias("first_idx"))
+        .select(to_unsigned(F.col("key64")).alias("zobr64"), F.col("n").alias("count"), "first_idx")
         .orderBy("first_idx")
     )
     return found if n is None else found.limit(n)
 
 
+# Keys up to which a key list is sent to every task, 8 bytes each.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
 def rows_with_duplicate_key(df: DataFrame) -> DataFrame:
     """All rows whose key occurs more than once.
 
-    The key list comes from a partial aggregate; the semi join is unhinted, so
-    Spark broadcasts that list only when its measured size allows and splits a
-    skewed key otherwise.
+    The key list is reduced by partial aggregation, stored in the shared folder
+    and counted. A short list is broadcast, so the table itself is not
+    shuffled; a long one is joined by sort and merge, where a key that holds
+    much of the table is split as a skewed partition.
     """
-    repeated = df.groupBy("zobr64").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("zobr64")
-    return df.join(repeated, "zobr64", "left_semi")
+    require_columns(df, ["zobr64"])
+    keys = stage(_repeated(df.select("zobr64")).select("key64"), "duplicate-keys")
+    if keys.count() <= MAX_BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return df.withColumn("key64", key64_column(df)).join(keys, "key64", "left_semi").select(*df.columns)
 
 
 def _distinct_positions(df: DataFrame) -> DataFrame:
-    """(key, fen) with copies, for duplicated keys; a hot key spreads by fen."""
-    repeated = rows_with_duplicate_key(df.select("zobr64", "fen"))
-    return repeated.groupBy("zobr64", "fen").agg(F.count(F.lit(1)).alias("copies"))
+    """(key64, fen) with copies, for duplicated keys; a hot key spreads by fen."""
+    rows = rows_with_duplicate_key(df.select("zobr64", "fen"))
+    keyed = rows.select(key64_column(rows).alias("key64"), "fen")
+    return keyed.groupBy("key64", "fen").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def collision_profile(df: DataFrame) -> DataFrame:
@@ -56,14 +71,14 @@ def collision_profile(df: DataFrame) -> DataFrame:
     parts = F.split("fen", " ")
     field = lambda i: F.coalesce(F.get(parts, F.lit(i)), F.lit("\u0000"))
     cells = _distinct_positions(df).select(
-        "zobr64",
+        "key64",
         "copies",
         field(0).alias("board"),
         field(1).alias("turn"),
         field(2).alias("castling"),
         field(3).alias("ep"),
     )
-    profile = cells.groupBy("zobr64").agg(
+    profile = cells.groupBy("key64").agg(
         F.sum("copies").alias("rows"),
         F.count(F.lit(1)).alias("fen_unique"),
         *[F.countDistinct(c).alias(f"{c}_unique") for c in ("board", "turn", "castling", "ep")],
@@ -74,14 +89,18 @@ def collision_profile(df: DataFrame) -> DataFrame:
         & (F.col("ep_unique") == 1)
         & (F.col("castling_unique") > 1)
     )
-    return profile.withColumn("castle_rights_only", only).withColumn(
-        "difference_type", F.when(only, "castle_rights_only").otherwise("other_fen_difference")
-    )
+    kind = F.when(F.col("castle_rights_only"), "castle_rights_only").otherwise("other_fen_difference")
+    return profile.select(
+        to_unsigned(F.col("key64")).alias("zobr64"),
+        *[c for c in profile.columns if c != "key64"],
+        only.alias("castle_rights_only"),
+    ).withColumn("difference_type", kind)
 
 
 def collision_fens(df: DataFrame) -> DataFrame:
     """The positions of every duplicated key, sorted, with their copies."""
-    return _distinct_positions(df).orderBy("zobr64", "fen")
+    found = _distinct_positions(df).select(to_unsigned(F.col("key64")).alias("zobr64"), "fen", "copies")
+    return found.orderBy("zobr64", "fen")
 
 
 def collision_summary(df: DataFrame) -> DataFrame:
@@ -90,7 +109,7 @@ def collision_summary(df: DataFrame) -> DataFrame:
 
 def duplicate_summary(df: DataFrame) -> DataFrame:
     """Rows, and rows that repeat the key of another row already counted."""
-    per_key = df.groupBy("zobr64").agg(F.count(F.lit(1)).alias("n"))
+    per_key = df.groupBy(key64_column(df).alias("key64")).agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
@@ -98,41 +117,34 @@ def duplicate_summary(df: DataFrame) -> DataFrame:
 
 
 def duplicated_keys(df: DataFrame, n: int = 20) -> DataFrame:
-    """The first ``n`` duplicated keys in key order."""
+    """The first ``n`` duplicated keys in key order, with their rows."""
     return (
-        df.groupBy("zobr64")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where("rows > 1")
-        .orderBy("zobr64")
+        _repeated(df.select("zobr64"))
+        .orderBy(unsigned_order(F.col("key64")))
         .limit(n)
+        .select(to_unsigned(F.col("key64")).alias("zobr64"), F.col("n").alias("rows"))
     )
 
 
-# Largest key list that is sent to every task.
-MAX_BROADCAST_KEYS = 10_000
-
-
 def duplicate_fens(df: DataFrame, n: int = 20, ord: str = "ord") -> DataFrame:
     """Distinct positions of the first ``n`` duplicated keys.
 
     Rows ``(zobr64, rows, unique_fens, first_idx, fen)``, by key and first
-    appearance. At most ``n`` keys take part, which bounds the broadcast.
+    appearance. At most ``n`` keys take part, which bounds both broadcasts.
     """
     require_columns(df, ["zobr64", "fen", ord])
+    small = F.broadcast if n <= MAX_BROADCAST_KEYS else lambda d: d
     keys = duplicated_keys(df, n)
-    if n <= MAX_BROADCAST_KEYS:
-        keys = F.broadcast(keys)
+    keys = keys.select(key64_column(keys).alias("key64"), "rows")
     fens = (
-        df.select("zobr64", "fen", F.col(ord).alias("_ord"))
-        .join(keys, "zobr64")
-        .groupBy("zobr64", "rows", "fen")
+        df.select(key64_column(df).alias("key64"), "fen", F.col(ord).alias("_ord"))
+        .join(small(keys), "key64")
+        .groupBy("key64", "rows", "fen")
         .agg(F.min("_ord").alias("first_idx"))
     )
-    counts = fens.groupBy("zobr64").agg(F.count(F.lit(1)).alias("unique_fens"))
-    if n <= MAX_BROADCAST_KEYS:
-        counts = F.broadcast(counts)
+    counts = fens.groupBy("key64").agg(F.count(F.lit(1)).alias("unique_fens"))
     return (
-        fens.join(counts, "zobr64")
-        .select("zobr64", "rows", "unique_fens", "first_idx", "fen")
+        fens.join(small(counts), "key64")
+        .select(to_unsigned(F.col("key64")).alias("zobr64"), "rows", "unique_fens", "first_idx", "fen")
         .orderBy("zobr64", "first_idx")
     )

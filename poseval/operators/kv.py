@@ -7,8 +7,20 @@ from pyspark.sql import functions as F
 
 from poseval.functions import codec as C
 from poseval.functions import position as P
-from poseval.operators.positions import with_fen_fields
-from poseval.schema import key64_column, key_bytes, require_columns, to_unsigned
+from poseval.operators.positions import with_board
+from poseval.schema import compute_once, key64_column, key_bytes, require_columns, to_unsigned
+
+
+def _checked(df: DataFrame) -> DataFrame:
+    """Add the parsed position and ``encode_error``."""
+    require_columns(df, ["eval", "mate", "fen", "first_move"])
+    fen_error = P.fen_error(*[F.col(c) for c in ("n_fields", "board_ok", "side", "castling", "ep")])
+    error = (
+        F.when(F.col("eval").isNull() & F.col("mate").isNull(), "score")
+        .when(C.move_error(F.col("first_move")), "move")
+        .otherwise(fen_error)
+    )
+    return with_board(df).withColumn("encode_error", error)
 
 
 def with_encode_error(df: DataFrame) -> DataFrame:
@@ -17,35 +29,22 @@ def with_encode_error(df: DataFrame) -> DataFrame:
     Checks run in a fixed order: score, move, fields, board, side, castling,
     ep; an earlier failure hides a later one.
     """
-    require_columns(df, ["eval", "mate", "fen", "first_move"])
-    columns = [F.col(c) for c in df.columns]
-    fields = with_fen_fields(df).withColumn(
-        "fen_error", P.fen_error(*[F.col(c) for c in ("n_fields", "board", "side", "castling", "ep")])
-    )
-    error = (
-        F.when(F.col("eval").isNull() & F.col("mate").isNull(), "score")
-        .when(C.move_error(F.col("first_move")), "move")
-        .otherwise(F.col("fen_error"))
-    )
-    return fields.select(*columns, "castling", error.alias("encode_error")).select(
-        *columns,
-        "encode_error",
-        P.bad_castling_letter(F.col("encode_error"), F.col("castling")).alias("bad_letter"),
-    )
+    letter = P.bad_castling_letter(F.col("encode_error"), F.col("castling"))
+    found = F.struct("encode_error", letter.alias("bad_letter"))
+    return compute_once(_checked(df), df.columns, found, "_found").select(*df.columns, "_found.*")
 
 
 def with_entry(df: DataFrame) -> DataFrame:
     """Add the 39-byte ``entry``; rows that cannot be encoded are left out."""
-    require_columns(df, ["eval", "mate", "depth", "fen", "first_move"])
-    columns = [F.col(c) for c in df.columns]
-    valid = with_fen_fields(with_encode_error(df).where("encode_error IS NULL"))
+    require_columns(df, ["depth"])
     entry = C.encode_entry(
         C.score_of(F.col("eval"), F.col("mate")),
         F.col("depth"),
         C.pack_move(F.col("first_move"), C.score_kind(F.col("mate"))),
-        C.board34_hex(*[F.col(c) for c in ("board", "side", "castling", "ep")]),
+        C.board34_hex(*[F.col(c) for c in ("expanded", "side", "castling", "ep")]),
     )
-    return valid.select(*columns, entry.alias("entry"))
+    valid = F.when(F.col("encode_error").isNull(), entry)
+    return compute_once(_checked(df), df.columns, valid, "entry").where("entry IS NOT NULL")
 
 
 def kv_all_entries(df: DataFrame, order: list[str] | None = None) -> DataFrame:

@@ -8,8 +8,6 @@ never windowed, joined or shuffled for them.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,14 +48,20 @@ def rows_per_file(df: DataFrame) -> DataFrame:
     return counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("bigint")))
 
 
+# Files up to which the offsets are sent to every task, about 100 bytes each.
+MAX_BROADCAST_FILES = 200_000
+
+
 def with_row_ordinal(df: DataFrame, name: str = "ord") -> DataFrame:
     """Add the 0-based arrival ordinal of every row of a file scan.
 
-    The offsets join is left unhinted: Spark broadcasts the per-file table when
-    its measured size is under the session's threshold and otherwise sorts and
+    The offsets are one small row per file. Up to a checked number of files
+    they are broadcast and the data stays in place; beyond it Spark sorts and
     merges, splitting large files as skewed partitions.
     """
     offsets = rows_per_file(df).select(FILE, "before")
+    if len(df.inputFiles()) <= MAX_BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
     columns = [F.col(c) for c in df.columns]
     return (
         with_location(df)
@@ -70,18 +74,23 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def locate(df: DataFrame, ordinals: list[int]) -> list[tuple[str, int] | None]:
-    """(file, row) of each ordinal; None past the end. One row per ordinal."""
-    per_file = rows_per_file(df)
-    targets = df.sparkSession.createDataFrame([(int(o),) for o in ordinals], "target bigint")
-    inside = (F.col("target") >= F.col("before")) & (F.col("target") < F.col("before") + F.col("n"))
-    found = (
-        per_file.join(F.broadcast(targets), inside)
-        .select("target", FILE, (F.col("target") - F.col("before")).alias("row"))
+def locate(df: DataFrame, ordinals: list[Column]) -> list[tuple[str, int] | None]:
+    """(file, row) of each ordinal; None past the end.
+
+    An ordinal may be computed from ``total``, the row count. One job over the
+    table of files; one row per ordinal comes back.
+    """
+    every = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    per_file = rows_per_file(df).withColumn("total", F.sum("n").over(every))
+    wanted = F.array(*[o.cast("bigint") for o in ordinals])
+    spots = (
+        per_file.select(FILE, "n", "before", F.posexplode(wanted).alias("nth", "target"))
+        .where((F.col("target") >= F.col("before")) & (F.col("target") < F.col("before") + F.col("n")))
+        .select("nth", FILE, (F.col("target") - F.col("before")).alias("row"))
         .collect()
     )
-    spots = {r["target"]: (r[FILE], r["row"]) for r in found}
-    return [spots.get(int(o)) for o in ordinals]
+    found = {s["nth"]: (s[FILE], s["row"]) for s in spots}
+    return [found.get(i) for i in range(len(ordinals))]
 
 
 def _before(spot: tuple[str, int] | None) -> Column:
@@ -96,38 +105,32 @@ def slice_rows(df: DataFrame, offset: int, length: int) -> DataFrame:
     """Rows ``offset .. offset + length - 1`` in arrival order."""
     if offset < 0 or length < 0:
         raise ValueError("offset and length must not be negative")
-    start, end = locate(df, [offset, offset + length])
+    start, end = locate(df, [F.lit(offset), F.lit(offset + length)])
     located = with_location(df)
     if start is None:
         return located.where(F.lit(False)).drop(FILE, ROW)
     return located.where(~_before(start) & _before(end)).drop(FILE, ROW)
 
 
-def head_rows(total: int, percent: float) -> int:
-    """``ceil(total * percent / 100)`` kept within 1..total."""
+def head_percent(df: DataFrame, percent: float) -> DataFrame:
+    """The first ``ceil(rows * percent / 100)`` rows of a file scan, at least one."""
     if not 0 < percent <= 100:
         raise ValueError("percent must be in (0, 100]")
-    return min(max(math.ceil(total * (percent / 100.0)), 1), total)
-
-
-def head_percent(df: DataFrame, percent: float) -> DataFrame:
-    """The first ``percent`` of the rows of a file scan, in arrival order."""
-    head_rows(1, percent)
-    total = df.count()
-    if total == 0:
+    wanted = F.ceil(F.col("total") * F.lit(percent / 100.0))
+    first, end = locate(df, [F.lit(0), F.least(F.greatest(wanted, F.lit(1)), F.col("total"))])
+    if first is None:
         raise ValueError("input holds no rows")
-    return slice_rows(df, 0, head_rows(total, percent))
+    return with_location(df).where(_before(end)).drop(FILE, ROW)
 
 
-def decile_of(df: DataFrame) -> DataFrame:
+def with_decile(df: DataFrame) -> DataFrame:
     """Add ``percent``: the first of 10, 20, .. 100 whose prefix holds the row.
 
     The prefix at p holds ``ceil(rows * p / 100)`` rows; nine boundaries
     decide, so the scan needs no join.
     """
-    total = df.count()
     percents = list(range(10, 100, 10))
-    spots = locate(df, [-(-total * p // 100) for p in percents])
+    spots = locate(df, [F.ceil(F.col("total") * p / 100) for p in percents])
     label = F.lit(100)
     for percent, spot in reversed(list(zip(percents, spots))):
         label = F.when(_before(spot), percent).otherwise(label)

@@ -30,47 +30,52 @@ def with_fen_fields(df: DataFrame, fen: str = "fen") -> DataFrame:
     ).drop("_parts")
 
 
-FIELD_COLUMNS = ["n_fields", "board", "side", "castling", "ep", "clocks"]
+FIELD_COLUMNS = ["n_fields", "board_ok", "side", "castling", "ep", "clocks"]
+
+
+def with_board(df: DataFrame) -> DataFrame:
+    """Add the FEN fields, the ``expanded`` board and ``board_ok``."""
+    fields = with_fen_fields(df).withColumn("expanded", P.expand_digits(F.col("board")))
+    return fields.withColumn("board_ok", P.board_ok(F.col("board"), F.col("expanded")))
 
 
 def with_board64(df: DataFrame) -> DataFrame:
-    """Add ``board64`` and ``fen_error`` next to the FEN fields."""
-    return with_fen_fields(df).withColumns(
-        {
-            "board64": P.board64(F.col("board")),
-            "fen_error": P.fen_error(*[F.col(c) for c in FIELD_COLUMNS[:5]]),
-        }
+    """Add the FEN fields, ``board64`` and ``fen_error``."""
+    return (
+        with_board(df)
+        .withColumns(
+            {
+                "board64": F.when(F.col("board_ok"), P.board64(F.col("expanded"))),
+                "fen_error": P.fen_error(*[F.col(c) for c in FIELD_COLUMNS[:5]]),
+            }
+        )
+        .drop("expanded", "board_ok")
     )
 
 
 def with_legality(df: DataFrame) -> DataFrame:
-    """Add FEN fields, ``wide`` and ``position_error``.
+    """Add FEN fields, ``wide``, ``squares``, ``syntax`` and ``position_error``.
 
     ``position_error`` is ``syntax: ...`` or ``position: ...`` where no
     tolerated rule can make a position of the text, else NULL.
     """
-    fields = with_fen_fields(df).withColumn(
-        "side", F.when(F.col("n_fields") < 2, "w").otherwise(F.col("side"))
-    )
+    fields = with_board(df).withColumn("side", F.when(F.col("n_fields") < 2, "w").otherwise(F.col("side")))
     boards = fields.withColumns(
         {
-            "wide": P.wide_board(F.col("board")),
-            "squares": P.board64(F.col("board")),
+            "wide": F.when(F.col("board_ok"), P.wide_board(F.col("expanded"))),
+            "squares": F.when(F.col("board_ok"), P.board64(F.col("expanded"))),
             "syntax": P.syntax_error(*[F.col(c) for c in FIELD_COLUMNS]),
         }
     )
     bad = P.unbuildable(F.col("wide"), F.col("squares"), F.col("side"))
     return boards.withColumn(
         "position_error",
-        F.when(F.col("syntax").isNotNull(), F.concat(F.lit("syntax: "), F.col("syntax"))).when(
-            bad.isNotNull(), F.concat(F.lit("position: "), bad)
+        F.when(F.col("syntax").isNotNull(), F.concat(F.lit("syntax: "), F.col("syntax"))).otherwise(
+            F.concat(F.lit("position: "), bad)
         ),
     )
 
 
-LEGALITY_COLUMNS = FIELD_COLUMNS + ["wide", "squares", "syntax", "position_error"]
-
-
 def with_position_key(
     df: DataFrame,
     constants: list[tuple[int, int]] | None = None,
@@ -87,7 +92,7 @@ def with_position_key(
     pairs = constants or H.generated_constants()
     columns = df.columns
     checked = with_legality(df.select(F.struct("*").alias("_row"), "fen"))
-    state = H.effective_state(*[F.col(c) for c in ("board", "side", "castling", "ep", "wide")])
+    state = H.effective_state(*[F.col(c) for c in ("squares", "side", "castling", "ep", "wide")])
     if on_error == "fail":
         problem = F.concat_ws(" ", F.col("position_error"), F.lit("in"), F.col("fen"))
         state = F.when(F.col("position_error").isNotNull(), F.raise_error(problem).cast("string")).otherwise(state)

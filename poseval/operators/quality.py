@@ -9,8 +9,8 @@ from poseval.functions import evals as E
 from poseval.functions import position as P
 from poseval.operators import ordinal as O
 from poseval.operators.kv import with_encode_error
-from poseval.operators.positions import with_fen_fields
-from poseval.schema import key64_column, require_columns, unsigned_order
+from poseval.operators.positions import with_board
+from poseval.schema import compute_once, key64_column, require_columns, unsigned_order
 
 
 def assert_required(df: DataFrame, on_error: str = "fail") -> DataFrame:
@@ -28,15 +28,18 @@ def assert_required(df: DataFrame, on_error: str = "fail") -> DataFrame:
 
 
 def letter_distribution(rows: DataFrame) -> DataFrame:
-    """Rows per ``bad_letter``, by letter; the row ``-, 0`` when there is none."""
-    found = (
+    """Rows per ``bad_letter``, by letter; the row ``-, 0`` when there is none.
+
+    Only the counts, one per letter, come together in the last step.
+    """
+    counts = (
         rows.where(F.col("bad_letter").isNotNull())
         .groupBy(F.col("bad_letter").alias("letter"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    none = found.agg(F.count(F.lit(1)).alias("n")).where("n = 0")
-    dash = none.select(F.lit("-").alias("letter"), F.lit(0).cast("bigint").alias("rows"))
-    return found.unionByName(dash).orderBy("letter")
+    table = counts.agg(F.sort_array(F.collect_list(F.struct("letter", "rows"))).alias("letters"))
+    none = F.array(F.struct(F.lit("-").alias("letter"), F.lit(0).cast("bigint").alias("rows")))
+    return table.select(F.inline(F.when(F.size("letters") == 0, none).otherwise(F.col("letters"))))
 
 
 def castling_letter_distribution(df: DataFrame) -> DataFrame:
@@ -46,7 +49,7 @@ def castling_letter_distribution(df: DataFrame) -> DataFrame:
 
 def castling_distribution_by_decile(df: DataFrame) -> DataFrame:
     """The same distribution over the first 10%, 20%, .. of a file scan."""
-    return letter_snapshots(with_encode_error(O.decile_of(df)))
+    return letter_snapshots(with_encode_error(O.with_decile(df)))
 
 
 def letter_snapshots(rows: DataFrame) -> DataFrame:
@@ -71,24 +74,16 @@ def letter_snapshots(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_scan_error(df: DataFrame) -> DataFrame:
-    """Add ``fen_error`` and ``bad_letter`` judged by the position text alone."""
-    columns = [F.col(c) for c in df.columns]
-    fields = with_fen_fields(df).withColumn(
-        "fen_error", P.fen_error(*[F.col(c) for c in ("n_fields", "board", "side", "castling", "ep")])
-    )
-    return fields.select(
-        *columns, "fen_error", P.bad_castling_letter(F.col("fen_error"), F.col("castling")).alias("bad_letter")
-    )
-
-
 def bad_castling_scan(df: DataFrame) -> DataFrame:
     """Rows whose first failing check is castling; other failures are ignored.
 
     Compose with ``ordinal.head_percent`` to scan only the head of a table.
     """
     require_columns(df, ["fen"])
-    return with_scan_error(df).where(F.col("bad_letter").isNotNull()).drop("fen_error")
+    letter = P.bad_castling_letter(F.col("fen_error"), F.col("castling"))
+    fen_error = P.fen_error(*[F.col(c) for c in ("n_fields", "board_ok", "side", "castling", "ep")])
+    checked = with_board(df).withColumn("fen_error", fen_error)
+    return compute_once(checked, df.columns, letter, "bad_letter").where("bad_letter IS NOT NULL")
 
 
 # Rows per window in the sortedness check; a bound on task size, not on input.
@@ -160,14 +155,15 @@ def global_sort(df: DataFrame, column: str, partitions: int, spread: list[str] |
 
 def job_metrics(df: DataFrame) -> DataFrame:
     """Counters of the reduce step over its input, in one pass."""
-    best_first = E.best_eval_first(F.col("evals"))
-    best_last = E.best_eval_last(F.col("evals"))
-    count = lambda condition, name: F.count_if(condition).alias(name)
-    return df.agg(
+    usable = lambda best: F.coalesce(best["usable"], F.lit(False))
+    rows = df.select(
+        usable(E.best_eval_first(F.col("evals"))).alias("first"), usable(E.best_eval_last(F.col("evals"))).alias("last")
+    )
+    return rows.agg(
         F.count(F.lit(1)).alias("input_rows"),
-        count(best_first.isNull(), "skipped_without_eval"),
-        count(best_first.isNotNull(), "rows_with_eval"),
-        count(best_last.isNull(), "missing_eval_last"),
+        F.count_if(~F.col("first")).alias("skipped_without_eval"),
+        F.count_if(F.col("first")).alias("rows_with_eval"),
+        F.count_if(~F.col("last")).alias("missing_eval_last"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from poseval.functions import evals as E
 from poseval.functions import position as P
-from poseval.schema import key64_column, key_bytes, require_columns, to_unsigned
+from poseval.schema import compute_once, key64_column, key_bytes, require_columns, to_unsigned
 
 
 def best_eval(df: DataFrame, policy: str = "first") -> DataFrame:
@@ -15,8 +15,9 @@ def best_eval(df: DataFrame, policy: str = "first") -> DataFrame:
     require_columns(df, ["fen", "evals"])
     choose = {"first": E.best_eval_first, "last": E.best_eval_last}[policy]
     rest = [c for c in df.columns if c != "evals"]
-    chosen = df.select(*rest, choose(F.col("evals")).alias("_best")).where("_best IS NOT NULL")
-    return chosen.select(*rest, "_best.*")
+    chosen = compute_once(df, rest, choose(F.col("evals")), "_best").where("_best.usable")
+    moves = [P.first_token(F.col("_best.line")).alias("first_move")] if policy == "first" else []
+    return chosen.select(*rest, "_best.eval", "_best.mate", "_best.depth", *moves)
 
 
 def _best_row(values: list[str], depth: str, order: list[str]) -> Column:
@@ -42,7 +43,8 @@ def simplify_positions(df: DataFrame, order: list[str] | None = None) -> DataFra
             key64_column(df).alias("key64"), "fen", "evals", *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)]
         )
     )
-    keyed = rows.withColumn("dedupe_key", P.dedupe_key(F.col("fen")))
+    parts = rows.withColumn("_parts", P.tokens(F.col("fen")))
+    keyed = parts.withColumn("dedupe_key", P.dedupe_key(F.col("fen"), F.col("_parts"))).drop("_parts")
     kept = keyed.groupBy("key64", "dedupe_key").agg(
         _best_row(["eval", "mate", "depth", "fen", "first_move"], "depth", [f"_o{i}" for i in range(len(order))])
     )
@@ -114,8 +116,10 @@ def upsert_metrics(df: DataFrame, ord: str) -> DataFrame:
     the first row of each depth can be, and it is when no greater depth came
     earlier. So rows reduce to one per (key, depth) before any ordering.
     """
-    lines = df.select(key64_column(df).alias("key64"), F.col(ord).alias("_ord"), E.best_eval_last(F.col("evals")).alias("_best"))
-    first_seen = lines.groupBy("key64", F.col("_best.depth").alias("depth")).agg(
+    keyed = df.select(key64_column(df).alias("key64"), F.col(ord).alias("_ord"), "evals")
+    lines = compute_once(keyed, ["key64", "_ord"], E.best_eval_last(F.col("evals")), "_best")
+    depth = F.when(F.col("_best.usable"), F.col("_best.depth"))
+    first_seen = lines.groupBy("key64", depth.alias("depth")).agg(
         F.min("_ord").alias("first"), F.count(F.lit(1)).alias("n")
     )
     deeper = Window.partitionBy("key64").orderBy(F.desc("depth")).rowsBetween(Window.unboundedPreceding, -1)

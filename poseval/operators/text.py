@@ -2,7 +2,9 @@
 
 Everything up to one row per position is map-only: a text is cut at its key
 headers, so each piece carries its own key, and the positions of a piece come
-from one regular expression. No token ever becomes a row of its own.
+from one regular expression. No token ever becomes a row of its own. The generators
+are the outer kind: for the inner kind Spark infers a filter on the array's size
+and would run the expressions twice.
 """
 
 from __future__ import annotations
@@ -48,7 +50,12 @@ def _positions(piece: Column) -> Column:
         F.regexp_extract_all(piece, F.lit(POSITION), F.lit(0)),
         lambda m: F.regexp_replace(m, r"(?U)\s+", " "),
     )
-    return F.filter(found, lambda m: P.board_valid(F.substring_index(m, " ", 1)))
+
+    def valid(match: Column) -> Column:
+        board = F.substring_index(match, " ", 1)
+        return P.board_ok(board, P.expand_digits(board))
+
+    return F.filter(found, valid)
 
 
 def extract_positions(df: DataFrame, text: str = "text") -> DataFrame:
@@ -59,12 +66,11 @@ def extract_positions(df: DataFrame, text: str = "text") -> DataFrame:
     """
     require_columns(df, [text])
     rest = [c for c in df.columns if c != text]
-    pieces = df.select(*rest, F.posexplode(F.split(F.col(text), NEXT_HEADER)).alias("piece", "_text"))
+    pieces = df.select(*rest, F.posexplode_outer(F.split(F.col(text), NEXT_HEADER)).alias("piece", "_text"))
+    found = pieces.select(*rest, "piece", "_text", F.posexplode_outer(_positions(F.col("_text"))).alias("nth", "fen"))
     header = F.regexp_extract("_text", HEADER, 1)
     key = F.when(header != "", F.regexp_replace(header, r"^\+?0*(?=[0-9])", "").cast("decimal(20,0)"))
-    return pieces.select(
-        *rest, "piece", key.alias("zobr64"), F.posexplode(_positions(F.col("_text"))).alias("nth", "fen")
-    )
+    return found.where("fen IS NOT NULL").select(*rest, "piece", key.alias("zobr64"), "nth", "fen")
 
 
 def group_positions(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:

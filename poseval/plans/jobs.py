@@ -6,8 +6,6 @@ no stage recomputes an earlier one.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +16,7 @@ from poseval.operators.positions import with_position_key
 from poseval.operators.simplify import deepest_per_key, latest_per_key, simplify_positions
 from poseval.operators.text import diagnose_text
 from poseval.schema import SCORE_SCHEMA, read_simplified, require_columns
-from poseval.session import shared_folder
+from poseval.session import stage
 from poseval.sources import readers as R
 from poseval.sources import sinks as S
 
@@ -115,13 +113,6 @@ def simplify(
     }
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage through a table in the shared folder; it survives executors."""
-    folder = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def _require_sorted(table: DataFrame) -> None:
     first = Q.sortedness_violations(table).limit(1).collect()
     if first:

@@ -130,3 +130,13 @@ def read_simplified(df: DataFrame) -> DataFrame:
     ]
     rest = [F.col(c) for c in df.columns if c not in SIMPLIFIED_COLUMNS + ["move"]]
     return df.select(*core, *rest)
+
+
+def compute_once(df: DataFrame, columns: list[str | Column], value: Column, name: str) -> DataFrame:
+    """Select ``columns`` and a costly ``value`` that later filters test.
+
+    A filter over a projection moves below it and takes a copy of the tested
+    expression along, which would then be evaluated twice per row. A generator
+    of one element keeps the filter above.
+    """
+    return df.select(*columns, F.explode(F.array(value)).alias(name))
