@@ -40,10 +40,15 @@ def ingest_evals(
     zstd_level: int = S.ZSTD_LEVEL,
     partitions: int | None = None,
 ) -> dict:
-    """Nested JSON lines to nested Parquet. An existing output is replaced."""
+    """Nested JSON lines to nested Parquet. An existing output is replaced.
+
+    The part size is estimated on the first lines of each file as they are
+    read, before any spreading, so the sample does not shuffle the input.
+    """
     path = R.resolve_eval_input(spark, src, file, first_only)
+    limit = S.rows_per_part(R.read_eval_json(spark, path, partitions=0), target_mb, zstd_level)
     rows = Q.assert_required(R.read_eval_json(spark, path, partitions=partitions))
-    S.write_parts(rows, dst, target_mb, zstd_level, overwrite=True, src=src)
+    S.write_parts(rows, dst, target_mb, zstd_level, overwrite=True, src=src, max_rows=limit)
     return {"output_rows": _rows(spark, dst)}
 
 

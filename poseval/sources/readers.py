@@ -46,12 +46,13 @@ def read_eval_json(
     A ``.zst`` file can only be decompressed by one task. That task does no
     more than cut lines: they are spread over ``partitions`` tasks (default:
     the session's shuffle partitions) before parsing, unless there are already
-    more files than that. Blank lines are skipped, unknown fields ignored.
+    more files than that. ``partitions=0`` never spreads. Blank lines are
+    skipped, unknown fields ignored.
     """
     lines = spark.read.text(path)
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions")) if partitions is None else partitions
     files = lines.inputFiles()
-    wanted = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if any(f.rsplit(".", 1)[-1] in UNSPLITTABLE for f in files) and len(files) < wanted:
+    if len(files) < wanted and any(f.rsplit(".", 1)[-1] in UNSPLITTABLE for f in files):
         lines = lines.repartition(wanted)
     parsed = lines.where(F.col("value").rlike(r"\S")).select(
         F.from_json("value", schema, {"mode": "FAILFAST"}).alias("_row")
