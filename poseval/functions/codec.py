@@ -96,36 +96,40 @@ def entry_bytes(value: Column, nth: Column) -> Column:
     return F.substr(value, nth * ENTRY_BYTES + 2, F.lit(ENTRY_BYTES))
 
 
-def decode_entry(entry: Column) -> Column:
-    """Struct of all fields of one entry."""
-    text = F.hex(entry)
+def entry_numbers(text: Column) -> dict[str, Column]:
+    """Stored numbers of one entry from its 78 hex digits."""
 
-    def number(start: int, digits: int = 2) -> Column:
-        return F.conv(F.substring(text, start, digits), 16, 10).cast("int")
+    def byte(n: int) -> Column:
+        return F.conv(F.substring(text, 2 * n + 1, 2), 16, 10).cast("int")
 
-    def le16(start: int) -> Column:
-        return number(start + 2) * 256 + number(start)
+    return {
+        "raw_score": byte(0) + byte(1) * 256,
+        "depth": byte(2),
+        "meta": byte(3) + byte(4) * 256,
+        "squares": F.translate(_swap_pairs(F.substring(text, 11, 64)), NIBBLE_HEX, NIBBLE_PIECES),
+        "state": byte(37),
+        "ep_square": byte(38),
+    }
 
-    meta = le16(7)
-    state, square = number(75), number(77)
-    squares = F.translate(_swap_pairs(F.substring(text, 11, 64)), NIBBLE_HEX, NIBBLE_PIECES)
-    score = F.when(le16(1) >= 32768, le16(1) - 65536).otherwise(le16(1))
+
+def entry_fields() -> dict[str, Column]:
+    """Fields of one entry from the columns of ``entry_numbers``."""
+    raw, meta, state, square = (F.col(c) for c in ("raw_score", "meta", "state", "ep_square"))
     letters = F.concat(
         *[F.when(state.bitwiseAND(F.lit(bit)) != 0, letter).otherwise("") for letter, bit in STATE_BITS.items()]
     )
-    promotion = F.shiftright(meta, 12).bitwiseAND(F.lit(7))
     side = F.when(state.bitwiseAND(F.lit(1)) == 1, "b").otherwise("w")
-    castling = F.when(letters == "", "-").otherwise(letters)
+    castling = F.when(state.bitwiseAND(F.lit(30)) == 0, "-").otherwise(letters)
     ep = F.when(square == NO_SQUARE, "-").otherwise(_square_name(square))
-    return F.struct(
-        score.alias("score"),
-        F.shiftright(meta, 15).alias("kind"),
-        number(5).alias("depth"),
-        meta.bitwiseAND(F.lit(63)).alias("from_square"),
-        F.shiftright(meta, 6).bitwiseAND(F.lit(63)).alias("to_square"),
-        promotion.alias("promotion"),
-        F.concat_ws(" ", P.board_from_board64(squares), side, castling, ep).alias("fen"),
-    )
+    return {
+        "score": F.when(raw >= 32768, raw - 65536).otherwise(raw),
+        "kind": F.shiftright(meta, 15),
+        "depth": F.col("depth"),
+        "from_square": meta.bitwiseAND(F.lit(63)),
+        "to_square": F.shiftright(meta, 6).bitwiseAND(F.lit(63)),
+        "promotion": F.shiftright(meta, 12).bitwiseAND(F.lit(7)),
+        "fen": F.concat_ws(" ", P.board_from_board64(F.col("squares")), side, castling, ep),
+    }
 
 
 def _square_name(index: Column) -> Column:
