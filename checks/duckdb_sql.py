@@ -447,7 +447,33 @@ _define(
        FROM orders JOIN corpus ON pos_id = o_custkey % 47 JOIN chk_keyed USING (fen)""",
 )
 
+_LATEST = f"""SELECT {_BITS} AS zobr64, eval, mate, depth, fen, first_move, n - 1 AS skipped FROM (
+  SELECT *, row_number() OVER (PARTITION BY zobr64 ORDER BY fen DESC) AS rn,
+         count(*) OVER (PARTITION BY zobr64) AS n FROM simplified) WHERE rn = 1"""
+
 ORACLES: dict[str, str] = {
+    "read_eval_json": _query(
+        ["keyed", "evals"],
+        """SELECT any_value(fen) AS fen, coalesce(string_agg(knodes || ':' || depth || ':' ||
+             CASE WHEN empty_pvs THEN '' ELSE coalesce(CAST(cp AS VARCHAR), 'NULL') || '/'
+               || coalesce(CAST(mate AS VARCHAR), 'NULL') || '/' || line END, '|' ORDER BY ord), '') AS entries
+           FROM keyed LEFT JOIN evals USING (row_id) GROUP BY row_id""",
+    ),
+    "sort_table_job": _query(
+        ["keyed"], "SELECT row_number() OVER (ORDER BY zobr64) - 1 AS ord, CAST(zobr64 AS VARCHAR) AS zobr64 FROM keyed"
+    ),
+    "simplify_job": _query(
+        ["simplified"],
+        """SELECT row_number() OVER (ORDER BY s.zobr64, fen) - 1 AS ord, CAST(s.zobr64 AS VARCHAR) AS zobr64,
+             eval, mate, depth, fen, first_move FROM simplified s""",
+    ),
+    "build_latest_job": _query(["simplified"], f"SELECT * EXCLUDE (skipped) FROM ({_LATEST})"),
+    "build_kv_job": _query(
+        ["ent_simplified"],
+        f"""SELECT row_number() OVER (ORDER BY k) - 1 AS ord, k, v FROM (
+              SELECT {_KHEX} AS k, printf('%02X', count(*)) || string_agg(entry, '' ORDER BY fen) AS v
+              FROM ent_simplified GROUP BY zobr64)""",
+    ),
     "best_eval_first": _query(["best_first"], "SELECT row_id, eval, mate, depth, first_move FROM best_first"),
     "best_eval_last": _query(["best_last"], "SELECT row_id, eval, mate, depth FROM best_last"),
     "first_token": _query(
@@ -473,12 +499,7 @@ ORACLES: dict[str, str] = {
     "simplify_positions": _query(
         ["simplified"], f"SELECT {_ZTEXT}, eval, mate, depth, fen, first_move FROM simplified"
     ),
-    "latest_per_key": _query(
-        ["simplified"],
-        f"""SELECT {_BITS} AS zobr64, eval, mate, depth, fen, first_move, n - 1 AS skipped FROM (
-              SELECT *, row_number() OVER (PARTITION BY zobr64 ORDER BY fen DESC) AS rn,
-                     count(*) OVER (PARTITION BY zobr64) AS n FROM simplified) WHERE rn = 1""",
-    ),
+    "latest_per_key": _query(["simplified"], _LATEST),
     "deepest_per_key": _query(
         ["keyed", "best_last"],
         f"""SELECT {_KHEX} AS k, '{{"eval":' || coalesce(CAST(eval AS VARCHAR), 'null') || ',"mate":'

@@ -5,6 +5,7 @@ Keys and binary values are rendered as text so both engines compare equal.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +22,9 @@ from poseval.operators import positions as N
 from poseval.operators import quality as Q
 from poseval.operators import simplify as S
 from poseval.operators import text as X
-from poseval.session import stage
+from poseval.plans import jobs as J
+from poseval.session import shared_folder, stage
+from poseval.sources import readers as R
 
 ORD = ["row_id"]
 LINE = ["row_id", "line_no", "part", "supp"]
@@ -287,7 +290,69 @@ def diagnose_text(spark, folder):
     return found.select("doc_id", _key(), "fen", F.array_join("reported", "; ").alias("reported"))
 
 
+def _folder(spark, name):
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def read_eval_json(spark, folder):
+    """Nested rows written as compressed JSON lines and read back."""
+    path = _folder(spark, "json")
+    lines = T.eval_rows(spark, folder).select(F.to_json(F.struct("fen", "evals")).alias("value"))
+    lines.write.option("compression", "gzip").text(path)
+    rows = R.read_eval_json(spark, f"{path}/*.gz")
+    entry = lambda e: F.concat_ws(
+        ":", e["knodes"], e["depth"], F.array_join(F.transform(e["pvs"], _variation), ",")
+    )
+    return rows.select("fen", F.array_join(F.transform("evals", entry), "|").alias("entries"))
+
+
+def _variation(pv):
+    text = lambda c: F.coalesce(c.cast("string"), F.lit("NULL"))
+    return F.concat_ws("/", text(pv["cp"]), text(pv["mate"]), pv["line"])
+
+
+def sort_table_job(spark, folder):
+    """The sorted table as stored: key by arrival ordinal."""
+    src, dst = _folder(spark, "keyed"), _folder(spark, "sorted")
+    T.keyed(spark, folder).write.parquet(src)
+    J.sort_table(spark, src, dst)
+    return O.with_row_ordinal(R.read_table(spark, dst)).select("ord", _key())
+
+
+def _simple_table(spark, folder):
+    """Folder of the stored reduced table, made by the reduce job."""
+    src, dst = _folder(spark, "nested"), _folder(spark, "simple")
+    rows = T.eval_rows(spark, folder).repartitionByRange("row_id").sortWithinPartitions("row_id")
+    rows.write.parquet(src)
+    J.simplify(spark, src, dst)
+    return dst
+
+
+def simplify_job(spark, folder):
+    """The reduced table as stored: every column and the arrival ordinal."""
+    table = R.read_table(spark, _simple_table(spark, folder))
+    return O.with_row_ordinal(table).withColumn("zobr64", _key())
+
+
+def build_latest_job(spark, folder):
+    dst = _folder(spark, "latest")
+    J.build_latest(spark, _simple_table(spark, folder), dst)
+    return R.read_table(spark, dst)
+
+
+def build_kv_job(spark, folder):
+    """The stored key/value table with the arrival ordinal of each key."""
+    dst = _folder(spark, "kv")
+    J.build_kv(spark, _simple_table(spark, folder), dst)
+    return O.with_row_ordinal(R.read_table(spark, dst)).select("ord", F.hex("k").alias("k"), F.hex("v").alias("v"))
+
+
 _ALL = [
+    read_eval_json,
+    sort_table_job,
+    simplify_job,
+    build_latest_job,
+    build_kv_job,
     best_eval_first,
     best_eval_last,
     first_token,

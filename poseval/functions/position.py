@@ -250,30 +250,32 @@ def legal_ep(wide: Column, side: Column, ep: Column) -> Column:
 
 
 def _count(squares: Column, piece: str) -> Column:
-    return F.length(squares) - F.length(F.replace(squares, F.lit(piece), F.lit("")))
+    """Pieces of one kind; the text is ASCII, so bytes are characters."""
+    return F.octet_length(squares) - F.octet_length(F.replace(squares, F.lit(piece), F.lit("")))
 
 
 def too_much_material(squares: Column) -> Column:
-    """More than 16 men or 8 pawns, or more promoted men than missing pawns."""
+    """More than 16 men or 8 pawns, or more promoted men than missing pawns.
+
+    Bishops beyond one per square color are promoted, which matters only where
+    a side has two or more; only then are the colors told apart.
+    """
     dark = F.regexp_replace(squares, r"(.).(.).(.).(.)..(.).(.).(.).(.)", "$1$2$3$4$5$6$7$8")
-    light = F.regexp_replace(squares, r".(.).(.).(.).(.)(.).(.).(.).(.).", "$1$2$3$4$5$6$7$8")
 
     def extra(counted: Column, usual: int) -> Column:
         return F.greatest(counted - usual, F.lit(0))
 
-    def side(p: str, n: str, b: str, r: str, q: str, letters: str) -> Column:
-        men = F.length(F.regexp_replace(squares, f"[^{letters}]", ""))
-        pawns = _count(squares, p)
+    def side(p: str, n: str, b: str, r: str, q: str, k: str) -> Column:
+        pawns, bishops = _count(squares, p), _count(squares, b)
+        on_dark = _count(dark, b)
+        same_color = F.when(bishops > 1, extra(on_dark, 1) + extra(bishops - on_dark, 1)).otherwise(0)
         promoted = (
-            extra(_count(squares, n), 2)
-            + extra(_count(light, b), 1)
-            + extra(_count(dark, b), 1)
-            + extra(_count(squares, r), 2)
-            + extra(_count(squares, q), 1)
+            extra(_count(squares, n), 2) + same_color + extra(_count(squares, r), 2) + extra(_count(squares, q), 1)
         )
+        men = sum((_count(squares, x) for x in (n, b, r, q, k)), pawns)
         return (men > 16) | (pawns > 8) | (promoted > 8 - pawns)
 
-    return side(*"PNBRQ", "PNBRQK") | side(*"pnbrq", "pnbrqk")
+    return side(*"PNBRQK") | side(*"pnbrqk")
 
 
 def unbuildable(wide: Column, squares: Column, side: Column) -> Column:
