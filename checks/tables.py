@@ -219,10 +219,9 @@ def eval_rows(spark: SparkSession, folder: str) -> DataFrame:
     """``(row_id, fen, zobr64, evals)``: the nested input, keyed."""
     nested = spark.sql(
         """
-        SELECT row_id, transform(array_sort(collect_list(struct(
-                 l_linenumber, l_partkey, l_suppkey, knodes, depth,
-                 IF(empty_pvs, array(), array(struct(cp, mate, line))) AS pvs))),
-                 e -> struct(e.knodes, e.depth, e.pvs)) AS evals
+        SELECT row_id, transform(sort_array(collect_list(struct(l_linenumber, l_partkey, l_suppkey,
+                 named_struct('knodes', knodes, 'depth', depth,
+                              'pvs', IF(empty_pvs, array(), array(struct(cp, mate, line)))) AS e))), x -> x.e) AS evals
         FROM {e} GROUP BY row_id
         """,
         e=entries(spark, folder),

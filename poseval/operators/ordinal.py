@@ -19,12 +19,13 @@ def file_order(path: Column) -> Column:
     """Sort key of a file: its name, with the part number padded.
 
     Names with equally wide part numbers sort as plain text; padding keeps
-    tables of more than 100,000 parts in order too.
+    tables of more than 100,000 parts in order too. Plain string functions:
+    the key is computed for every row.
     """
-    name = F.regexp_extract(path, r"[^/]*\z", 0)
-    number = F.regexp_extract(name, r"^part-(\d+)", 1)
-    rest = F.regexp_replace(name, r"^part-\d+", "")
-    return F.when(number != "", F.concat(F.lit("part-"), F.lpad(number, 12, "0"), rest)).otherwise(name)
+    name = F.substring_index(path, "/", -1)
+    number = F.substring_index(F.substring_index(F.substr(name, F.lit(6)), "-", 1), ".", 1).try_cast("bigint")
+    padded = F.concat(F.lit("part-"), F.lpad(number.cast("string"), 12, "0"), F.lit("-"), name)
+    return F.when(name.startswith("part-"), F.coalesce(padded, name)).otherwise(name)
 
 
 def with_location(df: DataFrame) -> DataFrame:
@@ -101,6 +102,18 @@ def _before(spot: tuple[str, int] | None) -> Column:
     return (F.col(FILE) < file) | ((F.col(FILE) == file) & (F.col(ROW) < row))
 
 
+def _between(located: DataFrame, start: tuple[str, int], end: tuple[str, int] | None) -> DataFrame:
+    """Rows from ``start`` to before ``end``.
+
+    The plain file bounds are implied by the row bounds. They are there because
+    they touch file metadata only, so Spark drops files outside them unread.
+    """
+    inside = located.where(F.col(FILE) >= start[0])
+    if end is not None:
+        inside = inside.where(F.col(FILE) <= end[0])
+    return inside.where(~_before(start) & _before(end)).drop(FILE, ROW)
+
+
 def slice_rows(df: DataFrame, offset: int, length: int) -> DataFrame:
     """Rows ``offset .. offset + length - 1`` in arrival order."""
     if offset < 0 or length < 0:
@@ -109,7 +122,7 @@ def slice_rows(df: DataFrame, offset: int, length: int) -> DataFrame:
     located = with_location(df)
     if start is None:
         return located.where(F.lit(False)).drop(FILE, ROW)
-    return located.where(~_before(start) & _before(end)).drop(FILE, ROW)
+    return _between(located, start, end)
 
 
 def head_percent(df: DataFrame, percent: float) -> DataFrame:
@@ -120,7 +133,7 @@ def head_percent(df: DataFrame, percent: float) -> DataFrame:
     first, end = locate(df, [F.lit(0), F.least(F.greatest(wanted, F.lit(1)), F.col("total"))])
     if first is None:
         raise ValueError("input holds no rows")
-    return with_location(df).where(_before(end)).drop(FILE, ROW)
+    return _between(with_location(df), first, end)
 
 
 def with_decile(df: DataFrame) -> DataFrame:

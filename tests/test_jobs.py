@@ -227,6 +227,16 @@ def test_slices_over_many_files(files, offset, length, want):
     assert [r["id"] for r in O.slice_rows(files, offset, length).orderBy("id").collect()] == list(range(offset, offset + want))
 
 
+def test_slice_reads_only_its_files(files):
+    """Files outside the bounds are dropped before the scan."""
+    part = O.slice_rows(files, 250, 60)
+    part.collect()
+    plan = part._jdf.queryExecution().executedPlan()
+    while not plan.nodeName().startswith("Scan"):
+        plan = plan.children().head()
+    assert plan.metrics().get("numFiles").get().value() <= 2 < len(files.inputFiles())
+
+
 @pytest.mark.parametrize("percent, want", [(100, 1000), (0.01, 1), (12.34, 124), (50, 500)])
 def test_head_of_many_files(files, percent, want):
     assert sorted(r["id"] for r in O.head_percent(files, percent).collect()) == list(range(want))
@@ -238,7 +248,7 @@ def test_deciles_over_many_files(files):
 
 
 def test_part_numbers_sort_as_numbers(spark):
-    names = ["part-100000-a.parquet", "part-99999-a.parquet", "part-00002-a.parquet"]
+    names = ["z.parquet", "part-x.parquet", "part-100000-a.parquet", "part-99999.parquet", "part-00002-a.parquet", "a.parquet"]
     table = spark.createDataFrame([(f"/d/{n}",) for n in names], "p string")
     assert [r["p"][3:] for r in table.orderBy(O.file_order(F.col("p"))).collect()] == names[::-1]
 
