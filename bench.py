@@ -46,6 +46,8 @@ HEADLINE = [
     "extract_positions",
     "group_positions",
     "diagnose_text",
+    "sort_table_job",
+    "simplify_job",
 ]
 RUNS = 2
 

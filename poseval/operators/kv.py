@@ -79,7 +79,7 @@ def decode_kv(kv: DataFrame) -> DataFrame:
     """One row per stored entry: key, position in the value and all fields."""
     n = F.conv(F.hex(F.substring("v", 1, 1)), 16, 10).cast("int")
     key = F.conv(F.hex("k"), 16, 10).cast("decimal(20,0)")
-    entries = kv.select(key.alias("zobr64"), "v", F.explode(F.sequence(F.lit(0), n - 1)).alias("nth"))
+    entries = kv.select(key.alias("zobr64"), "v", F.explode_outer(F.sequence(F.lit(0), n - 1)).alias("nth"))
     text = entries.select("zobr64", "nth", F.hex(C.entry_bytes(F.col("v"), F.col("nth"))).alias("text"))
     numbers = text.select("zobr64", "nth", *[c.alias(n) for n, c in C.entry_numbers(F.col("text")).items()])
     return numbers.select("zobr64", "nth", *[c.alias(n) for n, c in C.entry_fields().items()])

@@ -167,6 +167,16 @@ def job_metrics(df: DataFrame) -> DataFrame:
     )
 
 
+def line_metrics(df: DataFrame) -> DataFrame:
+    """Counters of the deepest-per-key build over its input lines."""
+    has_eval = F.coalesce(E.best_eval_last(F.col("evals"))["usable"], F.lit(False))
+    return df.select(has_eval.alias("has_eval")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("has_eval")).alias("rows_with_eval"),
+        F.count_if(~F.col("has_eval")).alias("rows_missing_eval"),
+    )
+
+
 def load_metrics(df: DataFrame) -> DataFrame:
     """Counters of the key/value load: rows read, skipped and keys written.
 

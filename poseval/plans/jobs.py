@@ -179,14 +179,19 @@ def build_deepest(
     overwrite: bool = False,
     constants: list[tuple[int, int]] | None = None,
     partitions: int | None = None,
+    count_lines: bool = True,
 ) -> dict:
-    """JSON lines straight to one JSON value per key, the deepest."""
+    """JSON lines straight to one JSON value per key, the deepest.
+
+    ``count_lines`` reads the input a second time for its counters.
+    """
     S.check_output(spark, src, dst, overwrite, empty=True)
     path = R.resolve_eval_input(spark, src, file, first_only)
     rows = R.read_eval_json(spark, path, SCORE_SCHEMA, partitions)
     kv = deepest_per_key(with_position_key(rows, constants))
     S.write_kv(kv, dst, overwrite=overwrite, src=src)
-    return {"written_keys": _rows(spark, dst)}
+    counters = Q.line_metrics(rows).first().asDict() if count_lines else {}
+    return {**counters, "written_keys": _rows(spark, dst)}
 
 
 def scan_castling(spark: SparkSession, src: str, percent: float = 1.0) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,6 @@ import zstandard
 from pyspark.sql import functions as F
 
 from checks import tables as T
-from conftest import SMALL
 from poseval.functions import codec as C
 from poseval.operators import kv as K
 from poseval.operators import ordinal as O
@@ -122,7 +121,11 @@ def test_kv_table_round_trip(spark, flow):
 
 
 def test_deepest_table_matches_nested_flow(spark, flow):
-    paths, _ = flow
+    paths, counts = flow
+    usable = [bool(r["evals"] and max(enumerate(r["evals"]), key=lambda e: (e[1]["depth"], e[0]))[1]["pvs"]) for r in json_rows()]
+    assert counts["deepest"]["lines"] == 600
+    assert counts["deepest"]["rows_with_eval"] == sum(usable)
+    assert counts["deepest"]["rows_missing_eval"] == 600 - sum(usable)
     kv = R.read_table(spark, paths["deepest"])
     want = {bytes(r["k"]): json.loads(r["v"])["depth"] for r in S.deepest_per_key(R.read_table(spark, paths["hashed"])).collect()}
     assert {bytes(r["k"]): json.loads(r["v"])["depth"] for r in kv.collect()} == want
