@@ -182,15 +182,14 @@ def test_255_entries_fit_and_256_stop_the_job(spark):
     value = K.kv_all_entries(rows, ["ord"]).first()["v"]
     assert value[0] == 255 and len(value) == 1 + 255 * 39
     assert [r["score"] for r in K.decode_kv(K.kv_all_entries(rows, ["ord"])).orderBy("nth").collect()] == list(range(255))
-    one_more = rows.unionByName(rows.where("id = 0" if "id" in rows.columns else "ord = 0").withColumn("ord", F.lit(999).cast("long")))
+    one_more = rows.unionByName(rows.where("ord = 0").withColumn("ord", F.lit(999).cast("long")))
     with pytest.raises(Exception, match="too many entries"):
         K.kv_all_entries(one_more, ["ord"]).collect()
 
 
 def test_hot_key_is_cut_before_the_shuffle(spark):
     plan = K.kv_all_entries(T.flat_rows(spark, SMALL))._jdf.queryExecution().executedPlan().toString()
-    partial = plan.index("WindowGroupLimit")
-    assert "Partial" in plan[partial : plan.rindex("Exchange hashpartitioning(key64")] or "Partial" in plan
+    assert plan.index("256, Final") < plan.index("Exchange hashpartitioning(key64") < plan.index("256, Partial")
 
 
 def test_required_fields(spark):
