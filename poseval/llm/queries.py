@@ -9,7 +9,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poseval.llm.common import load
+from poseval.llm.decontaminate import contaminated
+from poseval.llm.exact_dedup import exact_duplicates
 from poseval.llm.packing import Limits, pack_documents
+from poseval.llm.quality import quality_scores
+from poseval.llm.simhash import near_duplicates
+
+
+def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, come in as three batches: who stays in each group of equal texts."""
+    found = exact_duplicates(load(spark, folder, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """A quality score for every document."""
+    return quality_scores(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with passages of benchmark items, edited ones included."""
+    return contaminated(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = near_duplicates(load(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,5 +48,16 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op10_packing": op10_packing}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op1_exact_dedup, op4_quality, op6_decontaminate, op8_simhash, op10_packing)
+}
+ORACLES: dict[str, str] = {
+    "op1_exact_dedup": r"""
+        WITH t AS (
+            SELECT doc_id, length(coalesce(text, '')) AS points,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+            FROM documents)
+        SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+               row_number() OVER w = 1 AS kept, sha256(norm) AS text_sha256
+        FROM t WINDOW w AS (PARTITION BY norm ORDER BY points DESC, doc_id)""",
+}
