@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from poseval.llm.chaining import fuzzy_passages
 from poseval.llm.common import load
 from poseval.llm.decontaminate import contaminated
 from poseval.llm.exact_dedup import exact_duplicates
@@ -65,6 +66,11 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
 
 
+def op7_fuzzy_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 40 words and more that an earlier document has alike."""
+    return fuzzy_passages(load(spark, folder, "documents"))
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(load(spark, folder, "documents"))
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_quality,
         op5_url_filter,
         op6_decontaminate,
+        op7_fuzzy_passages,
         op8_simhash,
         op9_preferences,
         op10_packing,

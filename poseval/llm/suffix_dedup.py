@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from poseval.llm.common import staged, tasks_for, texts
+from poseval.llm.common import staged, tasks_for
+from poseval.llm.numbered import numbered
 
 WINDOW = 100
 GRAM = 32
@@ -382,25 +383,9 @@ def repeated_strings(docs: DataFrame, bucket: int = BUCKET, sample: int = SAMPLE
     ``spans`` is then empty. An empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    text = texts(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
-    sha = F.unhex(F.sha2("text", 256)).alias("sha")
-    heads = text.select("doc_id", sha, F.octet_length("text").cast("long").alias("n_bytes"))
-    heads = heads.groupBy("doc_id", "sha", "n_bytes").agg(F.count(F.lit(1)).alias("copies"))
-    heads = staged(heads, "heads")
-    total = heads.agg(F.count(F.lit(1)), F.count_distinct("doc_id"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
-    if total[0] == total[1]:
-        heads = heads.withColumn("seq", F.col("doc_id").cast("long"))
-        rows = text.select(F.col("doc_id").cast("long").alias("seq"), "text")
-    else:  # ids are null or shared: number the rows in their order
-        ordered = heads.orderBy(F.asc_nulls_first("doc_id"), "sha").withColumn("seq", F.monotonically_increasing_id())
-        heads = staged(ordered, "heads-numbered")
-        same = text.select("*", sha).alias("t").join(
-            heads.alias("h"), F.expr("t.doc_id <=> h.doc_id AND t.sha = h.sha")
-        )
-        rows = same.select("seq", "text").dropDuplicates(["seq"])
-    earliest = heads.groupBy("sha").agg(F.min("seq").alias("earliest"))
-    heads = staged(heads.join(earliest, "sha").withColumn("copy", F.col("seq") != F.col("earliest")).drop("earliest"), "heads-marked")
-    tasks = tasks_for(spark, total[2] // 35, 1 << 19)
+    heads, rows = numbered(docs)
+    size = heads.agg(F.coalesce(F.sum(F.col("n_bytes") * F.col("copies")), F.lit(0))).first()[0]
+    tasks = tasks_for(spark, size // 35, 1 << 19)
     found = staged(_repeated(_found_anchors(rows, 64), tasks), "anchors")
     copies = heads.where("copy").select("seq")
     places = found.join(copies, "seq", "left_anti")

@@ -85,6 +85,13 @@ def test_unique_ids_and_long_texts(docs_of, monkeypatch):
     assert first[0] == 0 and last[-1] == len(long) - 100 and (first[1:] == last[:-1] + 1).all()
 
 
+def test_repeated_rows_of_unique_ids(docs_of):
+    rnd = random.Random(5)
+    text = "".join(rnd.choice("abcdef ") for _ in range(400))
+    rows = [(1, text), (2, text[:300] + "?"), (2, text[:300] + "?"), (3, "short"), (3, "short")]
+    check(rows, S.repeated_strings(docs_of(rows)).collect())
+
+
 def test_equal_hashes_are_told_apart(monkeypatch):
     data = np.frombuffer((b"x" * 100 + b"y" * 100) * 2, np.uint8)
     monkeypatch.setattr(S, "_rolling", lambda data, sizes: np.zeros(len(data), np.uint64))
