@@ -28,7 +28,7 @@ from poseval.llm.wordpieces import WordTokenizer
 
 PIECES = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Examples are packed when so many tokens have come together in a task.
-GROUP_TOKENS = 1 << 20
+GROUP_TOKENS = 1 << 19
 GROUP_EXAMPLES = 1024
 
 

@@ -13,8 +13,8 @@ import string
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words kept per worker before the table starts anew; about 150 bytes each.
-KEPT_WORDS = 1_200_000
+#: Words of one generation; a worker keeps two, of about 250 bytes a word.
+KEPT_WORDS = 200_000
 #: Letters below this need no normalization, and lower-case the same everywhere.
 PLAIN = "İ"
 MARKS = string.punctuation.replace("'", "")
@@ -30,6 +30,20 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in prints else next(spare)) for b in range(256)]
 
 
+class Words(dict):
+    """Ids by word. A full generation becomes the old one, and words met again move on."""
+
+    def __init__(self, make, old: dict[str, bytes]):
+        self.make, self.old = make, old
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.pop(word, None)
+        if ids is None:
+            ids = self.make(word)
+        self[word] = ids
+        return ids
+
+
 class WordTokenizer:
     _loaded: dict[str, "WordTokenizer"] = {}
 
@@ -38,7 +52,7 @@ class WordTokenizer:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
+        self.words = Words(self._word, {})
 
     @classmethod
     def of(cls, file: str) -> "WordTokenizer":
@@ -49,32 +63,18 @@ class WordTokenizer:
 
     def ids(self, text: str) -> bytes:
         """Ids as unsigned 32-bit little-endian numbers."""
-        words, known = text.split(), self.words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > KEPT_WORDS:
-                known.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = self._word(w)
-            return b"".join([known[w] for w in words])
+        if len(self.words) > KEPT_WORDS:
+            self.words = Words(self._word, dict(self.words))
+        words = self.words
+        return b"".join([words[w] for w in text.split()])
 
     def _word(self, word: str) -> bytes:
         if max(word) < PLAIN:
             stem = word.rstrip(MARKS)
             if stem.isalpha():
                 lower, tail = stem.lower(), word[len(stem) :]
-                head = self.words.get(lower)
-                if head is None:
-                    text = lower if lower.isascii() else "".join([self.letters[b] for b in lower.encode()])
-                    head = self.words[lower] = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
-                return head + self._whole(tail) if tail else head
-        return self._whole(word)
-
-    def _whole(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-            self.words[word] = ids
-        return ids
+                if tail or lower != word:
+                    return self.words[lower] + (self.words[tail] if tail else b"")
+                text = lower if lower.isascii() else "".join([self.letters[b] for b in lower.encode()])
+                return np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
