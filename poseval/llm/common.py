@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,6 @@ from poseval.session import stage
 
 #: The characters that separate words: space, and \t \n \v \f \r.
 SPACES = r"[\x20\x09-\x0D]"
-WORD_LIMIT_BYTES = 64 * 1024 * 1024
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -35,24 +35,23 @@ def release(spark: SparkSession) -> None:
 
     Spark's cleaner removes them when the driver's garbage collector finds
     their owners unreachable; a driver with a quiet heap may not get there for
-    half an hour while executors' disks fill.
+    half an hour while executors' disks fill. The first round lets go of what
+    Python held, the second finds it gone.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back; what led to it may go."""
+def staged(df: DataFrame, name: str, heavy: bool = False) -> DataFrame:
+    """Written to the shared folder and read back; ``heavy`` drops the shuffles that led to it."""
     out = stage(df, name)
-    release(df.sparkSession)
+    if heavy:
+        release(df.sparkSession)
     return out
 
 
-def read_size(spark: SparkSession, df: DataFrame) -> int:
-    """Estimated bytes of a frame that reads files, from Spark's own statistics."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
 def tasks_for(spark: SparkSession, rows: int, per_task: int) -> int:
     """Shuffle partitions for ``rows``: the session's number, or more so that none exceeds ``per_task``."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task), 1)

@@ -226,7 +226,7 @@ def exact_duplicates(docs: DataFrame, batches: int = 3, shard_keys: int = SHARD_
     repeated = groups.where("n > 1")
     same = check_bytes(docs, rows.join(repeated.select("sha"), "sha", "left_semi"))
     unchecked = repeated.where("keep_id IS NULL").select("sha")
-    known = staged(same.union(unchecked).distinct(), "compared")
+    known = staged(same.union(unchecked).distinct(), "compared", heavy=True)
     checked = groups.where("n = 1").union(repeated.join(known, "sha", "left_semi"))
     named = rows.join(checked, "sha").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     wins = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("most")) & (F.col("copy") == 1)

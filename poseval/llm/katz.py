@@ -431,7 +431,7 @@ def score_documents(
         # Blocks hold at most their tokens in distinct n-grams.
         buckets = max(shuffles, -(-totals.tokens // bucket_ngrams), 1)
         asked = _ask(_with_answers(blocks, answers), levels, totals, buckets, hot_from)
-        answers.append(staged(_add_up(asked, buckets), f"level-{n}"))
+        answers.append(staged(_add_up(asked, buckets), f"level-{n}", heavy=True))
         level, types = _summed(answers[-1], buckets)
         levels.append(level)
         if n == 1:

@@ -245,7 +245,7 @@ def fingerprint_links(fps: DataFrame, group: int = GROUP) -> DataFrame:
     rows = pivot_table(fps).select(F.lit(0).cast("long").alias("grp"), F.lit(-1).cast("long").alias("free"), "fp", "distances")
     out, first = None, True
     while True:
-        found = staged(_search(_spread(rows, first), group), "simhash")
+        found = staged(_search(_spread(rows, first), group), "simhash", heavy=True)
         links = found.where("other IS NOT NULL").select("fp", "other")
         out = links if out is None else out.union(links)
         rows, first = found.where("other IS NULL").drop("other"), False
@@ -278,7 +278,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     An id names one text; its repeated rows stay together. Of documents without an id those
     linked to one with an id go, and of the others one of each fingerprint stays.
     """
-    marked = staged(near_duplicates(docs), "near-duplicates")
+    marked = staged(near_duplicates(docs), "near-duplicates", heavy=True)
     gone = marked.where("doc_id IS NOT NULL AND component_id != doc_id").select("doc_id").distinct()
     named = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").select(docs.columns)
 

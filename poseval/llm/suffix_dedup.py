@@ -386,7 +386,7 @@ def repeated_strings(docs: DataFrame, bucket: int = BUCKET, sample: int = SAMPLE
     heads, rows = numbered(docs)
     size = heads.agg(F.coalesce(F.sum(F.col("n_bytes") * F.col("copies")), F.lit(0))).first()[0]
     tasks = tasks_for(spark, size // 35, 1 << 19)
-    found = staged(_repeated(_found_anchors(rows, 64), tasks), "anchors")
+    found = staged(_repeated(_found_anchors(rows, 64), tasks), "anchors", heavy=True)
     copies = heads.where("copy").select("seq")
     places = found.join(copies, "seq", "left_anti")
     # The sample grows thinner as candidates grow, by a hash of their place.
@@ -398,7 +398,7 @@ def repeated_strings(docs: DataFrame, bucket: int = BUCKET, sample: int = SAMPLE
     splitters = sorted({leads[k * len(leads) // buckets] for k in range(1, buckets)}) if leads else []
     grouped = places.groupBy("seq").agg(F.collect_list("packed").alias("places"))
     suffixes = _suffixes(rows.join(grouped, "seq"), splitters)
-    marks = staged(_marks(suffixes, splitters, tasks_for(spark, n, 1 << 18)), "marks")
+    marks = staged(_marks(suffixes, splitters, tasks_for(spark, n, 1 << 18)), "marks", heavy=True)
     in_order = Window.partitionBy("digest").orderBy("seq", "start")
     across = marks.where("digest IS NOT NULL").withColumn("nth", F.row_number().over(in_order)).where("nth > 1")
     spans = marks.where("digest IS NULL").select("seq", "start", "stop").union(across.select("seq", "start", "stop"))
