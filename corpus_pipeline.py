@@ -54,6 +54,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}", heavy=True)
     name, stage = STAGES[-1]
     return staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
