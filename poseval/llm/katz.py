@@ -11,7 +11,8 @@ tokens are evaluated from them recursively: a seen n-gram has its discounted
 count, another the context's backoff weight times the next shorter n-gram.
 
 N-grams are summed per block before they move, in packed arrays of a few bytes
-each. All followers of a context meet in its bucket, except those of very
+each; from the second level on a word goes by its number in its first bucket,
+which takes three bytes where its hash takes eight. All followers of a context meet in its bucket, except those of very
 frequent contexts, which spread over all buckets by word; their sums per bucket
 are added up afterwards. Such contexts are bounded in number by the threshold,
 a share of all tokens.
@@ -110,21 +111,23 @@ class Grams(NamedTuple):
     real: np.ndarray  # not a start mark
 
 
-def grams(block: Block, lower: Grams | None) -> Grams:
+def grams(block: Block, lower: Grams | None, names: np.ndarray | None = None) -> Grams:
+    """The next level; ``names`` are the words' numbers, known after the first."""
     begins = block.begins
+    names = block.vocab if names is None else names
     if lower is None:
         n = len(block.vocab)
         at, first = block.tokens, np.zeros(n, np.int64)
         first[at[::-1]] = np.arange(len(at))[::-1]
-        context, shorter, hashed = np.zeros(n, np.int64), np.zeros(n, np.int64), block.vocab
+        context, shorter, hashed = np.zeros(n, np.int64), np.zeros(n, np.int64), names
     else:
         before = np.where(begins, np.arange(len(begins)), np.arange(len(begins)) - 1)
         pair = lower.at[before].astype(np.int64) * len(block.vocab) + block.tokens
         _, first, at = np.unique(pair, return_index=True, return_inverse=True)
         context, shorter = lower.at[before][first], lower.at[first]
-        hashed = _chain(lower.hashed[context], block.vocab[block.tokens[first]])
+        hashed = _chain(lower.hashed[context], names[block.tokens[first]])
     count = np.bincount(at[block.trained], minlength=len(first))
-    return Grams(at, hashed, context, shorter, block.vocab[block.tokens[first]], count, ~begins[first])
+    return Grams(at, hashed, context, shorter, names[block.tokens[first]], count, ~begins[first])
 
 
 class Level(NamedTuple):
@@ -192,16 +195,19 @@ def evaluate(block: Block, answers: dict[int, dict[int, tuple]], levels: list[Le
     done: list[Evaluated] = []
     for n, level in enumerate(levels, 1):
         lower = done[-1] if done else None
-        g = grams(block, lower.grams if lower else None)
+        g = grams(block, lower.grams if lower else None, done[0].grams.word if done else None)
         low = lower.probability[g.shorter] if lower else np.ones(len(g.hashed))
         asked, context, bucket = _split(
             g, lower.grams if lower else None, lower.count if lower else None, low, level.buckets, hot_from
         )
         count, follow, seen = np.zeros(len(g.hashed), np.int64), np.zeros((len(g.hashed), CUT)), np.zeros(len(g.hashed))
-        for b, (counts, followers, mass) in answers.get(n, {}).items():
+        names = np.full(len(g.hashed), START, np.uint64)
+        for b, (counts, followers, mass, ranks) in answers.get(n, {}).items():
             lo, hi = np.searchsorted(bucket, [b, b + 1])
             at = asked[lo:hi]
             count[at] = _unpack(counts, np.uint32)
+            if ranks is not None:
+                names[at] = (b << 32) + np.cumsum(_unpack(ranks, np.uint32).astype(np.uint64))
             own = np.cumsum(np.r_[True, context[lo:hi][1:] != context[lo:hi][:-1]]) - 1
             follow[at] = _unpack(followers, np.uint32).reshape(-1, CUT)[own]
             seen[at] = _unpack(mass, np.float64)[own]
@@ -223,6 +229,8 @@ def evaluate(block: Block, answers: dict[int, dict[int, tuple]], levels: list[Le
             backoff = np.where(none, 1.0, left) / base / (1 - seen)
             p = np.where(count > 0, _discounted(count, level.discounts) / base, backoff * low)
         p = np.where(of_context > 0, p, low)
+        if lower is None:
+            g = g._replace(hashed=names, word=names)
         # The start mark is no event; as a context it occurs once per training document.
         done.append(Evaluated(g, np.where(g.real, count, totals.documents), p))
     return done
@@ -279,23 +287,25 @@ def _blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
     )
 
 
-_ANSWER = "block long, bucket int, counts binary, followers binary, mass binary, context long, sums array<double>"
+_ANSWER = "block long, bucket int, counts binary, followers binary, mass binary, ranks binary, context long, sums array<double>"
+_LISTED = ["level", "bucket", "counts", "followers", "mass", "ranks"]
 
 
 def _answers_of(row: dict) -> dict[int, dict[int, tuple]]:
     out: dict[int, dict[int, tuple]] = {}
     for a in row["answers"] or []:
-        out.setdefault(a["level"], {})[a["bucket"]] = (a["counts"], a["followers"], a["mass"])
+        out.setdefault(a["level"], {})[a["bucket"]] = (a["counts"], a["followers"], a["mass"], a["ranks"])
     return out
 
 
 def _with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
     """Blocks with the answers to them; they are as many as a block has n-grams."""
     if not answers:
-        return blocks.withColumn("answers", F.lit(None).cast("array<struct<level:int,bucket:int,counts:binary,followers:binary,mass:binary>>"))
+        kind = "array<struct<level:int,bucket:int,counts:binary,followers:binary,mass:binary,ranks:binary>>"
+        return blocks.withColumn("answers", F.lit(None).cast(kind))
     rows = [a.where("block >= 0").withColumn("level", F.lit(n)) for n, a in enumerate(answers, 1)]
     every = reduce(DataFrame.union, rows).groupBy("block")
-    listed = every.agg(F.collect_list(F.struct("level", "bucket", "counts", "followers", "mass")).alias("answers"))
+    listed = every.agg(F.collect_list(F.struct(*_LISTED)).alias("answers"))
     return blocks.join(listed, "block", "left")
 
 
@@ -308,7 +318,7 @@ def _ask(rows: DataFrame, levels: list[Level], totals: Totals | None, buckets: i
                 block = Block.load(row["vocab"], row["tokens"], row["lengths"], row["train"])
                 done = evaluate(block, _answers_of(row), levels, totals, hot_from)
                 lower = done[-1] if done else None
-                g = grams(block, lower.grams if lower else None)
+                g = grams(block, lower.grams if lower else None, done[0].grams.word if done else None)
                 low = lower.probability[g.shorter] if lower else np.zeros(len(g.hashed))
                 asked, context, bucket = _split(
                     g, lower.grams if lower else None, lower.count if lower else None, low, buckets, hot_from
@@ -319,26 +329,29 @@ def _ask(rows: DataFrame, levels: list[Level], totals: Totals | None, buckets: i
                     if lo == hi:
                         continue
                     at, own = asked[lo:hi], context[lo:hi]
+                    values, which = np.unique(low[at], return_inverse=True)
                     edge = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
                     packed = [
-                        _pack(own[edge]),
+                        _pack(np.diff(own[edge], prepend=_EMPTY)),
                         _pack(_small(np.diff(np.r_[edge, len(own)]) * 2 + hot[lo:hi][edge])),
                         _pack(g.word[at]),
-                        _pack(low[at]),
+                        _pack(values),
+                        _pack(_small(which)),
                         _pack(_small(g.count[at])),
                     ]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([row["block"]]), pa.array([int(bucket[lo])], pa.int32()), *[pa.array([p], pa.binary()) for p in packed]],
-                        names=["block", "bucket", "contexts", "runs", "words", "low", "counts"],
+                        names=["block", "bucket", "contexts", "runs", "words", "low", "low_at", "counts"],
                     )
 
     return rows.mapInArrow(
-        run, "block long, bucket int, contexts binary, runs binary, words binary, low binary, counts binary"
+        run,
+        "block long, bucket int, contexts binary, runs binary, words binary, low binary, low_at binary, counts binary",
     )
 
 
-def _add_up(asked: DataFrame, tasks: int) -> DataFrame:
-    """Answers to blocks; sums of divided contexts under block -2, and of the level under -1."""
+def _add_up(asked: DataFrame, tasks: int, numbered: bool) -> DataFrame:
+    """Answers to blocks, with the words' numbers if ``numbered``; sums of divided contexts under block -2, and of the level under -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[dict]] = {}
@@ -348,17 +361,17 @@ def _add_up(asked: DataFrame, tasks: int) -> DataFrame:
         while held:
             bucket, rows = held.popitem()
             out = list(answer(bucket, rows))
-            schema = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.float64())]
-            names = ["block", "bucket", "counts", "followers", "mass", "context", "sums"]
+            schema = [pa.int64(), pa.int32(), *[pa.binary()] * 4, pa.int64(), pa.list_(pa.float64())]
+            names = ["block", "bucket", "counts", "followers", "mass", "ranks", "context", "sums"]
             for k in range(0, len(out), 256):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 256]), schema)], names=names)
 
     def answer(bucket: int, rows: list[dict]) -> Iterator[tuple]:
-        contexts = [_unpack(r["contexts"], np.uint64) for r in rows]
+        contexts = [np.cumsum(_unpack(r["contexts"], np.uint64)) for r in rows]
         runs = [_unpack(r["runs"], np.uint32).astype(np.int64) for r in rows]
         each = np.concatenate([np.repeat(c, n >> 1) for c, n in zip(contexts, runs)])
         word = np.concatenate([_unpack(r["words"], np.uint64) for r in rows])
-        low = np.concatenate([_unpack(r["low"], np.float64) for r in rows])
+        low = np.concatenate([_unpack(r["low"], np.float64)[_unpack(r["low_at"], np.uint32)] for r in rows])
         count = np.concatenate([_unpack(r["counts"], np.uint32) for r in rows]).astype(np.int64)
         hot = np.concatenate([np.repeat(n & 1, n >> 1) for n in runs])
         order = np.lexsort((word, each))
@@ -367,8 +380,8 @@ def _add_up(asked: DataFrame, tasks: int) -> DataFrame:
         new = np.flatnonzero(new_context | np.r_[True, sorted_word[1:] != sorted_word[:-1]])
         total = np.add.reduceat(count[order], new)
         sizes = np.diff(np.r_[new, len(order)])
-        every = np.empty(len(order), np.int64)
-        every[order] = np.repeat(total, sizes)
+        every, rank = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        every[order], rank[order] = np.repeat(total, sizes), np.repeat(np.arange(len(new)), sizes)
         # Per context: followers by count, and the lower-order probability of those seen.
         groups = np.cumsum(new_context[new]) - 1
         seen = np.flatnonzero(total > 0)
@@ -381,13 +394,16 @@ def _add_up(asked: DataFrame, tasks: int) -> DataFrame:
         for r, c, m in zip(rows, contexts, runs):
             size = int((m >> 1).sum())
             place = np.searchsorted(names, c)
-            yield r["block"], bucket, _pack(_small(every[at : at + size])), _pack(_small(followers[place].ravel())), _pack(mass[place]), None, None
+            # Words of the first level are asked in order, so their ranks rise.
+            own = _pack(_small(np.diff(rank[at : at + size], prepend=0))) if numbered else None
+            packed = _pack(_small(every[at : at + size])), _pack(_small(followers[place].ravel())), _pack(mass[place]), own
+            yield r["block"], bucket, *packed, None, None
             at += size
         divided = np.unique(groups[np.searchsorted(new, np.flatnonzero(hot[order]), "right") - 1])
         for k in divided.tolist():
-            yield -2, bucket, None, None, None, int(names[k : k + 1].view(np.int64)[0]), [*followers[k].astype(float), float(mass[k])]
+            yield -2, bucket, None, None, None, None, int(names[k : k + 1].view(np.int64)[0]), [*followers[k].astype(float), float(mass[k])]
         often = np.bincount(np.minimum(total[seen], CUT + 2), minlength=CUT + 3)[1 : CUT + 2]
-        yield -1, bucket, None, None, None, None, [*often.astype(float), float(len(seen))]
+        yield -1, bucket, None, None, None, None, None, [*often.astype(float), float(len(seen))]
 
     return asked.repartition(tasks, "bucket").mapInArrow(run, _ANSWER)
 
@@ -431,7 +447,7 @@ def score_documents(
         # Blocks hold at most their tokens in distinct n-grams.
         buckets = max(shuffles, -(-totals.tokens // bucket_ngrams), 1)
         asked = _ask(_with_answers(blocks, answers), levels, totals, buckets, hot_from)
-        answers.append(staged(_add_up(asked, buckets), f"level-{n}", heavy=True))
+        answers.append(staged(_add_up(asked, buckets, n == 1), f"level-{n}", heavy=True))
         level, types = _summed(answers[-1], buckets)
         levels.append(level)
         if n == 1:
