@@ -451,7 +451,93 @@ _LATEST = f"""SELECT {_BITS} AS zobr64, eval, mate, depth, fen, first_move, n -
   SELECT *, row_number() OVER (PARTITION BY zobr64 ORDER BY fen DESC) AS rn,
          count(*) OVER (PARTITION BY zobr64) AS n FROM simplified) WHERE rn = 1"""
 
+# Input lines over made-up boards: five lines to a board, depths cut at 20.
+_define(
+    "legal",
+    ["made", "built_made", "keys_made"],
+    """SELECT board, arg_min(fen, row_id) AS fen, arg_min(hi, row_id) AS hi FROM (
+         SELECT row_id - row_id % 5 AS board, row_id, fen, hi
+         FROM made JOIN built_made USING (fen) JOIN keys_made USING (id) WHERE syntax IS NULL AND bad IS NULL)
+       GROUP BY board""",
+)
+_define(
+    "capped_last",
+    ["evals"],
+    """SELECT row_id, CAST(cp AS INT) AS eval, CAST(mate AS INT) AS mate, CAST(d AS INT) AS depth
+       FROM (SELECT *, least(depth, 20) AS d,
+               row_number() OVER (PARTITION BY row_id ORDER BY least(depth, 20) DESC, ord DESC) AS rn FROM evals)
+       WHERE rn = 1 AND NOT empty_pvs""",
+)
+_define(
+    "lines",
+    ["keyed", "legal", "capped_last"],
+    """SELECT k.row_id, l.fen, l.hi AS zobr64, c.eval, c.mate, c.depth
+       FROM keyed k JOIN legal l ON l.board = k.row_id - k.row_id % 5 LEFT JOIN capped_last c ON c.row_id = k.row_id""",
+)
+_JSON = """'{"eval":' || coalesce(CAST(eval AS VARCHAR), 'null') || ',"mate":' || coalesce(CAST(mate AS VARCHAR), 'null')
+  || ',"depth":' || depth || ',"fen":"' || fen || '"}' AS v"""
+
 ORACLES: dict[str, str] = {
+    "simplify_counters": _query(
+        ["keyed", "best_first", "simplified"],
+        """SELECT count(*) AS input_rows, count(*) - count(depth) AS skipped_rows_without_eval,
+             (SELECT count(*) FROM simplified) AS output_rows FROM keyed LEFT JOIN best_first USING (row_id)""",
+    ),
+    "build_kv_counters": _query(
+        ["enc_flat"],
+        """SELECT count(*) AS input_rows, count(encode_error) AS skipped_rows,
+             count(DISTINCT zobr64) FILTER (encode_error IS NULL) AS written_keys FROM enc_flat""",
+    ),
+    "build_kv_letters": _query(
+        ["enc_flat"],
+        f"""SELECT * FROM (WITH found_letters AS (SELECT fen_letter AS letter, count(*) AS rows FROM enc_flat
+              WHERE encode_error = 'castling' GROUP BY fen_letter) {_LETTERS})""",
+    ),
+    "build_deepest_job": _query(
+        ["lines"],
+        f"""SELECT row_number() OVER (ORDER BY k) - 1 AS ord, k, v FROM (
+              SELECT {_KHEX} AS k, {_JSON}
+              FROM (SELECT *, row_number() OVER (PARTITION BY zobr64 ORDER BY depth DESC, row_id) AS rn
+                    FROM lines WHERE depth IS NOT NULL) WHERE rn = 1)""",
+    ),
+    "build_deepest_counters": _query(
+        ["lines"],
+        """SELECT count(*) + count(*) FILTER (row_id % 50 = 7) AS lines, count(depth) AS rows_with_eval,
+             count(*) - count(depth) AS rows_missing_eval,
+             count(*) FILTER (depth > before) AS updated_keys, count(*) FILTER (depth <= before) AS kept_existing_keys,
+             count(DISTINCT zobr64) FILTER (depth IS NOT NULL) AS written_keys
+           FROM (SELECT *, coalesce(max(depth) OVER (PARTITION BY zobr64 ORDER BY row_id
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS before FROM lines)""",
+    ),
+    "lookup_latest": _query(
+        ["simplified"], f"SELECT * EXCLUDE (skipped) FROM ({_LATEST}) WHERE zobr64 = 11400714819323198485 - 18446744073709551616"
+    ),
+    "ingest_job": _query(
+        ["keyed", "evals"],
+        """SELECT any_value(fen) AS fen, coalesce(string_agg(knodes || ':' || depth || ':' ||
+             CASE WHEN empty_pvs THEN '' ELSE coalesce(CAST(cp AS VARCHAR), 'NULL') || '/'
+               || coalesce(CAST(mate AS VARCHAR), 'NULL') || '/' || line END, '|' ORDER BY ord), '') AS entries
+           FROM keyed LEFT JOIN evals USING (row_id) GROUP BY row_id""",
+    ),
+    "read_scores_json": _query(
+        ["keyed", "evals"],
+        """SELECT any_value(fen) AS fen, coalesce(string_agg(depth || ':' ||
+             CASE WHEN empty_pvs THEN '' ELSE coalesce(CAST(cp AS VARCHAR), 'NULL') || '/'
+               || coalesce(CAST(mate AS VARCHAR), 'NULL') END, '|' ORDER BY ord), '') AS entries
+           FROM keyed LEFT JOIN evals USING (row_id) GROUP BY row_id""",
+    ),
+    "add_position_key_job": _query(
+        ["made", "built_made", "keys_made"],
+        """SELECT row_id, CAST(hi AS VARCHAR) AS zobr64, lpad(hex(hi), 16, '0') || lpad(hex(lo), 16, '0') AS zobr128
+           FROM made JOIN built_made USING (fen) JOIN keys_made USING (id) WHERE syntax IS NULL AND bad IS NULL""",
+    ),
+    "scan_castling_job": _query(
+        ["moved"],
+        f"""SELECT * FROM (WITH head AS (SELECT * FROM moved WHERE o_orderkey < ceil(total * 0.25)),
+              found_letters AS (SELECT letter, count(*) AS rows FROM head WHERE letter IS NOT NULL GROUP BY letter)
+              SELECT *, (SELECT count(*) FROM head) AS sampled_rows, (SELECT count(letter) FROM head) AS failed_rows
+              FROM ({_LETTERS}))""",
+    ),
     "read_eval_json": _query(
         ["keyed", "evals"],
         """SELECT any_value(fen) AS fen, coalesce(string_agg(knodes || ':' || depth || ':' ||
@@ -664,12 +750,14 @@ ORACLES: dict[str, str] = {
     "slice_rows": "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 250 OFFSET 100",
     "global_sort": _query(
         ["keyed"],
-        "SELECT row_id, CASE WHEN row_id % 3 <> 0 THEN CAST(zobr64 AS VARCHAR) END AS zobr64, fen FROM keyed",
+        """SELECT row_number() OVER (ORDER BY CASE WHEN row_id % 3 <> 0 THEN zobr64 END NULLS FIRST, row_id) - 1 AS ord,
+             row_id, CASE WHEN row_id % 3 <> 0 THEN CAST(zobr64 AS VARCHAR) END AS zobr64, fen FROM keyed""",
     ),
     "sortedness_violations": _query(
         ["keyed"],
-        f"""SELECT 'part-00000' AS file, row_id AS row, {_BITS.replace("zobr64", "before")} AS previous_key64, {_BITS} AS key64
-            FROM (SELECT row_id, zobr64, lag(zobr64) OVER (ORDER BY row_id) AS before FROM keyed) WHERE zobr64 < before""",
+        f"""SELECT file, row_id AS row, {_BITS.replace("zobr64", "before")} AS previous_key64, {_BITS} AS key64
+            FROM (SELECT *, lag(zobr64) OVER (ORDER BY file, row_id) AS before
+                  FROM (SELECT *, 'part-' || ((row_id // 1000) % 7) AS file FROM keyed)) WHERE zobr64 < before""",
     ),
     "is_sorted_head": _query(
         ["keyed"],

@@ -5,10 +5,9 @@ Keys and binary values are rendered as text so both engines compare equal.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import tables as T
@@ -23,7 +22,8 @@ from poseval.operators import quality as Q
 from poseval.operators import simplify as S
 from poseval.operators import text as X
 from poseval.plans import jobs as J
-from poseval.session import shared_folder, stage
+from poseval.schema import SCORE_SCHEMA
+from poseval.session import new_folder, stage
 from poseval.sources import readers as R
 
 ORD = ["row_id"]
@@ -172,8 +172,11 @@ def castling_letter_distribution(spark, folder):
 
 
 def castling_distribution_by_decile(spark, folder):
-    rows = _with_move(O.with_decile(_orders(spark, folder)))
-    return Q.letter_snapshots(K.with_encode_error(rows))
+    """Over a stored table of encodable rows in order number order."""
+    path = _folder(spark, "encodable")
+    rows = _with_move(_orders(spark, folder))
+    rows.repartitionByRange(5, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(path)
+    return Q.castling_distribution_by_decile(R.read_table(spark, path))
 
 
 def bad_castling_scan(spark, folder):
@@ -236,6 +239,13 @@ def rows_with_duplicate_key(spark, folder):
     return A.rows_with_duplicate_key(table).select(_key(), "fen", "depth")
 
 
+def lookup_latest(spark, folder):
+    """A key above 2^63 - 1 in the stored table of bit patterns."""
+    dst = _folder(spark, "latest")
+    J.build_latest(spark, _simple_table(spark, folder), dst)
+    return A.lookup_key(R.read_table(spark, dst), LOOKUP)
+
+
 def lookup_key(spark, folder):
     return A.lookup_key(T.keyed(spark, folder), LOOKUP).select("row_id", _key(), "fen")
 
@@ -257,15 +267,22 @@ def slice_rows(spark, folder):
 
 
 def global_sort(spark, folder):
-    """The sorted table with its position, taken from the sorted partitions."""
+    """The sorted rows with their place in the order of partitions and rows."""
     rows = T.keyed(spark, folder).withColumn("zobr64", F.when(F.col("row_id") % 3 != 0, F.col("zobr64")))
     ordered = Q.global_sort(rows, "zobr64", 8, ["row_id"])
-    return ordered.select("row_id", _key(), "fen")
+    # Ids rise along the sorted partitions, so their rank is the place.
+    placed = stage(ordered.withColumn("_id", F.monotonically_increasing_id()), "sorted")
+    place = F.row_number().over(Window.orderBy("_id")).cast("long") - 1
+    return placed.withColumn("ord", place).select("ord", "row_id", _key(), "fen")
 
 
 def sortedness_violations(spark, folder):
-    rows = T.keyed(spark, folder).withColumn("file", F.lit("part-00000"))
-    return Q.sortedness_violations(rows, "zobr64", "file", "row_id")
+    """Over seven stored files whose keys fall inside files and between them."""
+    path = _folder(spark, "keyed")
+    rows = T.keyed(spark, folder).withColumn("file", F.floor(F.col("row_id") / 1000) % 7)
+    rows.repartition(7, "file").sortWithinPartitions("file", "row_id").write.partitionBy("file").parquet(path)
+    table = spark.read.parquet(path).withColumn("name", F.concat(F.lit("part-"), "file"))
+    return Q.sortedness_violations(table, "zobr64", "name", "row_id")
 
 
 def is_sorted_head(spark, folder):
@@ -291,7 +308,7 @@ def diagnose_text(spark, folder):
 
 
 def _folder(spark, name):
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return new_folder(spark, name)
 
 
 def read_eval_json(spark, folder):
@@ -299,11 +316,14 @@ def read_eval_json(spark, folder):
     path = _folder(spark, "json")
     lines = T.eval_rows(spark, folder).select(F.to_json(F.struct("fen", "evals")).alias("value"))
     lines.write.option("compression", "gzip").text(path)
-    rows = R.read_eval_json(spark, f"{path}/*.gz")
+    return R.read_eval_json(spark, f"{path}/*.gz").select("fen", _entries().alias("entries"))
+
+
+def _entries():
     entry = lambda e: F.concat_ws(
         ":", e["knodes"], e["depth"], F.array_join(F.transform(e["pvs"], _variation), ",")
     )
-    return rows.select("fen", F.array_join(F.transform("evals", entry), "|").alias("entries"))
+    return F.array_join(F.transform("evals", entry), "|")
 
 
 def _variation(pv):
@@ -347,7 +367,117 @@ def build_kv_job(spark, folder):
     return O.with_row_ordinal(R.read_table(spark, dst)).select("ord", F.hex("k").alias("k"), F.hex("v").alias("v"))
 
 
+def _counters(spark, counts):
+    """Plain numbers of a job's counters as one row."""
+    numbers = {k: v for k, v in counts.items() if isinstance(v, int)}
+    return spark.createDataFrame([tuple(numbers.values())], ", ".join(f"{k} long" for k in numbers))
+
+
+def simplify_counters(spark, folder):
+    src, dst = _folder(spark, "nested"), _folder(spark, "simple")
+    T.eval_rows(spark, folder).write.parquet(src)
+    return _counters(spark, J.simplify(spark, src, dst))
+
+
+def _kv_counts(spark, folder):
+    src, dst = _folder(spark, "flat"), _folder(spark, "kv")
+    T.flat_rows(spark, folder).write.parquet(src)
+    return J.build_kv(spark, src, dst, check_sorted=False)
+
+
+def build_kv_counters(spark, folder):
+    return _counters(spark, _kv_counts(spark, folder))
+
+
+def build_kv_letters(spark, folder):
+    return _kv_counts(spark, folder)["castling_letters"]
+
+
+def _raw(spark, folder, rows):
+    """Compressed JSON lines of ``fen, evals`` in ``row_id`` order, several files, with blank lines."""
+    path = _folder(spark, "raw")
+    lines = rows.select("row_id", F.to_json(F.struct("fen", "evals")).alias("value"))
+    blank = lines.where("row_id % 50 = 7").withColumn("value", F.lit(" "))
+    ordered = lines.union(blank).repartitionByRange(4, "row_id").sortWithinPartitions("row_id", "value")
+    ordered.select("value").write.option("compression", "gzip").text(path)
+    return f"{path}/*.gz"
+
+
+def _legal_rows(spark, folder):
+    """Nested rows over made-up boards that have a key, five lines to a board."""
+    boards = N.with_position_key(T.positions(spark, folder), on_error="null").where("position_error IS NULL")
+    boards = stage(boards.select((F.col("row_id") - F.col("row_id") % 5).alias("board"), "row_id", "fen"), "boards")
+    boards = boards.groupBy("board").agg(F.min_by("fen", "row_id").alias("fen"))
+    rows = T.eval_rows(spark, folder).select("row_id", "evals", (F.col("row_id") - F.col("row_id") % 5).alias("board"))
+    flat = F.transform("evals", lambda e: e.withField("depth", F.least(e["depth"], F.lit(20).cast("bigint"))))
+    return rows.join(boards, "board").select("row_id", "fen", flat.alias("evals"))
+
+
+def ingest_job(spark, folder):
+    """Compressed lines of several files as the stored nested table, entries as text."""
+    dst = _folder(spark, "nested")
+    path = _raw(spark, folder, T.eval_rows(spark, folder))
+    J.ingest_evals(spark, path, dst, file=path)
+    return R.read_table(spark, dst).select("fen", _entries().alias("entries"))
+
+
+def read_scores_json(spark, folder):
+    """The narrow reader over the input that the job would choose."""
+    path = _raw(spark, folder, T.eval_rows(spark, folder))
+    rows = R.read_eval_json(spark, R.resolve_eval_input(spark, path, file=path), SCORE_SCHEMA)
+    entry = lambda e: F.concat_ws(":", e["depth"], F.array_join(F.transform(e["pvs"], _score), ","))
+    return rows.select("fen", F.array_join(F.transform("evals", entry), "|").alias("entries"))
+
+
+def _score(pv):
+    text = lambda c: F.coalesce(c.cast("string"), F.lit("NULL"))
+    return F.concat_ws("/", text(pv["cp"]), text(pv["mate"]))
+
+
+def add_position_key_job(spark, folder):
+    src, dst = _folder(spark, "nested"), _folder(spark, "hashed")
+    N.with_position_key(T.positions(spark, folder), on_error="null").where("position_error IS NULL").select(
+        "row_id", "fen"
+    ).write.parquet(src)
+    J.add_position_key(spark, src, dst)
+    return R.read_table(spark, dst).select("row_id", _key(), F.hex("zobr128").alias("zobr128"))
+
+
+def _deepest(spark, folder):
+    path, dst = _raw(spark, folder, _legal_rows(spark, folder)), _folder(spark, "deepest")
+    return J.build_deepest(spark, path, dst, file=path), dst
+
+
+def build_deepest_job(spark, folder):
+    """The stored values by key; many lines share a position and a depth."""
+    table = R.read_table(spark, _deepest(spark, folder)[1])
+    return O.with_row_ordinal(table).select("ord", F.hex("k").alias("k"), "v")
+
+
+def build_deepest_counters(spark, folder):
+    return _counters(spark, _deepest(spark, folder)[0])
+
+
+def scan_castling_job(spark, folder):
+    """Letters of the failing rows in the first quarter of a stored table."""
+    src = _folder(spark, "encodable")
+    rows = _with_move(_orders(spark, folder))
+    rows.repartitionByRange(5, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(src)
+    found, letters, counts = J.scan_castling(spark, src, 25.0)
+    return letters.select("*", *[F.lit(v).cast("long").alias(k) for k, v in counts.items()])
+
+
 _ALL = [
+    simplify_counters,
+    build_kv_counters,
+    build_kv_letters,
+    build_deepest_job,
+    build_deepest_counters,
+    lookup_latest,
+    ingest_job,
+    read_scores_json,
+    add_position_key_job,
+    scan_castling_job,
     read_eval_json,
     sort_table_job,
     simplify_job,

@@ -9,14 +9,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from poseval.schema import key64_column, require_columns, to_unsigned, unsigned_order
+from poseval.schema import holds_bits, key64_column, require_columns, to_unsigned, unsigned_order
 from poseval.session import stage
 
 
-def lookup_key(df: DataFrame, key: int | str) -> DataFrame:
-    """Rows of one key; the literal reaches the scan as a pushed filter."""
-    return df.where(F.col("zobr64") == F.lit(str(key)).cast(df.schema["zobr64"].dataType))
+def lookup_key(df: DataFrame, key: int | str, bits: bool | None = None) -> DataFrame:
+    """Rows of one key; the literal reaches the scan as a pushed filter.
+
+    ``bits`` tells whether a BIGINT column holds the bits of the unsigned key;
+    by default its metadata says so, as in the latest table. A key that the
+    column's type cannot hold has no rows.
+    """
+    number = int(key)
+    if not 0 <= number < 2**64:
+        raise ValueError("a key is an unsigned 64-bit number")
+    if holds_bits(df) if bits is None else bits:
+        number -= 2**64 if number >= 2**63 else 0
+    kind = df.schema["zobr64"].dataType
+    if isinstance(kind, T.LongType) and number >= 2**63 or isinstance(kind, T.IntegerType) and number >= 2**31:
+        return df.where(F.lit(False))
+    return df.where(F.col("zobr64") == F.lit(str(number)).cast(kind))
 
 
 def _repeated(df: DataFrame, *more: Column) -> DataFrame:
@@ -62,26 +76,36 @@ def _distinct_positions(df: DataFrame) -> DataFrame:
     return keyed.groupBy("key64", "fen").agg(F.count(F.lit(1)).alias("copies"))
 
 
+FIELDS = ["board", "turn", "castling", "ep"]
+
+
 def collision_profile(df: DataFrame) -> DataFrame:
     """Per duplicated key: rows, distinct values per field and their kind.
 
-    Fields split at single spaces; a missing field counts as one value.
+    Fields split at single spaces; a missing field counts as one value. Where
+    a field's smallest and largest value under a key agree, it has one value;
+    only the others are counted out, each from its own rows.
     """
     require_columns(df, ["zobr64", "fen"])
     parts = F.split("fen", " ")
     field = lambda i: F.coalesce(F.get(parts, F.lit(i)), F.lit("\u0000"))
-    cells = _distinct_positions(df).select(
-        "key64",
-        "copies",
-        field(0).alias("board"),
-        field(1).alias("turn"),
-        field(2).alias("castling"),
-        field(3).alias("ep"),
+    cells = stage(
+        _distinct_positions(df).select("key64", "copies", *[field(i).alias(c) for i, c in enumerate(FIELDS)]), "cells"
+    )
+    profile = stage(
+        cells.groupBy("key64").agg(
+            F.sum("copies").alias("rows"),
+            F.count(F.lit(1)).alias("fen_unique"),
+            *[(F.min(c) != F.max(c)).alias(f"{c}_differs") for c in FIELDS],
+        ),
+        "profile",
     )
-    profile = cells.groupBy("key64").agg(
-        F.sum("copies").alias("rows"),
-        F.count(F.lit(1)).alias("fen_unique"),
-        *[F.countDistinct(c).alias(f"{c}_unique") for c in ("board", "turn", "castling", "ep")],
+    differing = F.array_compact(F.array(*[F.when(F.col(f"{c}_differs"), F.struct(F.lit(c).alias("field"), F.col(c).alias("value"))) for c in FIELDS]))
+    values = cells.join(profile, "key64").select("key64", F.inline(differing)).distinct()
+    counts = values.groupBy("key64", "field").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.groupBy("key64").agg(*[F.max(F.when(F.col("field") == c, F.col("n"))).alias(f"{c}_n") for c in FIELDS])
+    unique = profile.join(counts, "key64", "left").select(
+        "key64", "rows", "fen_unique", *[F.coalesce(f"{c}_n", F.lit(1).cast("bigint")).alias(f"{c}_unique") for c in FIELDS]
     )
     only = (
         (F.col("board_unique") == 1)
@@ -90,9 +114,9 @@ def collision_profile(df: DataFrame) -> DataFrame:
         & (F.col("castling_unique") > 1)
     )
     kind = F.when(F.col("castle_rights_only"), "castle_rights_only").otherwise("other_fen_difference")
-    return profile.select(
+    return unique.select(
         to_unsigned(F.col("key64")).alias("zobr64"),
-        *[c for c in profile.columns if c != "key64"],
+        *[c for c in unique.columns if c != "key64"],
         only.alias("castle_rights_only"),
     ).withColumn("difference_type", kind)
 

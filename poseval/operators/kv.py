@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from poseval.functions import codec as C
@@ -34,19 +34,32 @@ def with_encode_error(df: DataFrame) -> DataFrame:
     return compute_once(_checked(df), df.columns, found, "_found").select(*df.columns, "_found.*")
 
 
-def with_entry(df: DataFrame) -> DataFrame:
-    """Add the 39-byte ``entry``; rows that cannot be encoded are left out."""
-    require_columns(df, ["depth"])
-    entry = C.encode_entry(
+def _entry() -> Column:
+    return C.encode_entry(
         C.score_of(F.col("eval"), F.col("mate")),
         F.col("depth"),
         C.pack_move(F.col("first_move"), C.score_kind(F.col("mate"))),
         C.board34_hex(*[F.col(c) for c in ("expanded", "side", "castling", "ep")]),
     )
-    valid = F.when(F.col("encode_error").isNull(), entry)
+
+
+def with_entry(df: DataFrame) -> DataFrame:
+    """Add the 39-byte ``entry``; rows that cannot be encoded are left out."""
+    require_columns(df, ["depth"])
+    valid = F.when(F.col("encode_error").isNull(), _entry())
     return compute_once(_checked(df), df.columns, valid, "entry").where("entry IS NOT NULL")
 
 
+def encoded_rows(df: DataFrame, order: list[str]) -> DataFrame:
+    """``key64, entry, encode_error, bad_letter`` and ``order`` of every row, failures included."""
+    require_columns(df, ["depth", *order])
+    letter = P.bad_castling_letter(F.col("encode_error"), F.col("castling"))
+    entry = F.when(F.col("encode_error").isNull(), _entry())
+    found = F.struct(entry.alias("entry"), "encode_error", letter.alias("bad_letter"))
+    keyed = df.withColumn("key64", key64_column(df))
+    return compute_once(_checked(keyed), ["key64", *order], found, "_found").select("key64", *order, "_found.*")
+
+
 def kv_all_entries(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     """``(k, v)`` per key: count byte, then every entry in ``order`` (default fen).
 
@@ -58,10 +71,14 @@ def kv_all_entries(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     order = order or ["fen"]
     columns = list(dict.fromkeys(["zobr64", "eval", "mate", "depth", "fen", "first_move", *order]))
     rows = with_entry(df.select(*columns))
-    rank = F.row_number().over(Window.partitionBy("key64").orderBy(*order))
+    return grouped_entries(rows.select(key64_column(df).alias("key64"), "entry", *order), order)
+
+
+def grouped_entries(rows: DataFrame, order: list[str]) -> DataFrame:
+    """The same from rows with ``key64`` and ``entry``; rows equal in ``order`` follow by entry."""
+    rank = F.row_number().over(Window.partitionBy("key64").orderBy(*order, "entry"))
     ranked = (
-        rows.select(key64_column(df).alias("key64"), "entry", *order)
-        .withColumn("nth", rank)
+        rows.withColumn("nth", rank)
         .where(F.col("nth") <= C.MAX_ENTRIES + 1)
         .select("key64", "nth", "entry")
     )
@@ -76,8 +93,15 @@ def kv_all_entries(df: DataFrame, order: list[str] | None = None) -> DataFrame:
 
 
 def decode_kv(kv: DataFrame) -> DataFrame:
-    """One row per stored entry: key, position in the value and all fields."""
-    n = F.conv(F.hex(F.substring("v", 1, 1)), 16, 10).cast("int")
+    """One row per stored entry: key, position in the value and all fields.
+
+    A value is a count from 1 to 255 and as many entries of 39 bytes; any other
+    stops the job.
+    """
+    count = F.conv(F.hex(F.substring("v", 1, 1)), 16, 10).cast("int")
+    wrong = F.concat(F.lit("value is not a count and its entries: key "), F.hex("k"))
+    fits = (count > 0) & (F.octet_length("v") == 1 + C.ENTRY_BYTES * count)
+    n = F.when(F.coalesce(fits, F.lit(False)), count).otherwise(F.raise_error(wrong).cast("int"))
     key = F.conv(F.hex("k"), 16, 10).cast("decimal(20,0)")
     entries = kv.select(key.alias("zobr64"), "v", F.explode_outer(F.sequence(F.lit(0), n - 1)).alias("nth"))
     text = entries.select("zobr64", "nth", F.hex(C.entry_bytes(F.col("v"), F.col("nth"))).alias("text"))

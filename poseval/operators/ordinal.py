@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from poseval.session import stage
+
 FILE = "_file"
 ROW = "_row_index"
 
@@ -42,9 +44,8 @@ def rows_per_file(df: DataFrame) -> DataFrame:
 
     One row per file, so the ordered running sum is over file counts only.
     """
-    counts = df.select(file_order(F.col("_metadata.file_path")).alias(FILE)).groupBy(FILE).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    paths = df.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    counts = paths.select(file_order(F.col("path")).alias(FILE), "n")
     earlier = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("bigint")))
 
@@ -60,8 +61,8 @@ def with_row_ordinal(df: DataFrame, name: str = "ord") -> DataFrame:
     they are broadcast and the data stays in place; beyond it Spark sorts and
     merges, splitting large files as skewed partitions.
     """
-    offsets = rows_per_file(df).select(FILE, "before")
-    if len(df.inputFiles()) <= MAX_BROADCAST_FILES:
+    offsets = stage(rows_per_file(df).select(FILE, "before"), "file-offsets")
+    if offsets.count() <= MAX_BROADCAST_FILES:
         offsets = F.broadcast(offsets)
     columns = [F.col(c) for c in df.columns]
     return (
@@ -136,8 +137,8 @@ def head_percent(df: DataFrame, percent: float) -> DataFrame:
     return _between(with_location(df), first, end)
 
 
-def with_decile(df: DataFrame) -> DataFrame:
-    """Add ``percent``: the first of 10, 20, .. 100 whose prefix holds the row.
+def decile_of(df: DataFrame) -> Column:
+    """Expression on ``with_location`` columns: the first of 10, 20, .. 100 whose prefix holds the row.
 
     The prefix at p holds ``ceil(rows * p / 100)`` rows; nine boundaries
     decide, so the scan needs no join.
@@ -147,4 +148,9 @@ def with_decile(df: DataFrame) -> DataFrame:
     label = F.lit(100)
     for percent, spot in reversed(list(zip(percents, spots))):
         label = F.when(_before(spot), percent).otherwise(label)
-    return with_location(df).withColumn("percent", label).drop(FILE, ROW)
+    return label
+
+
+def with_decile(df: DataFrame) -> DataFrame:
+    """Add ``percent`` as in ``decile_of`` to a file scan."""
+    return with_location(df).withColumn("percent", decile_of(df)).drop(FILE, ROW)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +15,7 @@ from poseval.operators import ordinal as O
 from poseval.operators.kv import with_encode_error
 from poseval.operators.positions import with_board
 from poseval.schema import compute_once, key64_column, require_columns, unsigned_order
+from poseval.session import stage
 
 
 def assert_required(df: DataFrame, on_error: str = "fail") -> DataFrame:
@@ -27,15 +32,16 @@ def assert_required(df: DataFrame, on_error: str = "fail") -> DataFrame:
     return df.withColumn("fen", checked)
 
 
-def letter_distribution(rows: DataFrame) -> DataFrame:
+def letter_distribution(rows: DataFrame, weight: str | None = None) -> DataFrame:
     """Rows per ``bad_letter``, by letter; the row ``-, 0`` when there is none.
 
-    Only the counts, one per letter, come together in the last step.
+    ``weight`` names a column with the number of rows each row stands for. Only
+    the counts, one per letter, come together in the last step.
     """
     counts = (
         rows.where(F.col("bad_letter").isNotNull())
         .groupBy(F.col("bad_letter").alias("letter"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.sum(weight or F.lit(1)).alias("rows"))
     )
     table = counts.agg(F.sort_array(F.collect_list(F.struct("letter", "rows"))).alias("letters"))
     none = F.array(F.struct(F.lit("-").alias("letter"), F.lit(0).cast("bigint").alias("rows")))
@@ -52,7 +58,7 @@ def castling_distribution_by_decile(df: DataFrame) -> DataFrame:
     return letter_snapshots(with_encode_error(O.with_decile(df)))
 
 
-def letter_snapshots(rows: DataFrame) -> DataFrame:
+def letter_snapshots(rows: DataFrame, weight: str | None = None) -> DataFrame:
     """Running distributions from rows with ``percent`` and ``bad_letter``.
 
     The rows are aggregated to at most ten per letter first; the join that
@@ -61,7 +67,7 @@ def letter_snapshots(rows: DataFrame) -> DataFrame:
     counts = (
         rows.where(F.col("bad_letter").isNotNull())
         .groupBy("percent", F.col("bad_letter").alias("letter"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum(weight or F.lit(1)).alias("n"))
     )
     shown = counts.select(
         "letter", "n", F.explode(F.sequence(F.col("percent"), F.lit(100), F.lit(10))).alias("percent")
@@ -86,38 +92,70 @@ def bad_castling_scan(df: DataFrame) -> DataFrame:
     return compute_once(checked, df.columns, letter, "bad_letter").where("bad_letter IS NOT NULL")
 
 
-# Rows per window in the sortedness check; a bound on task size, not on input.
-CHUNK = 1 << 20
+def _stretches(rows: DataFrame) -> DataFrame:
+    """Falls inside each stretch of a scan, and each stretch's two ends.
+
+    A stretch is what one task reads in a row from one file. Falls have
+    ``before``; ends have the ``last`` value. Row order is the scan's, so no
+    sort is needed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_end = None  # file, first row, first value, last row, last value of the stretch so far
+
+        def out(file, row, before, value, last) -> pa.RecordBatch:
+            columns = [pa.array(file, pa.string()), *(pa.array(c, pa.int64()) for c in (row, before, value, last))]
+            return pa.RecordBatch.from_arrays(columns, names=["file", "row", "before", "value", "last"])
+
+        def end(e) -> pa.RecordBatch:
+            return out([e[0]], [e[1]], [None], [e[2]], [e[4]])
+
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            file = b.column(0).dictionary_encode()
+            code, row, value = file.indices.to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()
+            # Rows may be filtered out before the check, so a stretch only has to rise.
+            new = np.flatnonzero((code[1:] != code[:-1]) | (row[1:] <= row[:-1])) + 1
+            falls = np.flatnonzero((value[1:] < value[:-1]) & (code[1:] == code[:-1]) & (row[1:] > row[:-1])) + 1
+            if len(falls):
+                none = np.full(len(falls), None)
+                yield out(b.column(0).take(pa.array(falls)).to_pylist(), row[falls], value[falls - 1], value[falls], none)
+            for lo, hi in zip([0, *new.tolist()], [*new.tolist(), len(row)]):
+                name = b.column(0)[lo].as_py()
+                if open_end and (open_end[0] != name or row[lo] <= open_end[3]):
+                    yield end(open_end)
+                    open_end = None
+                if open_end is None:
+                    open_end = [name, row[lo], value[lo], row[hi - 1], value[hi - 1]]
+                else:
+                    if value[lo] < open_end[4]:
+                        yield out([name], [row[lo]], [open_end[4]], [value[lo]], [None])
+                    open_end[3:] = row[hi - 1], value[hi - 1]
+        if open_end:
+            yield end(open_end)
+
+    return rows.mapInArrow(run, "file string, row long, before long, value long, last long")
 
 
 def sortedness_violations(df: DataFrame, key: str = "zobr64", file: str = O.FILE, row: str = O.ROW) -> DataFrame:
     """Rows whose key is below the key before them in (file, row) order.
 
-    Each window covers one chunk of 2^20 consecutive rows, so neither a huge
-    file nor the whole table meets in one task. Keys across chunk borders are
-    compared on a table of one row per chunk.
+    ``df`` is a file scan (filters and added columns are fine), so each task
+    sees its rows in order and one vectorised pass compares neighbours; the
+    data is not shuffled. Keys across splits and files are compared on a table
+    of one row per split.
     """
     value = unsigned_order(key64_column(df, key))
     rows = df.select(
-        F.col(file).alias("file"),
-        F.col(row).cast("bigint").alias("row"),
-        F.floor(F.col(row) / CHUNK).alias("chunk"),
-        value.alias("value"),
-    )
-    inner = Window.partitionBy("file", "chunk").orderBy("row")
-    inside = rows.withColumn("before", F.lag("value").over(inner))
-    ends = rows.groupBy("file", "chunk").agg(
-        F.min("row").alias("row"),
-        F.min_by("value", "row").alias("value"),
-        F.max_by("value", "row").alias("last"),
-    )
-    across = ends.withColumn("before", F.lag("last").over(Window.orderBy("file", "chunk")))
-    shown = ["file", "row", "before", "value"]
-    found = inside.select(*shown).unionByName(across.select(*shown)).where("value < before")
+        F.col(file).alias("file"), F.col(row).cast("bigint").alias("row"), value.alias("value")
+    ).where("value IS NOT NULL")
+    found = stage(_stretches(rows), "sortedness")
+    ends = found.where("last IS NOT NULL")
+    across = ends.withColumn("before", F.lag("last").over(Window.orderBy("file", "row"))).where("value < before")
+    falls = found.where("before IS NOT NULL").unionByName(across)
     plain = lambda c: unsigned_order(F.col(c))
-    return found.select(
-        "file", "row", plain("before").alias("previous_key64"), plain("value").alias("key64")
-    )
+    return falls.select("file", "row", plain("before").alias("previous_key64"), plain("value").alias("key64"))
 
 
 def is_sorted_head(df: DataFrame, column: str, order: list[str], n: int = 20) -> DataFrame:
@@ -167,16 +205,6 @@ def job_metrics(df: DataFrame) -> DataFrame:
     )
 
 
-def line_metrics(df: DataFrame) -> DataFrame:
-    """Counters of the deepest-per-key build over its input lines."""
-    has_eval = F.coalesce(E.best_eval_last(F.col("evals"))["usable"], F.lit(False))
-    return df.select(has_eval.alias("has_eval")).agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(F.col("has_eval")).alias("rows_with_eval"),
-        F.count_if(~F.col("has_eval")).alias("rows_missing_eval"),
-    )
-
-
 def load_metrics(df: DataFrame) -> DataFrame:
     """Counters of the key/value load: rows read, skipped and keys written.
 

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from poseval.operators import ordinal as O
 from poseval.operators import quality as Q
-from poseval.operators.kv import kv_all_entries, with_encode_error
+from poseval.operators.kv import encoded_rows, grouped_entries
 from poseval.operators.positions import with_position_key
-from poseval.operators.simplify import deepest_per_key, latest_per_key, simplify_positions
+from poseval.operators.simplify import deepest_of, latest_per_key, scored_rows, simplify_positions, upsert_counts
 from poseval.operators.text import diagnose_text
-from poseval.schema import SCORE_SCHEMA, read_simplified, require_columns
-from poseval.session import stage
+from poseval.schema import SCORE_SCHEMA, read_simplified, require_columns, to_unsigned
+from poseval.session import delete_folder, new_folder, stage, staging
 from poseval.sources import readers as R
 from poseval.sources import sinks as S
 
@@ -42,11 +42,12 @@ def ingest_evals(
 ) -> dict:
     """Nested JSON lines to nested Parquet. An existing output is replaced.
 
-    The part size is estimated on the first lines of each file as they are
-    read, before any spreading, so the sample does not shuffle the input.
+    The part size is estimated on the first lines of the first file, which one
+    task reads; nothing is shuffled for it.
     """
     path = R.resolve_eval_input(spark, src, file, first_only)
-    limit = S.rows_per_part(R.read_eval_json(spark, path, partitions=0), target_mb, zstd_level)
+    head = R.resolve_eval_input(spark, src, file, first_only=True)
+    limit = S.rows_per_part(R.read_eval_json(spark, head, partitions=0), target_mb, zstd_level)
     rows = Q.assert_required(R.read_eval_json(spark, path, partitions=partitions))
     S.write_parts(rows, dst, target_mb, zstd_level, overwrite=True, src=src, max_rows=limit)
     return {"output_rows": _rows(spark, dst)}
@@ -83,11 +84,11 @@ def sort_table(
     """
     table = R.read_table(spark, src)
     require_columns(table, [column])
-    rows = table.count()
-    if rows == 0:
+    if table.isEmpty():
         raise ValueError("input holds no rows")
     located = table.select("*", F.col("_metadata.row_index").alias(O.ROW))
-    S.write_sorted(located, dst, column, rows, [O.ROW], [O.ROW], target_mb, zstd_level, overwrite, src)
+    size = S.folder_bytes(spark, src)
+    S.write_sorted(located, dst, column, size, [O.ROW], [O.ROW], target_mb, zstd_level, overwrite, src)
     return {"output_rows": _rows(spark, dst)}
 
 
@@ -102,20 +103,24 @@ def simplify(
     """One deepest row per distinct position, sorted by key and position.
 
     The reduced table is stored once in the shared folder, sized from its
-    files, then range-sorted into the output.
+    files, then range-sorted into the output. It carries the number of rows
+    that went into each kept one, so the counters read no input again.
     """
     S.check_output(spark, src, dst, overwrite)
+    S._check_sizes(target_mb, zstd_level)
     table = R.read_table(spark, src)
-    reduced = simplify_positions(O.with_location(table), ORDER)
-    stored = stage(reduced, "simplify")
-    rows = stored.count()
-    S.write_sorted(stored, dst, "zobr64", rows, ["fen"], None, target_mb, zstd_level, overwrite, src)
-    counters = Q.job_metrics(table.select("evals")).first()
-    return {
-        "input_rows": counters["input_rows"],
-        "skipped_rows_without_eval": counters["skipped_without_eval"],
-        "output_rows": rows,
-    }
+    folder = new_folder(spark, "simplify")
+    try:
+        reduced = simplify_positions(O.with_location(table), ORDER, count="_n")
+        S._writer(reduced, "errorifexists", zstd_level).parquet(folder)
+        stored = spark.read.schema(reduced.schema).parquet(folder)
+        size = S.folder_bytes(spark, folder)
+        S.write_sorted(stored, dst, "zobr64", size, ["fen"], ["_n"], target_mb, zstd_level, overwrite, src)
+        found = stored.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_n"), F.lit(0)).alias("used")).first()
+    finally:
+        delete_folder(spark, folder)
+    read = table.count()
+    return {"input_rows": read, "skipped_rows_without_eval": read - found["used"], "output_rows": found["rows"]}
 
 
 def _require_sorted(table: DataFrame) -> None:
@@ -132,6 +137,7 @@ def build_latest(
     overwrite: bool = False,
     zstd_level: int = S.ZSTD_LEVEL,
     check_sorted: bool = True,
+    target_mb: int = S.TARGET_MB,
 ) -> dict:
     """One row per key, the last in arrival order wins; key as BIGINT bits."""
     S.check_output(spark, src, dst, overwrite, empty=True)
@@ -139,7 +145,7 @@ def build_latest(
     rows = read_simplified(O.with_location(table))
     if check_sorted:
         _require_sorted(rows)
-    S.write_latest_table(latest_per_key(rows, ORDER).drop("skipped"), dst, zstd_level, overwrite, src)
+    S.write_latest_table(latest_per_key(rows, ORDER).drop("skipped"), dst, target_mb, zstd_level, overwrite, src)
     read, written = table.count(), _rows(spark, dst)
     return {"input_rows": read, "inserted_rows": written, "skipped_duplicate_keys": read - written}
 
@@ -150,23 +156,41 @@ def build_kv(
     dst: str,
     overwrite: bool = False,
     zstd_level: int = S.ZSTD_LEVEL,
-    partitions: int | None = None,
+    target_mb: int = S.TARGET_MB,
     check_sorted: bool = True,
 ) -> dict:
-    """Compact binary table with all entries of a key, plus castling letters."""
+    """Compact binary table with all entries of a key, plus castling letters.
+
+    The input is encoded once into a stored table (key, entry or error, and
+    place); the sort check, the build and all counters read that.
+    ``castling_letters`` and ``castling_snapshots`` (letters of the first 10%,
+    20%, .. of the rows) are tables, one row per letter however many there are.
+    """
     S.check_output(spark, src, dst, overwrite, empty=True)
     table = R.read_table(spark, src)
     rows = read_simplified(O.with_location(table))
-    if check_sorted:
-        _require_sorted(with_encode_error(rows).where("encode_error IS NULL"))
-    S.write_kv(kv_all_entries(rows, ORDER), dst, partitions, zstd_level, overwrite, src)
-    plain = read_simplified(table)
-    counters = Q.load_metrics(plain).first()
+    percent = O.decile_of(table)
+    with staging(spark) as put:
+        encoded = put(encoded_rows(rows, ORDER), "encoded")
+        good = encoded.where("encode_error IS NULL")
+        if check_sorted:
+            _require_sorted(good.select(to_unsigned(F.col("key64")).alias("zobr64"), *ORDER))
+        S.write_kv(grouped_entries(good.select("key64", "entry", *ORDER), ORDER), dst, target_mb, zstd_level, overwrite, src)
+        counts = stage(
+            encoded.groupBy(percent.alias("percent"), F.col("encode_error").isNull().alias("good"), "bad_letter").agg(
+                F.count(F.lit(1)).alias("n")
+            ),
+            "kv-counts",
+        )
+    total = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("read"), F.coalesce(F.sum(F.when(~F.col("good"), F.col("n"))), F.lit(0)).alias("skipped")
+    ).first()
     return {
-        "input_rows": counters["input_rows"],
-        "skipped_rows": counters["skipped_rows"],
+        "input_rows": total["read"],
+        "skipped_rows": total["skipped"],
         "written_keys": _rows(spark, dst),
-        "castling_letters": {r["letter"]: r["rows"] for r in Q.letter_distribution(with_encode_error(plain)).limit(1000).collect()},
+        "castling_letters": Q.letter_distribution(counts, "n"),
+        "castling_snapshots": Q.letter_snapshots(counts, "n"),
     }
 
 
@@ -179,25 +203,37 @@ def build_deepest(
     overwrite: bool = False,
     constants: list[tuple[int, int]] | None = None,
     partitions: int | None = None,
-    count_lines: bool = True,
+    target_mb: int = S.TARGET_MB,
 ) -> dict:
     """JSON lines straight to one JSON value per key, the deepest.
 
-    ``count_lines`` reads the input a second time for its counters.
+    Among lines of equal depth the first in file and line order stays. Lines
+    are read and parsed once, into a stored table of one scored row per line;
+    the result and the counters of a load in that order come from it. Blank
+    lines count as lines.
     """
     S.check_output(spark, src, dst, overwrite, empty=True)
     path = R.resolve_eval_input(spark, src, file, first_only)
-    rows = R.read_eval_json(spark, path, SCORE_SCHEMA, partitions)
-    kv = deepest_per_key(with_position_key(rows, constants))
-    S.write_kv(kv, dst, overwrite=overwrite, src=src)
-    counters = Q.line_metrics(rows).first().asDict() if count_lines else {}
+    lines = R.read_lines(spark, path, partitions)
+    with staging(spark) as put:
+        parsed = with_position_key(R.parse_all_lines(lines, SCORE_SCHEMA), constants, on_error="null")
+        bad = ~F.col("blank") & F.col("position_error").isNotNull()
+        message = F.concat_ws(" ", "position_error", F.lit("in"), F.coalesce("fen", F.lit("a line without fen")))
+        checked = parsed.withColumn("fen", F.when(bad, F.raise_error(message).cast("string")).otherwise(F.col("fen")))
+        scored = put(scored_rows(checked, R.LINE_ORDER), "scored")
+        S.write_kv(deepest_of(scored), dst, target_mb, overwrite=overwrite, src=src)
+        counters = upsert_counts(scored).first().asDict()
+        # Blank lines are the rows without a key.
+        counters["rows_missing_eval"] -= scored.where("key64 IS NULL").count()
     return {**counters, "written_keys": _rows(spark, dst)}
 
 
-def scan_castling(spark: SparkSession, src: str, percent: float = 1.0) -> tuple[DataFrame, DataFrame]:
-    """Failing positions of the first ``percent`` of the rows, and their letters."""
-    found = Q.bad_castling_scan(O.head_percent(R.read_table(spark, src), percent))
-    return found, Q.letter_distribution(found)
+def scan_castling(spark: SparkSession, src: str, percent: float = 1.0) -> tuple[DataFrame, DataFrame, dict]:
+    """Failing positions of the first ``percent`` of the rows, their letters, and counters."""
+    table = R.read_table(spark, src)
+    head = O.head_percent(table, percent)
+    found = stage(Q.bad_castling_scan(head), "castling-scan")
+    return found, Q.letter_distribution(found), {"sampled_rows": head.count(), "failed_rows": found.count()}
 
 
 def diagnose(df: DataFrame, text: str = "text") -> DataFrame:

@@ -90,18 +90,33 @@ def key_bytes(key64: Column) -> Column:
     return F.unhex(F.lpad(F.hex(key64), 16, "0"))
 
 
+# Column metadata of a BIGINT key that holds the bits of the unsigned number.
+# Parquet files written by Spark keep it.
+BITS = {"key": "bits"}
+
+
+def holds_bits(df: DataFrame, name: str = "zobr64") -> bool:
+    """Whether a key column holds bit patterns, as the latest table's does."""
+    field = df.schema[name]
+    return isinstance(field.dataType, T.LongType) and field.metadata.get("key") == BITS["key"]
+
+
 def key64_column(df: DataFrame, name: str = "zobr64") -> Column:
-    """``key64`` from either accepted key type.
+    """``key64`` from any accepted key type.
 
-    A BIGINT key column holds plain non-negative numbers, so a negative one is
-    an error and not a bit pattern.
+    A BIGINT key column holds plain non-negative numbers unless its metadata
+    says that it holds bits; a negative plain number is an error, as is a
+    decimal below 0 or from 2^64 on. Decimals with a scale are refused.
     """
     dtype = df.schema[name].dataType
     key = F.col(name)
-    if isinstance(dtype, T.DecimalType):
-        return to_key64(key)
+    message = F.concat(F.lit("key does not fit an unsigned 64-bit number: "), key.cast("string"))
+    if isinstance(dtype, T.DecimalType) and dtype.scale == 0:
+        wrong = (key < 0) | (key > F.lit("18446744073709551615").cast(UNSIGNED))
+        return F.when(wrong, F.raise_error(message).cast("bigint")).otherwise(to_key64(key.cast(UNSIGNED)))
+    if holds_bits(df, name):
+        return key
     if isinstance(dtype, (T.LongType, T.IntegerType)):
-        message = F.concat(F.lit("key does not fit an unsigned 64-bit number: "), key.cast("string"))
         return F.when(key < 0, F.raise_error(message)).otherwise(key.cast("bigint"))
     raise TypeError(f"column {name} must be an unsigned or non-negative 64-bit key, got {dtype}")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,8 +44,42 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage through a table in the shared folder; it survives executors."""
-    folder = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A name in the shared folder that nothing has yet."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _store(df: DataFrame, folder: str) -> DataFrame:
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage through a table in the shared folder; it survives executors.
+
+    For results that are still to be read: the table stays there, and whoever
+    owns the shared folder clears it.
+    """
+    return _store(df, new_folder(df.sparkSession, name))
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder by the file system it is in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``stage`` for tables that only the enclosed block reads; they go at its end."""
+    folders: list[str] = []
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        folders.append(new_folder(spark, name))
+        return _store(df, folders[-1])
+
+    try:
+        yield put
+    finally:
+        for folder in folders:
+            delete_folder(spark, folder)

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from poseval.operators.ordinal import file_order
 from poseval.schema import EVAL_SCHEMA
 
 EVAL_GLOB = "*.jsonl.zst"
 PARQUET_GLOB = "*.{[pP][aA][rR][qQ][uU][eE][tT]}"
 # Compressions that one task must read from start to end.
 UNSPLITTABLE = ("zst", "gz")
+# Columns that order lines: file, split, and number within the split.
+LINE_ORDER = ["_line_file", "_line_block", "_line_no"]
 
 
 def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
@@ -43,23 +46,55 @@ def read_eval_json(
 ) -> DataFrame:
     """Parse JSON lines with a fixed schema; a malformed line stops the job.
 
-    A ``.zst`` file can only be decompressed by one task. That task does no
-    more than cut lines: they are spread over ``partitions`` tasks (default:
-    the session's shuffle partitions) before parsing, unless there are already
-    more files than that. ``partitions=0`` never spreads. Blank lines are
-    skipped, unknown fields ignored.
+    Blank lines are skipped, unknown fields ignored; see ``read_lines`` for
+    how lines are spread.
     """
-    lines = spark.read.text(path)
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions")) if partitions is None else partitions
-    files = lines.inputFiles()
-    if len(files) < wanted and any(f.rsplit(".", 1)[-1] in UNSPLITTABLE for f in files):
-        lines = lines.repartition(wanted)
-    parsed = lines.where(F.col("value").rlike(r"\S")).select(
-        F.from_json("value", schema, {"mode": "FAILFAST"}).alias("_row")
-    )
+    return parse_lines(read_lines(spark, path, partitions), schema)
+
+
+def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """``value`` of every line, blank ones too, with ``LINE_ORDER``: where it stood.
+
+    A compressed file can only be read by one task. That task does no more than
+    cut and number lines: they are spread over ``partitions`` tasks (default:
+    the session's shuffle partitions) by a hash of the line and its number,
+    which needs no sort and gives the same split on every attempt. 0 never
+    spreads; files that can be split stay where they are read.
+    """
+    place = [
+        file_order(F.col("_metadata.file_path")).alias("_line_file"),
+        F.col("_metadata.file_block_start").alias("_line_block"),
+        F.monotonically_increasing_id().alias("_line_no"),
+    ]
+    lines = spark.read.text(path).select("value", *place)
+    packed = F.col("path").rlike(rf"\.({'|'.join(UNSPLITTABLE)})$")
+    if partitions == 0 or list_files(spark, path, "*").where(packed).isEmpty():
+        return lines
+    wanted = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return lines.repartition(wanted, "value", "_line_no")
+
+
+def is_blank() -> Column:
+    return ~F.col("value").rlike(r"\S")
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType = EVAL_SCHEMA) -> DataFrame:
+    """The JSON object of each line that is not blank."""
+    parsed = lines.where(~is_blank()).select(_object(F.col("value"), schema).alias("_row"))
     return parsed.select("_row.*")
 
 
+def parse_all_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The JSON object of every line with ``LINE_ORDER`` and ``blank``; a blank line's fields are null."""
+    value = F.when(~is_blank(), F.col("value"))
+    parsed = lines.select(*LINE_ORDER, is_blank().alias("blank"), _object(value, schema).alias("_row"))
+    return parsed.select(*LINE_ORDER, "blank", "_row.*")
+
+
+def _object(value: Column, schema: T.StructType) -> Column:
+    return F.from_json(value, schema, {"mode": "FAILFAST"})
+
+
 def read_table(spark: SparkSession, folder: str) -> DataFrame:
     """All Parquet files of one folder; a folder without any is an error.
 

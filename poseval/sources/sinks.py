@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import math
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poseval.operators.quality import global_sort
 from poseval.schema import require_columns
-from poseval.session import shared_folder
+from poseval.session import delete_folder, new_folder
 from poseval.sources.readers import PARQUET_GLOB, has_files, list_files
 
 # Default part size and compression.
@@ -54,20 +53,30 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
     return list_files(spark, folder, PARQUET_GLOB).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()["b"]
 
 
+def parts_for(size: int, target_mb: int = TARGET_MB) -> int:
+    """Parts of about ``target_mb`` that ``size`` bytes fill."""
+    return max(math.ceil(size / (target_mb * MB)), 1)
+
+
 def rows_per_part(df: DataFrame, target_mb: int = TARGET_MB, zstd_level: int = ZSTD_LEVEL) -> int:
     """Rows that fill one part, from the size of a written sample of the table.
 
-    Meant for tables that are cheap to read: at most 250,000 rows are written
-    to the shared folder and measured.
+    One task reads the first partitions until it has 250,000 rows and writes
+    them to the shared folder, so nothing is shuffled for the sample and the
+    rest of the table is not touched. Meant for tables that come straight from
+    a scan; stored tables are sized by their files.
     """
     _check_sizes(target_mb, zstd_level)
     spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/part-size-{uuid.uuid4().hex}"
-    _writer(df.limit(SAMPLE_ROWS), "errorifexists", zstd_level).parquet(folder)
-    rows = spark.read.schema(df.schema).parquet(folder).count()
-    if rows == 0:
-        return MIN_ROWS_PER_PART
-    per_row = max(folder_bytes(spark, folder) / rows, 1.0)
+    folder = new_folder(spark, "part-size")
+    try:
+        _writer(df.coalesce(1).limit(SAMPLE_ROWS), "errorifexists", zstd_level).parquet(folder)
+        rows = spark.read.schema(df.schema).parquet(folder).count()
+        if rows == 0:
+            return MIN_ROWS_PER_PART
+        per_row = max(folder_bytes(spark, folder) / rows, 1.0)
+    finally:
+        delete_folder(spark, folder)
     return max(int(target_mb * MB / per_row), MIN_ROWS_PER_PART)
 
 
@@ -95,7 +104,7 @@ def write_sorted(
     df: DataFrame,
     dst: str,
     column: str,
-    rows: int,
+    size: int,
     spread: list[str],
     drop: list[str] | None = None,
     target_mb: int = TARGET_MB,
@@ -105,44 +114,62 @@ def write_sorted(
 ) -> None:
     """Globally sorted parts: one range partition per part of the wanted size.
 
-    Rows of equal ``column`` are ordered and divided by ``spread``; columns in
-    ``drop`` only serve the order and are not written.
+    ``size`` is the table's stored size in bytes. Rows of equal ``column`` are
+    ordered and divided by ``spread``; columns in ``drop`` only serve the order
+    and are not written.
     """
     _check_sizes(target_mb, zstd_level)
     mode = check_output(df.sparkSession, src, dst, overwrite)
     require_columns(df, [column, *spread])
     keep = [c for c in df.columns if c not in (drop or [])]
-    parts = max(math.ceil(rows / rows_per_part(df.select(keep), target_mb, zstd_level)), 1)
-    _writer(global_sort(df, column, parts, spread).select(keep), mode, zstd_level).parquet(dst)
+    ordered = global_sort(df, column, parts_for(size, target_mb), spread)
+    _writer(ordered.select(keep), mode, zstd_level).parquet(dst)
+
+
+def _write_by_key(df: DataFrame, key: str, dst: str, target_mb: int, zstd_level: int, mode: str) -> None:
+    """Parts of about ``target_mb`` in ``key`` order.
+
+    The rows are stored once, so they are computed once and their size is
+    known; range sampling and the sort then read the stored table.
+    """
+    spark = df.sparkSession
+    folder = new_folder(spark, "by-key")
+    try:
+        _writer(df, "errorifexists", zstd_level).parquet(folder)
+        parts = parts_for(folder_bytes(spark, folder), target_mb)
+        stored = spark.read.schema(df.schema).parquet(folder)
+        _writer(stored.repartitionByRange(parts, key).sortWithinPartitions(key), mode, zstd_level).parquet(dst)
+    finally:
+        delete_folder(spark, folder)
 
 
 def write_kv(
     kv: DataFrame,
     dst: str,
-    partitions: int | None = None,
+    target_mb: int = TARGET_MB,
     zstd_level: int = ZSTD_LEVEL,
     overwrite: bool = False,
     src: str | None = None,
 ) -> None:
     """Key/value table, sorted by key; keys are unique, so ranges stay even."""
     require_columns(kv, ["k", "v"])
-    _check_sizes(TARGET_MB, zstd_level)
+    _check_sizes(target_mb, zstd_level)
     mode = check_output(kv.sparkSession, src, dst, overwrite, empty=True)
-    ranged = kv.repartitionByRange(partitions, "k") if partitions else kv.repartitionByRange("k")
-    _writer(ranged.sortWithinPartitions("k"), mode, zstd_level).parquet(dst)
+    _write_by_key(kv, "k", dst, target_mb, zstd_level, mode)
 
 
 def write_latest_table(
-    latest: DataFrame, dst: str, zstd_level: int = ZSTD_LEVEL, overwrite: bool = False, src: str | None = None
+    latest: DataFrame,
+    dst: str,
+    target_mb: int = TARGET_MB,
+    zstd_level: int = ZSTD_LEVEL,
+    overwrite: bool = False,
+    src: str | None = None,
 ) -> None:
-    """Table with one row per key, clustered by key so lookups prune files."""
-    mode = check_output(latest.sparkSession, src, dst, overwrite, empty=True)
-    ranged = latest.repartitionByRange("zobr64").sortWithinPartitions("zobr64")
-    _writer(ranged, mode, zstd_level).parquet(dst)
+    """Table with one row per key, in key order so that lookups prune files.
 
-
-def assert_unique_key(df: DataFrame, key: str) -> None:
-    """Fail when a key occurs twice; counts merge before the shuffle."""
-    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"key {twice[0][0]!r} is not unique")
+    Its key is unique by construction: it comes from a grouping by key.
+    """
+    _check_sizes(target_mb, zstd_level)
+    mode = check_output(latest.sparkSession, src, dst, overwrite, empty=True)
+    _write_by_key(latest, "zobr64", dst, target_mb, zstd_level, mode)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import tables as T
 from poseval.functions import codec as C
+from poseval.operators import analysis as A
 from poseval.operators import kv as K
 from poseval.operators import ordinal as O
 from poseval.operators import quality as Q
@@ -102,9 +103,13 @@ def test_latest_table_has_one_row_per_key(spark, flow):
     assert latest.count() == keys == counts["latest"]["inserted_rows"]
     assert dict(latest.dtypes)["zobr64"] == "bigint"
     assert counts["latest"]["skipped_duplicate_keys"] == counts["latest"]["input_rows"] - keys
-    W.assert_unique_key(latest, "zobr64")
-    with pytest.raises(ValueError, match="not unique"):
-        W.assert_unique_key(R.read_table(spark, paths["simple"]), "zobr64")
+    assert latest.select("zobr64").distinct().count() == keys
+    # Keys above 2^63 - 1 are found, and the filter reaches the scan.
+    high = next(r["zobr64"] for r in latest.collect() if r["zobr64"] < 0)
+    found = A.lookup_key(latest, high + 2**64)
+    assert [r["zobr64"] for r in found.collect()] == [high]
+    assert f"EqualTo(zobr64,{high})" in found._jdf.queryExecution().executedPlan().toString()
+    assert A.duplicate_summary(latest).first()["duplicate_rows"] == 0
 
 
 def test_kv_table_round_trip(spark, flow):
@@ -116,26 +121,136 @@ def test_kv_table_round_trip(spark, flow):
     back = {(str(r["zobr64"]), r["fen"]): r["depth"] for r in K.decode_kv(kv).collect()}
     rows = K.with_encode_error(R.read_table(spark, paths["simple"])).where("encode_error IS NULL").collect()
     assert back == {(str(r["zobr64"]), r["fen"]): min(r["depth"], 255) for r in rows}
-    assert counts["kv"]["castling_letters"] == {"H": 1} or counts["kv"]["castling_letters"] == {"-": 0}
+    letters = [tuple(r) for r in counts["kv"]["castling_letters"].collect()]
+    bad = sum(r["fen"].split(" ")[2] == "HAha" for r in R.read_table(spark, paths["simple"]).collect())
+    want = ("H", bad) if bad else ("-", 0)
+    assert letters == [want]
+    snapshots = {r["percent"]: (r["letter"], r["rows"]) for r in counts["kv"]["castling_snapshots"].collect()}
+    assert sorted(snapshots) == list(range(10, 101, 10)) and snapshots[100] == want
     assert counts["kv"]["input_rows"] - counts["kv"]["skipped_rows"] == len(rows)
 
 
 def test_deepest_table_matches_nested_flow(spark, flow):
     paths, counts = flow
     usable = [bool(r["evals"] and max(enumerate(r["evals"]), key=lambda e: (e[1]["depth"], e[0]))[1]["pvs"]) for r in json_rows()]
-    assert counts["deepest"]["lines"] == 600
+    assert counts["deepest"]["lines"] == 602  # one blank line ends each file
     assert counts["deepest"]["rows_with_eval"] == sum(usable)
     assert counts["deepest"]["rows_missing_eval"] == 600 - sum(usable)
     kv = R.read_table(spark, paths["deepest"])
-    want = {bytes(r["k"]): json.loads(r["v"])["depth"] for r in S.deepest_per_key(R.read_table(spark, paths["hashed"])).collect()}
-    assert {bytes(r["k"]): json.loads(r["v"])["depth"] for r in kv.collect()} == want
-    assert set(json.loads(kv.first()["v"])) == {"eval", "mate", "depth", "fen"}
+    best, updated = {}, 0
+    keys = {r["fen"]: int(r["zobr64"]) for r in R.read_table(spark, paths["hashed"]).select("fen", "zobr64").collect()}
+    for row, ok in zip(json_rows(), usable):
+        if ok:
+            last = max(enumerate(row["evals"]), key=lambda e: (e[1]["depth"], e[0]))[1]
+            pv, key = last["pvs"][0], keys[row["fen"]]
+            if key not in best or last["depth"] > best[key]["depth"]:
+                best[key] = {"eval": pv.get("cp"), "mate": pv.get("mate"), "depth": last["depth"], "fen": row["fen"]}
+                updated += 1
+    assert {int.from_bytes(r["k"], "big"): json.loads(r["v"]) for r in kv.collect()} == best
+    assert counts["deepest"]["updated_keys"] == updated
+    assert counts["deepest"]["kept_existing_keys"] == sum(usable) - updated
+    assert counts["deepest"]["written_keys"] == len(best)
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 13])
+def test_equal_depths_keep_the_first_line(spark, tmp_path, partitions):
+    """Lines of one position and depth, over two files: the first one stays however lines are spread."""
+    rows = [{"fen": T.CORPUS[20], "evals": [{"knodes": 1, "depth": 9, "pvs": [{"cp": cp, "line": "e2e4"}]}]} for cp in range(300, 0, -1)]
+    os.mkdir(tmp_path / "raw")
+    write_jsonl(tmp_path / "raw" / "a.jsonl.zst", rows[:150])
+    write_jsonl(tmp_path / "raw" / "b.jsonl.zst", rows[150:])
+    counts = J.build_deepest(spark, str(tmp_path / "raw"), str(tmp_path / "kv"), partitions=partitions)
+    (row,) = R.read_table(spark, str(tmp_path / "kv")).collect()
+    assert json.loads(row["v"])["eval"] == 300
+    assert (counts["lines"], counts["updated_keys"], counts["kept_existing_keys"]) == (302, 1, 299)
+
+
+def test_every_letter_is_counted(spark, tmp_path):
+    """More than a thousand different bad letters."""
+    rows = [(i, 1, None, 5, f"8/8/8/8/8/8/8/8 w {chr(0x4E00 + i)} -", "e2e4") for i in range(1500)]
+    table = spark.createDataFrame(rows, "zobr64 long, eval int, mate int, depth int, fen string, first_move string")
+    table.coalesce(1).write.parquet(str(tmp_path / "t"))
+    counts = J.build_kv(spark, str(tmp_path / "t"), str(tmp_path / "kv"))
+    letters = counts["castling_letters"].collect()
+    assert len(letters) == 1500 and sum(r["rows"] for r in letters) == counts["skipped_rows"] == 1500
+
+
+def test_size_sample_shuffles_nothing(spark, tmp_path):
+    spark.range(0, 640_000, 1, 16).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t")).write.parquet(str(tmp_path / "t"))
+    table = R.read_table(spark, str(tmp_path / "t"))
+    assert table.rdd.getNumPartitions() > 1
+    plan = table.coalesce(1).limit(W.SAMPLE_ROWS)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Coalesce 1" in plan
+    assert W.rows_per_part(table, 1) > 10_000
+
+
+def test_parts_follow_bytes(spark, tmp_path):
+    """Key/value and sorted tables have parts of the wanted size, whatever the shuffle setting."""
+    kv = spark.range(120_000).select(F.unhex(F.substr(F.sha2(F.col("id").cast("string"), 256), F.lit(1), F.lit(16))).alias("k"), F.sha2(F.col("id").cast("string"), 384).alias("v"))
+    W.write_kv(kv, str(tmp_path / "kv"), target_mb=2)
+    sizes = [r["length"] for r in R.list_files(spark, str(tmp_path / "kv"), R.PARQUET_GLOB).collect()]
+    assert len(sizes) == W.parts_for(sum(sizes), 2) and max(sizes) < 1.3 * 2 * 2**20
+    W.write_parts(kv.select(F.conv(F.hex("k"), 16, 10).cast("decimal(20,0)").alias("zobr64"), "v"), str(tmp_path / "src"))
+    J.sort_table(spark, str(tmp_path / "src"), str(tmp_path / "sorted"), target_mb=2)
+    sizes = [r["length"] for r in R.list_files(spark, str(tmp_path / "sorted"), R.PARQUET_GLOB).collect()]
+    assert max(sizes) < 1.3 * 2 * 2**20 and len(sizes) >= 3
+
+
+def test_jobs_clear_their_staging(spark, flow, tmp_path):
+    from poseval.session import shared_folder
+
+    before = set(os.listdir(shared_folder(spark)))
+    J.simplify(spark, flow[0]["sorted"], str(tmp_path / "s"))
+    J.build_latest(spark, str(tmp_path / "s"), str(tmp_path / "l"), check_sorted=False)
+    assert set(os.listdir(shared_folder(spark))) == before
+
+
+def test_sort_check_does_not_shuffle(spark, files):
+    rows = O.with_location(files.selectExpr("id AS zobr64", "*"))
+    stretches = Q._stretches(rows.select(O.FILE, O.ROW, "zobr64"))
+    assert "Exchange" not in stretches._jdf.queryExecution().executedPlan().toString()
+    swapped = rows.withColumn("zobr64", F.when(F.col("zobr64") == 500, 10).when(F.col("zobr64") == 0, 2**40).otherwise(F.col("zobr64")))
+    assert Q.sortedness_violations(rows).isEmpty()
+    found = sorted((r["previous_key64"], r["key64"]) for r in Q.sortedness_violations(swapped).collect())
+    assert found == [(499, 10), (2**40, 1)]
+    falling = rows.withColumn("zobr64", 10_000 - F.col("zobr64"))
+    assert Q.sortedness_violations(falling).count() == 999
+
+
+def test_keys_out_of_range_are_refused(spark):
+    from poseval.schema import key64_column
+
+    for kind, value in (("decimal(20,0)", "-1"), ("decimal(38,0)", str(2**64))):
+        table = spark.sql(f"SELECT CAST('{value}' AS {kind}) AS zobr64")
+        with pytest.raises(Exception, match="does not fit"):
+            table.select(key64_column(table)).collect()
+    scaled = spark.sql("SELECT CAST(1 AS decimal(20,2)) AS zobr64")
+    with pytest.raises(TypeError):
+        key64_column(scaled)
+
+
+def test_broken_values_stop_decoding(spark):
+    for value in (b"", b"\x00", b"\x01" + b"0" * 38, b"\x01" + b"0" * 40, b"\x02" + b"0" * 39):
+        table = spark.createDataFrame([(bytes(8), value)], "k binary, v binary")
+        with pytest.raises(Exception, match="not a count"):
+            K.decode_kv(table).collect()
+
+
+def test_ties_do_not_depend_on_row_order(spark):
+    rows = [(5, T.CORPUS[20], [(1, 7, [(cp, None, "e2e4")])]) for cp in (30, 10, 20)]
+    kind = "zobr64 long, fen string, evals array<struct<knodes:long,depth:long,pvs:array<struct<cp:long,mate:long,line:string>>>>"
+    found = set()
+    for turn in range(3):
+        table = spark.createDataFrame(rows[turn:] + rows[:turn], kind).repartition(3)
+        found.add((S.deepest_per_key(table).first()["v"], S.simplify_positions(table).first()["eval"]))
+    assert len(found) == 1
 
 
 def test_castling_scan(spark, flow):
-    found, letters = J.scan_castling(spark, flow[0]["hashed"], 100)
+    found, letters, counts = J.scan_castling(spark, flow[0]["hashed"], 100)
     bad = sum(T.CORPUS[USABLE[n % len(USABLE)]] == T.CORPUS[33] for n in range(600))
     assert found.count() == bad and [tuple(r) for r in letters.collect()] == [("H", bad)]
+    assert counts == {"sampled_rows": 600, "failed_rows": bad}
     with pytest.raises(ValueError):
         J.scan_castling(spark, flow[0]["hashed"], 0)
 

@@ -1,76 +1,26 @@
-"""Extraction from text against a plain token loop."""
+"""Extraction from text: planted positions come back, and nothing else."""
 
-import re
-
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
+import random
 
 from checks import tables as T
 from poseval.operators import text as X
 
-
-def token_loop(raw):
-    """Positions of one text, found token by token."""
-    tokens, found, key, i = raw.split(), [], None, 0
-
-    def board(t):
-        ranks = t.split("/")
-        return len(ranks) == 8 and all(
-            re.fullmatch("[PNBRQKpnbrqk1-8]+", r) and sum(int(c) if c.isdigit() else 1 for c in r) == 8 for r in ranks
-        )
-
-    def castling(t):
-        return t == "-" or (re.fullmatch("[KQkq]{1,4}", t) and len(set(t)) == len(t))
-
-    while i < len(tokens):
-        if tokens[i] == "zobr64:" and i + 1 < len(tokens) and re.fullmatch(r"\+?[0-9]+", tokens[i + 1]):
-            if int(tokens[i + 1]) < 2**64:
-                key = int(tokens[i + 1])
-                i += 2
-                continue
-        four = tokens[i : i + 4]
-        if (
-            len(four) == 4
-            and board(four[0])
-            and four[1] in ("w", "b")
-            and castling(four[2])
-            and (four[3] == "-" or re.fullmatch("[a-h][1-8]", four[3]))
-        ):
-            i += 4
-            clocks = tokens[i : i + 2]
-            if len(clocks) == 2 and all(re.fullmatch("[0-9]+", c) for c in clocks):
-                four, i = four + clocks, i + 2
-            found.append((key, " ".join(four)))
-            continue
-        i += 1
-    return found
-
-
-WORDS = [
-    "zobr64:",
-    "7",
-    "+18446744073709551615",
-    "18446744073709551616",
-    "0000000000000000000000000000000000000000009",
-    "12x",
-    "w",
-    "b",
-    "-",
-    "KQkq",
-    "KK",
-    "kQ",
-    "e3",
-    "e9",
-    "zobr64:7",
-    "4k3/8/8/8/8/8/8/4K3",
-    "4k3/8/8/8/8/8/8/4K4",
-    "4k3/8/8/8/8/8/8",
-    "x4k3/8/8/8/8/8/8/4K3",
+# Words that no position or key header can contain or be completed by.
+FILLER = ["lorem", "12x", "e9", "KK", "4k3/8/8/8/8/8/8", "4k3/8/8/8/8/8/8/4K4", "x4k3/8/8/8/8/8/8/4K3", "zobr64:7", "w/b"]
+GAPS = [" ", "\n", "\t ", "  "]
+KEYS = [0, 7, 2**63, 2**64 - 1]
+# Literal inputs and what they hold.
+CASES = [
+    ("zobr64: 18446744073709551616 " + T.CORPUS[20], [(None, T.CORPUS[20])]),
+    ("zobr64: 4 zobr64: zobr64: +7 " + T.CORPUS[20], [(7, T.CORPUS[20])]),
+    ("zobr64: 0000000000000000000000000000000000000000009 " + T.CORPUS[24], [(9, T.CORPUS[24])]),
+    ("4k3/8/8/8/8/8/8/4K3 w KK -", []),
+    ("4k3/8/8/8/8/8/8/4K3 w kQ - 3 x", [(None, "4k3/8/8/8/8/8/8/4K3 w kQ -")]),
+    ("4k3/8/8/8/8/8/8/4K3 b - e3\t3\n4 5", [(None, "4k3/8/8/8/8/8/8/4K3 b - e3 3 4")]),
+    ("4k3/8/8/8/8/8/8/4K3 w - e9", []),
+    ("4k3/8/8/8/8/8/8/4K3", []),
+    ("", []),
 ]
-FULL = st.sampled_from([T.CORPUS[20], T.CORPUS[43] + " 0 1", "zobr64: 5 " + T.CORPUS[24], T.CORPUS[36] + " 3 x"])
-TEXTS = st.lists(
-    st.tuples(st.one_of(st.sampled_from(WORDS), FULL), st.sampled_from([" ", "\n", "\t ", " "])), max_size=25
-).map(lambda parts: "".join(w + s for w, s in parts))
 
 
 def extract(spark, texts):
@@ -82,10 +32,27 @@ def extract(spark, texts):
     return out
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(TEXTS, min_size=60, max_size=80))
-def test_extraction_equals_token_loop(spark, texts):
-    assert extract(spark, texts) == [token_loop(t) for t in texts]
+def planted(rnd):
+    """A text made of positions, headers and filler, and the positions with their keys."""
+    words, found, key = [], [], None
+    for _ in range(rnd.randint(0, 12)):
+        kind = rnd.random()
+        if kind < 0.2:
+            key = rnd.choice(KEYS)
+            words.append("zobr64:" + rnd.choice(GAPS) + rnd.choice(["", "+", "00"]) + str(key))
+        elif kind < 0.6:
+            fen = rnd.choice(T.CORPUS[:33])
+            clocks = rnd.choice(["", " 0 1", " 12 40"])
+            words.append((fen + clocks).replace(" ", rnd.choice(GAPS)))
+            found.append((key, fen + clocks))
+        words.append(rnd.choice(FILLER))
+    return rnd.choice(GAPS).join(words), found
+
+
+def test_planted_positions_come_back(spark):
+    rnd = random.Random(12)
+    made = [planted(rnd) for _ in range(400)] + CASES
+    assert extract(spark, [t for t, _ in made]) == [f for _, f in made]
 
 
 def test_recorded_dump_gives_its_groups(spark):
