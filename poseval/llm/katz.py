@@ -31,13 +31,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from poseval.llm.common import crc_of_id, staged, texts
 
 ORDER = 2
 #: Counts up to this are discounted.
 CUT = 5
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_500_000
 BUCKET_NGRAMS = 1_000_000
 #: A context with this share of the tokens is divided among all buckets.
 HOT_SHARE = 1 / 20_000
@@ -60,6 +61,25 @@ def _unpack(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, -1).T).reshape(-1).view(kind)
 
 
+def _pack_values(x: np.ndarray) -> bytes:
+    """Numbers of which few differ: the distinct ones, and the place of each among them."""
+    values, place = np.unique(x, return_inverse=True)
+    first = _pack(values)
+    return len(first).to_bytes(4, "little") + first + _pack(_small(place))
+
+
+def _unpack_values(data: bytes) -> np.ndarray:
+    n = 4 + int.from_bytes(data[:4], "little")
+    return _unpack(data[4:n], np.float64)[_unpack(data[n:], np.uint32)]
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one at a time: each holds a block."""
+    for b in batches:
+        for k in range(b.num_rows):
+            yield b.slice(k, 1).to_pylist()[0]
+
+
 def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint32)
 
@@ -200,7 +220,9 @@ def evaluate(block: Block, answers: dict[int, dict[int, tuple]], levels: list[Le
         asked, context, bucket = _split(
             g, lower.grams if lower else None, lower.count if lower else None, low, level.buckets, hot_from
         )
-        count, follow, seen = np.zeros(len(g.hashed), np.int64), np.zeros((len(g.hashed), CUT)), np.zeros(len(g.hashed))
+        count, left, seen = np.zeros(len(g.hashed), np.int64), np.zeros(len(g.hashed)), np.zeros(len(g.hashed))
+        # What discounting leaves over for each follower that occurs 1 to CUT times.
+        spare = (1 - level.discounts) * np.arange(1, CUT + 1)
         names = np.full(len(g.hashed), START, np.uint64)
         for b, (counts, followers, mass, ranks) in answers.get(n, {}).items():
             lo, hi = np.searchsorted(bucket, [b, b + 1])
@@ -209,20 +231,19 @@ def evaluate(block: Block, answers: dict[int, dict[int, tuple]], levels: list[Le
             if ranks is not None:
                 names[at] = (b << 32) + np.cumsum(_unpack(ranks, np.uint32).astype(np.uint64))
             own = np.cumsum(np.r_[True, context[lo:hi][1:] != context[lo:hi][:-1]]) - 1
-            follow[at] = _unpack(followers, np.uint32).reshape(-1, CUT)[own]
-            seen[at] = _unpack(mass, np.float64)[own]
+            left[at] = (_unpack(followers, np.uint32).reshape(-1, CUT) @ spare)[own]
+            seen[at] = _unpack_values(mass)[own]
         if level.hot:
             # What buckets know of a divided context is a part; the sums are complete.
             keys = np.array(sorted(level.hot), np.uint64)
             sums = np.array([level.hot[int(k)] for k in keys])
             slot = np.minimum(np.searchsorted(keys, context), len(keys) - 1)
             known = keys[slot] == context
-            follow[asked[known]], seen[asked[known]] = sums[slot[known], :CUT], sums[slot[known], CUT]
+            left[asked[known]], seen[asked[known]] = (sums[:, :CUT] @ spare)[slot[known]], sums[slot[known], CUT]
         if lower is None:
             of_context, seen = np.full(len(count), totals.tokens), np.zeros(len(count))
         else:
             of_context = lower.count[g.context]
-        left = follow @ ((1 - level.discounts) * np.arange(1, CUT + 1))
         none = left <= 0
         with np.errstate(divide="ignore", invalid="ignore"):
             base = of_context + none
@@ -313,40 +334,37 @@ def _ask(rows: DataFrame, levels: list[Level], totals: Totals | None, buckets: i
     """Each block's distinct n-grams of the next level, packed by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                block = Block.load(row["vocab"], row["tokens"], row["lengths"], row["train"])
-                done = evaluate(block, _answers_of(row), levels, totals, hot_from)
-                lower = done[-1] if done else None
-                g = grams(block, lower.grams if lower else None, done[0].grams.word if done else None)
-                low = lower.probability[g.shorter] if lower else np.zeros(len(g.hashed))
-                asked, context, bucket = _split(
-                    g, lower.grams if lower else None, lower.count if lower else None, low, buckets, hot_from
+        for row in _rows(batches):
+            block = Block.load(row["vocab"], row["tokens"], row["lengths"], row["train"])
+            done = evaluate(block, _answers_of(row), levels, totals, hot_from)
+            lower = done[-1] if done else None
+            g = grams(block, lower.grams if lower else None, done[0].grams.word if done else None)
+            low = lower.probability[g.shorter] if lower else np.zeros(len(g.hashed))
+            asked, context, bucket = _split(
+                g, lower.grams if lower else None, lower.count if lower else None, low, buckets, hot_from
+            )
+            hot = lower.count[g.context[asked]] >= hot_from if lower else np.ones(len(asked), bool)
+            cuts = np.flatnonzero(np.diff(bucket)) + 1
+            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(asked)]):
+                if lo == hi:
+                    continue
+                at, own = asked[lo:hi], context[lo:hi]
+                edge = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                packed = [
+                    _pack(np.diff(own[edge], prepend=_EMPTY)),
+                    _pack(_small(np.diff(np.r_[edge, len(own)]) * 2 + hot[lo:hi][edge])),
+                    _pack(g.word[at]),
+                    _pack_values(low[at]),
+                    _pack(_small(g.count[at])),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["block"]]), pa.array([int(bucket[lo])], pa.int32()), *[pa.array([p], pa.binary()) for p in packed]],
+                    names=["block", "bucket", "contexts", "runs", "words", "low", "counts"],
                 )
-                hot = lower.count[g.context[asked]] >= hot_from if lower else np.ones(len(asked), bool)
-                cuts = np.flatnonzero(np.diff(bucket)) + 1
-                for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(asked)]):
-                    if lo == hi:
-                        continue
-                    at, own = asked[lo:hi], context[lo:hi]
-                    values, which = np.unique(low[at], return_inverse=True)
-                    edge = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                    packed = [
-                        _pack(np.diff(own[edge], prepend=_EMPTY)),
-                        _pack(_small(np.diff(np.r_[edge, len(own)]) * 2 + hot[lo:hi][edge])),
-                        _pack(g.word[at]),
-                        _pack(values),
-                        _pack(_small(which)),
-                        _pack(_small(g.count[at])),
-                    ]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([row["block"]]), pa.array([int(bucket[lo])], pa.int32()), *[pa.array([p], pa.binary()) for p in packed]],
-                        names=["block", "bucket", "contexts", "runs", "words", "low", "low_at", "counts"],
-                    )
 
     return rows.mapInArrow(
         run,
-        "block long, bucket int, contexts binary, runs binary, words binary, low binary, low_at binary, counts binary",
+        "block long, bucket int, contexts binary, runs binary, words binary, low binary, counts binary",
     )
 
 
@@ -371,7 +389,7 @@ def _add_up(asked: DataFrame, tasks: int, numbered: bool) -> DataFrame:
         runs = [_unpack(r["runs"], np.uint32).astype(np.int64) for r in rows]
         each = np.concatenate([np.repeat(c, n >> 1) for c, n in zip(contexts, runs)])
         word = np.concatenate([_unpack(r["words"], np.uint64) for r in rows])
-        low = np.concatenate([_unpack(r["low"], np.float64)[_unpack(r["low_at"], np.uint32)] for r in rows])
+        low = np.concatenate([_unpack_values(r["low"]) for r in rows])
         count = np.concatenate([_unpack(r["counts"], np.uint32) for r in rows]).astype(np.int64)
         hot = np.concatenate([np.repeat(n & 1, n >> 1) for n in runs])
         order = np.lexsort((word, each))
@@ -396,7 +414,7 @@ def _add_up(asked: DataFrame, tasks: int, numbered: bool) -> DataFrame:
             place = np.searchsorted(names, c)
             # Words of the first level are asked in order, so their ranks rise.
             own = _pack(_small(np.diff(rank[at : at + size], prepend=0))) if numbered else None
-            packed = _pack(_small(every[at : at + size])), _pack(_small(followers[place].ravel())), _pack(mass[place]), own
+            packed = _pack(_small(every[at : at + size])), _pack(_small(followers[place].ravel())), _pack_values(mass[place]), own
             yield r["block"], bucket, *packed, None, None
             at += size
         divided = np.unique(groups[np.searchsorted(new, np.flatnonzero(hot[order]), "right") - 1])
@@ -452,30 +470,29 @@ def score_documents(
         levels.append(level)
         if n == 1:
             totals = totals._replace(types=types)
-    kind = blocks.schema["ids"].dataType.elementType.simpleString()
+    kind = blocks.schema["ids"].dataType.elementType
+    id_type = to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            id_type = b.schema.field("ids").type.value_type
-            for row in b.to_pylist():
-                block = Block.load(row["vocab"], row["tokens"], row["lengths"], row["train"])
-                done = evaluate(block, _answers_of(row), levels, totals, hot_from)
-                real, of = ~block.begins, block.document
-                n = len(row["ids"])
-                count, p = done[0].count[done[0].grams.at], done[-1].probability[done[-1].grams.at]
-                base = np.log10((count + 1) / (totals.tokens + totals.types + 1))
-                add = lambda x: np.bincount(of[real], weights=x[real], minlength=n)
-                columns = [
-                    pa.array(row["ids"], id_type),
-                    pa.array(_unpack(row["train"], np.uint8) == 0),
-                    pa.array(np.bincount(of[real], minlength=n)),
-                    pa.array(np.bincount(of[real & (count > 0)], minlength=n)),
-                    pa.array(np.full(n, totals.tokens, np.int64)),
-                    pa.array(add(base)),
-                    pa.array(add(np.log10(p, where=real, out=np.zeros(len(p))))),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        for row in _rows(batches):
+            block = Block.load(row["vocab"], row["tokens"], row["lengths"], row["train"])
+            done = evaluate(block, _answers_of(row), levels, totals, hot_from)
+            real, of = ~block.begins, block.document
+            n = len(row["ids"])
+            count, p = done[0].count[done[0].grams.at], done[-1].probability[done[-1].grams.at]
+            base = np.log10((count + 1) / (totals.tokens + totals.types + 1))
+            add = lambda x: np.bincount(of[real], weights=x[real], minlength=n)
+            columns = [
+                pa.array(row["ids"], id_type),
+                pa.array(_unpack(row["train"], np.uint8) == 0),
+                pa.array(np.bincount(of[real], minlength=n)),
+                pa.array(np.bincount(of[real & (count > 0)], minlength=n)),
+                pa.array(np.full(n, totals.tokens, np.int64)),
+                pa.array(add(base)),
+                pa.array(add(np.log10(p, where=real, out=np.zeros(len(p))))),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    schema = f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return _with_answers(blocks, answers).mapInArrow(run, schema)
