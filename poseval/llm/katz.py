@@ -16,6 +16,10 @@ which takes three bytes where its hash takes eight. All followers of a context m
 frequent contexts, which spread over all buckets by word; their sums per bucket
 are added up afterwards. Such contexts are bounded in number by the threshold,
 a share of all tokens.
+
+Every block has a row for every bucket, so both should grow with the corpus:
+the defaults suit up to some 10^11 tokens, and tasks with more memory take
+larger blocks and buckets.
 """
 
 from __future__ import annotations

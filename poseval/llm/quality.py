@@ -11,7 +11,7 @@ counted in fixed bins, are calibrated by pooling adjacent violators.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -81,8 +81,8 @@ def statistics(text: bytes) -> list[float]:
     ]
 
 
-def statistics_of(batch: pa.Array) -> np.ndarray:
-    return np.array([statistics(t or b"") for t in batch.to_pylist()]).reshape(-1, len(STATISTICS))
+def statistics_of(texts: Iterable[bytes]) -> np.ndarray:
+    return np.array([statistics(t) for t in texts]).reshape(-1, len(STATISTICS))
 
 
 class Fourier(NamedTuple):
@@ -134,7 +134,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = pa.array(list(statistics_of(b.column(2))), pa.list_(pa.float64()))
+            x = pa.array(list(statistics_of(t.as_py() for t in b.column(2))), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), x], names=["doc_id", "crc", "x"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, crc long, x array<double>")
@@ -225,7 +225,7 @@ def with_score(docs: DataFrame, model: QualityModel, text: str = "text", name: s
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(statistics_of(pa.array(text, pa.binary()))))
+        return pd.Series(model.scores(statistics_of(text)))
 
     return docs.withColumn(name, score(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
