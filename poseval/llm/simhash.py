@@ -242,7 +242,8 @@ def fingerprint_links(fps: DataFrame, group: int = GROUP) -> DataFrame:
     """
     if group < 16:
         raise ValueError("group must be at least 16")
-    rows = pivot_table(fps).select(F.lit(0).cast("long").alias("grp"), F.lit(-1).cast("long").alias("free"), "fp", "distances")
+    table = staged(pivot_table(fps), "pivot-table")
+    rows = table.select(F.lit(0).cast("long").alias("grp"), F.lit(-1).cast("long").alias("free"), "fp", "distances")
     out, first = None, True
     while True:
         found = staged(_search(_spread(rows, first), group), "simhash", heavy=True)
