@@ -154,7 +154,7 @@ def pack_documents(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer.of(tokenizer_file)
+        tokenizer = WordTokenizer(tokenizer_file)
         end = np.array([end_id], "<u4").tobytes()
         packer, made, waiting = Packer(limits), TaskContext.get().partitionId() << 32, 0
         id_type = None
@@ -191,5 +191,6 @@ def pack_documents(
                     yield from rows_of(packer.drain())
                     waiting = sum(e.end - e.start for e in packer.waiting)
         yield from rows_of(packer.drain(last=True))
+        tokenizer.forget()
 
     return rows.mapInArrow(run, PIECES.format(id=kind))

@@ -2,7 +2,7 @@
 
 The tokenizer lower-cases, drops white space and never joins across it, so a
 text's ids are its words' ids in a row. Words repeat, so they are kept in a
-bounded table per worker; a word of plain letters goes straight to the BPE
+bounded table per task; a word of plain letters goes straight to the BPE
 model, anything else through the tokenizer's whole pipeline.
 """
 
@@ -13,7 +13,7 @@ import string
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words of one generation; a worker keeps two, of about 250 bytes a word.
+#: Words of one generation; a task keeps two, of about 250 bytes a word.
 KEPT_WORDS = 200_000
 #: Letters below this need no normalization, and lower-case the same everywhere.
 PLAIN = "İ"
@@ -45,7 +45,7 @@ class Words(dict):
 
 
 class WordTokenizer:
-    _loaded: dict[str, "WordTokenizer"] = {}
+    """A tokenizer for one task. It is not kept by the worker, which other steps use after it."""
 
     def __init__(self, file: str):
         self.tokenizer = Tokenizer.from_file(file)
@@ -54,13 +54,6 @@ class WordTokenizer:
         self.letters = _byte_letters()
         self.words = Words(self._word, {})
 
-    @classmethod
-    def of(cls, file: str) -> "WordTokenizer":
-        """The worker's tokenizer for a file, loaded once."""
-        if file not in cls._loaded:
-            cls._loaded[file] = cls(file)
-        return cls._loaded[file]
-
     def ids(self, text: str) -> bytes:
         """Ids as unsigned 32-bit little-endian numbers."""
         if len(self.words) > KEPT_WORDS:
@@ -68,6 +61,10 @@ class WordTokenizer:
         words = self.words
         return b"".join([words[w] for w in text.split()])
 
+    def forget(self) -> None:
+        """Let go of the words, and of what they refer back to."""
+        self.words = Words(None, {})
+
     def _word(self, word: str) -> bytes:
         if max(word) < PLAIN:
             stem = word.rstrip(MARKS)
