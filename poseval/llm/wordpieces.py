@@ -18,6 +18,8 @@ KEPT_WORDS = 200_000
 #: Letters below this need no normalization, and lower-case the same everywhere.
 PLAIN = "İ"
 MARKS = string.punctuation.replace("'", "")
+#: Python splits at these, the tokenizer does not.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def _byte_letters() -> list[str]:
@@ -58,6 +60,8 @@ class WordTokenizer:
         """Ids as unsigned 32-bit little-endian numbers."""
         if len(self.words) > KEPT_WORDS:
             self.words = Words(self._word, dict(self.words))
+        if any(c in text for c in SEPARATORS):
+            return self._whole(text)
         words = self.words
         return b"".join([words[w] for w in text.split()])
 
@@ -74,4 +78,7 @@ class WordTokenizer:
                     return self.words[lower] + (self.words[tail] if tail else b"")
                 text = lower if lower.isascii() else "".join([self.letters[b] for b in lower.encode()])
                 return np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._whole(word)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -13,7 +13,7 @@ from poseval.llm.wordpieces import WordTokenizer
 from tokenizers import Tokenizer
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
-ODD = ["don't we'll", "ΣΑΣ Σ", "İstanbul", "été", "a1b22", "x<|endoftext|>y", "ß!! ***a***", " wide gap", "it's_fine's", "日本語 テスト", "😀!a", "ª º²", "it'S"]
+ODD = ["don't we'll", "ΣΑΣ Σ", "İstanbul", "été", "a1b22", "x<|endoftext|>y", "ß!! ***a***", " wide gap", "it's_fine's", "日本語 テスト", "😀!a", "ª º²", "it'S", "a\x1cb \x1f c", "a\x85b\xa0c"]
 
 
 def test_words_match_the_tokenizer():
