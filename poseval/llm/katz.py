@@ -1,7 +1,7 @@
 """Katz backoff language model: discounted counts, exactly normalised backoff.
 
-Documents are turned once into blocks of word numbers, kept with their sorted
-vocabulary of 64-bit word hashes. For each level (words, then pairs of context
+Documents are turned once into blocks of word numbers, kept with their vocabulary
+of 64-bit word hashes, most frequent first. For each level (words, then pairs of context
 and word, ...) a block sends its distinct n-grams with its training counts to
 buckets; a bucket adds up the blocks' counts and answers each block with the
 counts of its n-grams and, per context, what the backoff weight needs: how many
@@ -42,7 +42,7 @@ from poseval.llm.common import crc_of_id, staged, texts
 ORDER = 2
 #: Counts up to this are discounted.
 CUT = 5
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 1_200_000
 BUCKET_NGRAMS = 1_000_000
 #: A context with this share of the tokens is divided among all buckets.
 HOT_SHARE = 1 / 20_000
@@ -56,7 +56,7 @@ _EMPTY = np.uint64(0)
 def _pack(x: np.ndarray) -> bytes:
     """Bytes of equal weight side by side, compressed."""
     planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(planes)
+    return zstandard.ZstdCompressor(level=3).compress(planes)
 
 
 def _unpack(data: bytes, kind) -> np.ndarray:
@@ -273,13 +273,18 @@ def _blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             nonlocal number
-            vocab, tokens = np.unique(np.concatenate(hashes), return_inverse=True)
+            vocab, tokens, often = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+            # Frequent words have small numbers, which pack well; words equally frequent stay in order of their hash.
+            order = np.argsort(-often, kind="stable")
+            place = np.empty(len(order), np.int32)
+            place[order] = np.arange(len(order))
+            vocab, tokens = vocab[order], place[tokens]
             lengths = np.array([len(h) for h in hashes], np.int32)
             row = [
                 pa.array([number]),
                 pa.array([ids], pa.list_(id_type)),
                 *[pa.array([x], pa.binary()) for x in (
-                    _pack(np.diff(vocab, prepend=np.uint64(0))), _pack(tokens.astype(np.int32)), _pack(lengths),
+                    _pack(np.diff(vocab, prepend=np.uint64(0))), _pack(tokens), _pack(lengths),
                     _pack(np.array(trained, np.uint8)),
                 )],
                 pa.array([int(lengths[np.array(trained, bool)].sum() - sum(trained))]),
