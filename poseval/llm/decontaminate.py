@@ -1,10 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare words as seeds, then Smith-Waterman alignment.
 
-A first pass counts in how many documents each word n-gram of the test items
-occurs. Each item's rarer half are its seeds: common phrases start no search,
-and an item whose every phrase is common still has seeds. A second pass finds
-the seeds in each document, cuts out the passage around them and aligns it with
-the item; the score is the best local alignment in shares of the item's length.
+A first pass counts in how many documents each word of the test items occurs. A
+passage that scores enough matches at least that many words of its item, so an
+item's commonest words may be left out, up to a few less than that: the others
+are its seeds, and some of them lie in every such passage. A second pass finds
+stretches with enough seeds in each document; where the longest common
+subsequence with the item is long enough, too, the stretch is aligned. Nothing
+that would score enough is lost. The score is the best local alignment in
+shares of the item's length.
 
 Documents are never shuffled: the items are handed to every task. Their number
 is checked first, and items beyond ``ITEM_WORDS`` words are dealt into several
@@ -13,6 +16,7 @@ rounds of that size, each with its own passes over the documents.
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Callable, Iterator
 from functools import reduce
@@ -27,14 +31,16 @@ from pyspark.sql import functions as F
 from poseval.llm.common import texts
 from poseval.schema import require_columns
 
-NGRAM = 3
+#: Shorter items are not searched.
+LEAST_WORDS = 3
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 1.0, 0.5, 0.5
 #: Words of items that one round hands to every task (about 100 bytes each there).
 ITEM_WORDS = 500_000
 #: Longer items are matched in pieces of this many words.
 PIECE = 256
-SEEDS = 8
+#: Words of a document that are searched at once.
+STRETCH = 50_000
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MARKS = string.punctuation.encode()
 
@@ -45,57 +51,108 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Items:
-    """Pieces of test items as word numbers, and their n-grams in sorted order."""
+    """Pieces of test items as word numbers, and which words are whose seeds."""
 
-    def __init__(self, items: list[tuple[object, bytes]]):
+    def __init__(self, items: list[tuple[object, bytes]], min_score: float = MIN_SCORE):
         self.number: dict[bytes, int] = {}
         self.ids, self.pieces = [], []
         for item_id, text in items:
             words = words_of(text)
             for k in range(0, len(words), PIECE):
                 piece = words[k : k + PIECE]
-                if len(piece) >= NGRAM:
+                if len(piece) >= LEAST_WORDS:
                     self.ids.append(item_id)
                     self.pieces.append(np.array([self.number.setdefault(w, len(self.number) + 1) for w in piece], np.int64))
-        keys = [self.keys(p) for p in self.pieces]
-        owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-        place = np.concatenate([np.arange(len(k)) for k in keys]) if keys else np.zeros(0, np.int64)
-        every = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-        order = np.argsort(every, kind="stable")
-        self.key, self.owner, self.place = every[order], owner[order], place[order]
-        self.distinct = np.unique(self.key)
-
-    def keys(self, numbers: np.ndarray) -> np.ndarray:
-        """One number per n-gram; -1 where a word is in no item."""
-        size = len(self.number) + 1
-        a, b, c = numbers[:-2], numbers[1:-1], numbers[2:]
-        return np.where((a > 0) & (b > 0) & (c > 0), (a * size + b) * size + c, -1)
+        sizes = np.array([len(p) for p in self.pieces], np.int64)
+        #: Words that a passage has to match, and the most that it can be long.
+        self.least = np.array([max(1, math.ceil(min_score * n - 1e-9)) for n in sizes.tolist()], np.int64)
+        self.least_score = min_score * sizes - 1e-6
+        self.places = [places_of(p) for p in self.pieces]
+        self.reach = sizes + ((sizes - min_score * sizes) * MATCH / GAP).astype(np.int64) + 1
 
     def numbers(self, text: bytes) -> np.ndarray:
         get = self.number.get
         return np.array([get(w, 0) for w in words_of(text)], np.int64)
 
-    def found(self, numbers: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in a document and keys of the n-grams that are in a sorted list."""
-        if len(numbers) < NGRAM or not len(among):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        keys = self.keys(numbers)
-        at = np.flatnonzero(keys >= 0)
-        slot = np.minimum(np.searchsorted(among, keys[at]), len(among) - 1)
-        hit = among[slot] == keys[at]
-        return at[hit], keys[at[hit]]
-
     def choose_seeds(self, documents_with: dict[int, int]) -> None:
-        """Keep each piece's rarer half, ``SEEDS`` at least, ties by place in the piece."""
-        rarity = np.array([documents_with.get(k, 0) for k in self.key.tolist()])
-        order = np.lexsort((self.place, rarity, self.owner))
-        owner = self.owner[order]
-        starts = np.searchsorted(owner, owner, "left")
-        sizes = np.searchsorted(owner, owner, "right") - starts
-        keep = order[np.arange(len(order)) - starts < np.maximum(sizes // 2, SEEDS)]
-        keep.sort()
-        self.key, self.owner, self.place = self.key[keep], self.owner[keep], self.place[keep]
-        self.distinct = np.unique(self.key)
+        """Leave out each piece's commonest words, fewer than a passage has to match.
+
+        ``needed`` of the passage's words are seeds then: a third of what it matches.
+        """
+        most = np.maximum(self.least // 3, 1)
+        words, owners, self.needed = [], [], np.zeros(len(self.pieces), np.int64)
+        for k, piece in enumerate(self.pieces):
+            own, times = np.unique(piece, return_counts=True)
+            spread = np.array([documents_with.get(w, 0) for w in own.tolist()])
+            order = np.lexsort((own, -spread))
+            left_out = np.cumsum(times[order])
+            seeds = left_out > self.least[k] - most[k]
+            self.needed[k] = self.least[k] - (left_out[~seeds][-1] if not seeds.all() else 0)
+            words.append(own[order][seeds])
+            owners.append(np.full(int(seeds.sum()), k))
+        word = np.concatenate(words) if words else np.zeros(0, np.int64)
+        owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
+        self.owner = owner[np.argsort(word, kind="stable")]
+        #: Seeds of word n are from start[n] to start[n + 1].
+        self.start = np.r_[0, np.cumsum(np.bincount(word, minlength=len(self.number) + 1))]
+
+    def stretches(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """``piece, first, last``: parts of a document that hold all passages with enough seeds."""
+        lo, size = self.start[numbers], self.start[numbers + 1] - self.start[numbers]
+        total = int(size.sum())
+        if not total:
+            return
+        place = np.repeat(np.arange(len(numbers)), size)
+        slot = np.arange(total) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)
+        owner = self.owner[slot]
+        order = np.argsort(owner, kind="stable")
+        owner, place = owner[order], place[order]
+        end = np.arange(total) + self.needed[owner] - 1
+        enough = end < total
+        end = np.minimum(end, total - 1)
+        enough &= (owner[end] == owner) & (place[end] - place < self.reach[owner])
+        at = np.flatnonzero(enough)
+        if not len(at):
+            return
+        owner, first, last = owner[at], place[at] - self.reach[owner[at]], place[end[at]] + self.reach[owner[at]]
+        cuts = np.flatnonzero((owner[1:] != owner[:-1]) | (first[1:] > last[:-1])) + 1
+        for i, j in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(at)].tolist()):
+            yield int(owner[i]), max(int(first[i]), 0), min(int(last[j - 1]) + 1, len(numbers))
+
+
+def places_of(item: np.ndarray) -> dict[int, int]:
+    """Each word's places in an item, as bits."""
+    places: dict[int, int] = {}
+    for k, word in enumerate(item.tolist()):
+        places[word] = places.get(word, 0) | 1 << k
+    return places
+
+
+def common_words(places: dict[int, int], n: int, passage: np.ndarray) -> int:
+    """Length of the longest common subsequence with an item of ``n`` words: no alignment matches more."""
+    row = every = (1 << n) - 1
+    for here in map(places.get, passage.tolist()):
+        if here:
+            taken = row & here
+            row = (row + taken | row - taken) & every
+    return n - row.bit_count()
+
+
+def best_score(item: np.ndarray, passage: np.ndarray) -> float:
+    """Score of ``smith_waterman`` without its place."""
+    words, at = np.unique(item, return_inverse=True)
+    steps = np.where(passage == words[:, None], MATCH, -MISMATCH)
+    along = GAP * np.arange(1, len(passage) + 1)
+    row, best, new = np.zeros(len(passage) + 1), 0.0, np.zeros(len(passage))
+    for k in at.tolist():
+        np.add(row[:-1], steps[k], out=new)
+        np.maximum(new, row[1:] - GAP, out=new)
+        np.maximum(new, 0.0, out=new)
+        best = max(best, float(new.max()))
+        new += along
+        np.maximum.accumulate(new, out=new)
+        np.subtract(new, along, out=row[1:])
+    return best
 
 
 def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
@@ -132,30 +189,23 @@ def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, i
 
 def matches_in(items: Items, text: bytes, min_score: float) -> Iterator[tuple[object, float, int, int]]:
     """``item_id, score, start, end`` of passages of a text that align with an item."""
-    numbers = items.numbers(text)
-    places, keys = items.found(numbers, items.distinct)
-    if not len(places):
-        return
-    lo, hi = np.searchsorted(items.key, keys, "left"), np.searchsorted(items.key, keys, "right")
-    pick = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)])
-    owner, start = items.owner[pick], np.repeat(places, hi - lo) - items.place[pick]
-    order = np.lexsort((start, owner))
-    owner, start = owner[order], start[order]
-    for piece in np.unique(owner).tolist():
-        item = items.pieces[piece]
-        slack = len(item) // 2 + 2
-        begins = start[owner == piece]
-        cut = np.flatnonzero(np.diff(begins) > len(item) + 2 * slack) + 1
-        for group in np.split(begins, cut):
-            first = max(int(group[0]) - slack, 0)
-            last = min(int(group[-1]) + len(item) + slack, len(numbers))
-            score, a, b = smith_waterman(item, numbers[first:last])
+    every = items.numbers(text)
+    overlap = int(items.reach.max())
+    for base in range(0, max(len(every) - overlap, 1), STRETCH):
+        numbers = every[base : base + STRETCH + overlap]
+        for piece, first, last in items.stretches(numbers):
+            item, passage = items.pieces[piece], numbers[first:last]
+            if common_words(items.places[piece], len(item), passage) < items.least[piece]:
+                continue
+            if best_score(item, passage) < items.least_score[piece]:
+                continue
+            score, a, b = smith_waterman(item, passage)
             score /= len(item)
             if score >= min_score:
-                yield items.ids[piece], score, first + a, first + b
+                yield items.ids[piece], score, base + first + a, base + first + b
 
 
-def _rounds(docs: DataFrame, benchmark: DataFrame, item_words: int) -> Iterator[Broadcast]:
+def _rounds(docs: DataFrame, benchmark: DataFrame, min_score: float, item_words: int) -> Iterator[Broadcast]:
     """Items with their seeds, in as many bounded shares as they need, each counted over all documents."""
     require_columns(benchmark, ["item_id", "text"])
     spark = docs.sparkSession
@@ -166,20 +216,19 @@ def _rounds(docs: DataFrame, benchmark: DataFrame, item_words: int) -> Iterator[
     rows = texts(docs).select(F.col("text").cast("binary").alias("text"))
     for k in range(rounds):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == k).distinct().orderBy("item_id", "text")
-        own = Items([(r["item_id"], bytes(r["text"])) for r in part.collect()])
+        own = Items([(r["item_id"], bytes(r["text"])) for r in part.collect()], min_score)
         if not own.pieces:
             continue
         shared = spark.sparkContext.broadcast(own)
 
         def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
-            total = np.zeros(len(items.distinct), np.int64)
+            total = np.zeros(len(items.number) + 1, np.int64)
             for b in batches:
                 for text in b.column(0).to_pylist():
-                    keys = items.found(items.numbers(text), items.distinct)[1]
-                    total[np.searchsorted(items.distinct, np.unique(keys))] += 1
+                    total[np.unique(items.numbers(text))] += 1
             some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(items.distinct[some]), pa.array(total[some])], names=["key", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["key", "n"])
 
         counts = rows.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
         own.choose_seeds({r["key"]: r["n"] for r in counts.collect()})
@@ -200,7 +249,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_kind}, score double, start_word long, end_word long"
     found = []
-    for shared in _rounds(docs, benchmark, item_words):
+    for shared in _rounds(docs, benchmark, min_score, item_words):
 
         def align(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
@@ -241,6 +290,6 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` without a passage of a test item, with their columns; nothing is shuffled."""
     kept, text = docs, F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    for shared in _rounds(docs, benchmark, item_words):
+    for shared in _rounds(docs, benchmark, min_score, item_words):
         kept = kept.where(_is_clean(shared, min_score)(text))
     return kept

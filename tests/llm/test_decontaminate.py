@@ -64,3 +64,40 @@ def test_empty_tables(spark, docs_of):
     assert D.contaminated(docs_of(["a b c d"]).where("false"), tests).collect() == []
     got = D.contaminated(docs_of(["a b c d"]), tests.where("false"))
     assert got.collect() == [] and got.columns == ["doc_id", "item_id", "score", "start_word", "end_word"]
+
+
+def test_sole_edited_copies(spark, docs_of):
+    """An item's only copy, every fifth word changed: all n-grams that no document has are rarer than its own."""
+    rnd = random.Random(9)
+    items = [(k, [f"w{rnd.randint(0, 3000)}" for _ in range(n)]) for k, n in enumerate((27, 39, 59))]
+    rows = [(k, " ".join("zz" if n % 5 == 2 else w for n, w in enumerate(words))) for k, words in items]
+    tests = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = D.contaminated(docs_of(rows), tests).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(0, 0), (1, 1), (2, 2)]
+    assert D.drop_contaminated(docs_of(rows), tests).count() == 0
+
+
+@pytest.mark.parametrize("min_score", [0.3, 0.5, 0.8])
+def test_every_passage_that_scores_enough(spark, docs_of, min_score):
+    """Few words and many edits: the same as aligning each item with each whole text."""
+    rnd = random.Random(10)
+    words = [f"w{k}" for k in range(40)] + ["the", "of"] * 8
+    make = lambda n: [rnd.choice(words) for _ in range(n)]
+    items = [make(rnd.randint(3, 20)) for _ in range(8)]
+    rows = []
+    for k in range(60):
+        part = []
+        for w in rnd.choice(items):
+            part += rnd.choice([[w]] * 6 + [["q"], [], [w, "q"]])
+        rows.append((k, " ".join(make(rnd.randint(0, 30)) + part + make(rnd.randint(0, 30)))))
+    own = D.Items([(k, " ".join(w).encode()) for k, w in enumerate(items)])
+    want = {}
+    for k, text in rows:
+        for i, piece in zip(own.ids, own.pieces):
+            score = D.smith_waterman(piece, own.numbers(text.encode()))[0] / len(piece)
+            assert D.best_score(piece, own.numbers(text.encode())) == score * len(piece)
+            if score >= min_score:
+                want[k, i] = score
+    tests = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = D.contaminated(docs_of(rows), tests, min_score).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in got} == pytest.approx(want)
