@@ -35,10 +35,10 @@ from poseval.schema import require_columns
 LEAST_WORDS = 3
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 1.0, 0.5, 0.5
-#: Words of items that one round hands to every task (about 100 bytes each there).
+#: Words of items that one round hands to every task (up to 200 bytes each there, in four pieces).
 ITEM_WORDS = 500_000
-#: Longer items are matched in pieces of this many words.
-PIECE = 256
+#: Longer items are matched by pieces of this many words, which begin at most ``STEP`` words apart.
+PIECE, STEP = 100, 25
 #: Words of a document that are searched at once.
 STRETCH = 50_000
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -50,6 +50,12 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_PLAIN, _MARKS).split()
 
 
+def piece_starts(n: int) -> list[int]:
+    """Where an item's pieces begin: evenly, and all of one length, so that no short rest decides alone."""
+    steps = max(0, -(-(n - PIECE) // STEP))
+    return [k * (n - PIECE) // steps for k in range(steps + 1)] if steps else [0]
+
+
 class Items:
     """Pieces of test items as word numbers, and which words are whose seeds."""
 
@@ -58,7 +64,7 @@ class Items:
         self.ids, self.pieces = [], []
         for item_id, text in items:
             words = words_of(text)
-            for k in range(0, len(words), PIECE):
+            for k in piece_starts(len(words)):
                 piece = words[k : k + PIECE]
                 if len(piece) >= LEAST_WORDS:
                     self.ids.append(item_id)
@@ -67,7 +73,6 @@ class Items:
         #: Words that a passage has to match, and the most that it can be long.
         self.least = np.array([max(1, math.ceil(min_score * n - 1e-9)) for n in sizes.tolist()], np.int64)
         self.least_score = min_score * sizes - 1e-6
-        self.places = [places_of(p) for p in self.pieces]
         self.reach = sizes + ((sizes - min_score * sizes) * MATCH / GAP).astype(np.int64) + 1
 
     def numbers(self, text: bytes) -> np.ndarray:
@@ -120,22 +125,17 @@ class Items:
             yield int(owner[i]), max(int(first[i]), 0), min(int(last[j - 1]) + 1, len(numbers))
 
 
-def places_of(item: np.ndarray) -> dict[int, int]:
-    """Each word's places in an item, as bits."""
+def common_words(item: np.ndarray, passage: np.ndarray) -> int:
+    """Length of the longest common subsequence: no alignment matches more words."""
     places: dict[int, int] = {}
     for k, word in enumerate(item.tolist()):
         places[word] = places.get(word, 0) | 1 << k
-    return places
-
-
-def common_words(places: dict[int, int], n: int, passage: np.ndarray) -> int:
-    """Length of the longest common subsequence with an item of ``n`` words: no alignment matches more."""
-    row = every = (1 << n) - 1
+    row = every = (1 << len(item)) - 1
     for here in map(places.get, passage.tolist()):
         if here:
             taken = row & here
             row = (row + taken | row - taken) & every
-    return n - row.bit_count()
+    return len(item) - row.bit_count()
 
 
 def best_score(item: np.ndarray, passage: np.ndarray) -> float:
@@ -195,7 +195,7 @@ def matches_in(items: Items, text: bytes, min_score: float) -> Iterator[tuple[ob
         numbers = every[base : base + STRETCH + overlap]
         for piece, first, last in items.stretches(numbers):
             item, passage = items.pieces[piece], numbers[first:last]
-            if common_words(items.places[piece], len(item), passage) < items.least[piece]:
+            if common_words(item, passage) < items.least[piece]:
                 continue
             if best_score(item, passage) < items.least_score[piece]:
                 continue
@@ -239,7 +239,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     """``doc_id, item_id, score, start_word, end_word``: the best passage per document and item.
 
     Words are lower-cased and lose ASCII punctuation. Items of fewer than three
-    words are not searched; those of over 256 words match by their pieces. Null
+    words are not searched. Those of over 100 words match by overlapping pieces of
+    100, and ``score`` is a share of the piece: with 0.5, a passage counts that
+    scores 50 within some 75 words in a row of its item, however long that is. Null
     texts are empty and match nothing; a null id is kept; repeated documents or
     items give one row for each pair of ids. Empty tables give no rows; other columns are
     ignored.

@@ -101,3 +101,24 @@ def test_every_passage_that_scores_enough(spark, docs_of, min_score):
     tests = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
     got = D.contaminated(docs_of(rows), tests, min_score).collect()
     assert {(r.doc_id, r.item_id): r.score for r in got} == pytest.approx(want)
+
+
+def test_pieces():
+    for n in (0, 1, 99, 100, 101, 125, 126, 259, 600, 5000):
+        starts = D.piece_starts(n)
+        assert starts[0] == 0 and starts[-1] == max(n - D.PIECE, 0)
+        assert all(0 < b - a <= D.STEP for a, b in zip(starts, starts[1:]))
+
+
+def test_long_items(spark, docs_of):
+    """Short rests of long items decide nothing; long excerpts count wherever they begin."""
+    item = [f"w{k}" for k in range(259)]
+    other = [f"x{k}" for k in range(80)]
+    rows = [(0, other + item[-3:]), (1, other + item[-30:]), (2, item[:45] + other)]
+    hits = [(10 + k, other + item[k : k + 100] + other) for k in range(0, 160, 13)]
+    hits += [(200 + k, other + item[k : k + 75]) for k in range(0, 185, 13)]
+    hits += [(400, ["zz" if n % 5 == 2 else w for n, w in enumerate(item[70:170])])]
+    table = docs_of([(k, " ".join(w)) for k, w in rows + hits])
+    tests = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {r.doc_id for r in D.contaminated(table, tests).collect()} == {k for k, _ in hits}
+    assert {r.doc_id for r in D.drop_contaminated(table, tests).collect()} == {0, 1, 2}
