@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The smallest given tables, for tests.
+SMALL = "/root/testdata/sf0.001"
+
 # The position corpus. 33 positions found under eight shared
 # keys, then 14 edge cases: castling letters, side, ranks, fields, en passant.
 _START = "rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR"

@@ -5,7 +5,7 @@ import pytest
 from checks.compare import compare, connect
 from checks.duckdb_sql import ORACLES
 from checks.spark_queries import QUERIES
-from conftest import SMALL
+from checks.tables import SMALL
 
 
 @pytest.fixture(scope="module")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import tables as T
-from conftest import SMALL
+from checks.tables import SMALL
 from poseval.functions import hashing as H
 from poseval.functions import position as P
 from poseval.operators import analysis as A

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import tables as T
-from conftest import SMALL
+from checks.tables import SMALL
 from poseval.operators import kv as K
 from poseval.operators import quality as Q
 from poseval.operators import simplify as S
