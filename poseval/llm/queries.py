@@ -19,6 +19,7 @@ from poseval.llm.quality import quality_scores
 from poseval.llm.simhash import near_duplicates
 from poseval.llm.suffix_dedup import repeated_strings
 from poseval.llm.url_filter import RULES, judge_pages
+from poseval.llm.whitening import fit_whitening, whiten
 
 #: The rules of op5.
 URL_RULES = [
@@ -94,6 +95,26 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable vector on the 32 leading components of all of them."""
+    table = load(spark, folder, "embeddings")
+    fit = fit_whitening(table)
+    if fit is None or not len(fit.values):
+        kind = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
+        return spark.createDataFrame([], kind)
+    found = whiten(table, fit, deviations=True).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    shares = F.array(*[F.lit(float(x)) for x in fit.explained])
+    return found.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(fit.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("at")).alias("explained"),
+        F.lit(fit.identity_error).alias("identity_error"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -107,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_preferences,
         op10_packing,
+        op11_whitening,
     )
 }
 ORACLES: dict[str, str] = {
