@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from poseval.llm.burst_trie import conversation_paths, prefix_trie
 from poseval.llm.chaining import fuzzy_passages
-from poseval.llm.common import load
+from poseval.llm.common import crc_of_id, load
 from poseval.llm.decontaminate import contaminated
 from poseval.llm.exact_dedup import exact_duplicates
 from poseval.llm.katz import score_documents
@@ -18,8 +19,10 @@ from poseval.llm.preference import format_preferences, mask_text
 from poseval.llm.quality import quality_scores
 from poseval.llm.simhash import near_duplicates
 from poseval.llm.suffix_dedup import repeated_strings
+from poseval.llm.token_files import read_documents, write_token_files
 from poseval.llm.url_filter import RULES, judge_pages
 from poseval.llm.whitening import fit_whitening, whiten
+from poseval.session import new_folder
 
 #: The rules of op5.
 URL_RULES = [
@@ -115,6 +118,19 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """All nodes of the trie over conversations that share beginnings with every twentieth."""
+    base = F.col("conv_id") - F.col("conv_id") % 20
+    return prefix_trie(conversation_paths(load(spark, folder, "conversations"), base, crc_of_id("conv_id") % 4))
+
+
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents, written to grammar-compressed files and read back."""
+    files = new_folder(spark, "token-files")
+    write_token_files(load(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), files)
+    return read_documents(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -129,6 +145,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_preferences,
         op10_packing,
         op11_whitening,
+        op12_prefix_trie,
+        op13_token_files,
     )
 }
 ORACLES: dict[str, str] = {
@@ -201,4 +219,33 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (side = 0 AND k > n AND role = 'assistant') > 0
                    AND count(*) FILTER (side = 1 AND k > n AND role = 'assistant') > 0 AS usable
         FROM r GROUP BY pair_id""",
+    "op12_prefix_trie": r"""
+        WITH own AS (
+            SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+        crc AS (
+            SELECT c, xor(list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                lambda a, b: list_reduce(
+                    list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                    lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 4 AS h
+            FROM own),
+        seq AS (
+            SELECT o.c, coalesce(b.turns, [])[1:h] || o.turns[h + 1:] AS s
+            FROM own o JOIN crc USING (c) LEFT JOIN own b ON b.c = o.c - o.c % 20),
+        pre AS (
+            SELECT c, d, len(s) = d AS ends, s[1:d] AS p, s[1:d - 1] AS up, coalesce(s[d].t, '') AS t
+            FROM seq, unnest(range(len(s) + 1)) AS u(d)),
+        node AS (
+            SELECT p, d, any_value(CASE WHEN d > 0 THEN up END) AS up, min(c) AS conv_id, count(*) AS n,
+                   (count(*) - 1) * any_value(len(list_filter(regexp_split_to_array(t, '[ 	-]+'), lambda w: w <> ''))) AS saved,
+                   sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends
+            FROM pre GROUP BY p, d),
+        kids AS (SELECT up, count(*) AS k FROM node WHERE d > 0 GROUP BY up),
+        flat AS (SELECT n.*, coalesce(k, 0) AS k FROM node n LEFT JOIN kids ON kids.up = n.p),
+        spread AS (SELECT p[1:a] AS p, k, saved FROM flat, unnest(range(d + 1)) AS u(a)),
+        below AS (SELECT p, count(*) FILTER (k = 0) AS leaves, sum(saved) AS saved FROM spread GROUP BY p)
+        SELECT f.conv_id, f.d AS depth, u.conv_id AS parent_conv_id, f.n AS n_convs, f.k AS n_children, b.leaves AS n_leaves,
+               CAST(b.saved AS BIGINT) AS saved_tokens, f.ends AS ends_sha256
+        FROM flat f JOIN below b USING (p) LEFT JOIN node u ON u.p = f.up""",
 }
