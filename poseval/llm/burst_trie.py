@@ -216,7 +216,7 @@ def burst(sequences: DataFrame, max_paths: int = MAX_PATHS, max_bytes: int = MAX
     table = heads[0]
     for part in heads[1:]:
         table = table.unionByName(part)
-    return out, table
+    return out, stage(table, "trie-all-heads")
 
 
 _NODE_TYPES = {
