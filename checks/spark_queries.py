@@ -186,7 +186,7 @@ def bad_castling_scan(spark, folder):
 
 def castling_possible(spark, folder):
     rows = N.with_legality(T.positions(spark, folder))
-    possible = F.col("board_ok") & P.castling_possible(F.col("wide"), F.col("castling"))
+    possible = F.col("board_ok") & N.castling_possible()
     return rows.select("row_id", possible.alias("possible"))
 
 

@@ -1,11 +1,7 @@
 """Position text (FEN) as column expressions.
 
-Two renderings of a board are used:
-
-* ``board64``: 64 characters, index 0 = a1, ``.`` for an empty square;
-* ``wide``: the eight ranks from the top, joined by two ``/``. A step to the
-  next rank is then 10 characters, and every move off the board lands on a
-  ``/``, so lines of attack become plain regular expressions.
+``board64`` is a board as 64 characters, index 0 = a1, ``.`` for an empty
+square. What the rules of the board need is in ``bitboard``.
 """
 
 from __future__ import annotations
@@ -59,10 +55,6 @@ def board64(expanded: Column) -> Column:
     return F.concat(*[F.substring(expanded, 64 - 9 * r, 8) for r in range(8)])
 
 
-def wide_board(expanded: Column) -> Column:
-    return F.replace(expanded, F.lit("/"), F.lit("//"))
-
-
 def board_from_board64(squares: Column) -> Column:
     ranks = [F.substring(squares, 1 + 8 * r, 8) for r in range(7, -1, -1)]
     return contract_dots(F.concat_ws("/", *ranks))
@@ -89,204 +81,6 @@ def square_index(square: Column) -> Column:
     return (F.ascii(F.substring(square, 2, 1)) - 49) * 8 + (F.ascii(square) - 97)
 
 
-# --- castling -------------------------------------------------------------
-
-# Home-square patterns per right, on the first and last rank.
-_HOME = {
-    "K": (71, "____K__R", "[KH]"),
-    "Q": (71, "R___K___", "[QA]"),
-    "k": (1, "____k__r", "[kh]"),
-    "q": (1, "r___k___", "[qa]"),
-}
-
-
-def home_right(wide: Column, right: str) -> Column:
-    """King and rook of one right stand on their home squares."""
-    start, pattern, _ = _HOME[right]
-    return F.substring(wide, start, 8).like(pattern)
-
-
-def castling_possible(wide: Column, castling: Column) -> Column:
-    """Every letter is one of KQkq and has king and rook at home."""
-    ok = castling.rlike(r"^[KQkq]+\z")
-    for right in _HOME:
-        ok = ok & (~castling.contains(right) | home_right(wide, right))
-    return ok
-
-
-def castling_invalid(wide: Column, castling: Column) -> Column:
-    """Some named right has no king and rook at home (file letters allowed)."""
-    bad = castling.rlike("[B-Gb-g]")
-    for right, (_, _, letters) in _HOME.items():
-        bad = bad | (castling.rlike(letters) & ~home_right(wide, right))
-    return (castling != "-") & bad
-
-
-def castling_flags(wide: Column, castling: Column) -> Column:
-    """Four characters: each effective right's letter, or ``-``."""
-    flags = [
-        F.when(castling.rlike(letters) & home_right(wide, right), right).otherwise("-")
-        for right, (_, _, letters) in _HOME.items()
-    ]
-    return F.concat(*flags)
-
-
-# --- attacks --------------------------------------------------------------
-
-
-# Steps in the wide board; the backward half of each is read in the reversed text.
-_STRAIGHT, _DIAGONAL, _KNIGHT, _KING, _PAWN = (1, 10), (9, 11), (8, 12, 19, 21), (1, 9, 10, 11), (9, 11)
-
-
-def _skip(step: int) -> str:
-    return f".{{{step - 1}}}" if step > 1 else ""
-
-
-def _slide(step: int) -> str:
-    return rf"{_skip(step)}(?:\.{_skip(step)})*"
-
-
-def _attackers(white: bool, forward: bool) -> list[str]:
-    """What may follow an attacked king, one pattern per line or jump.
-
-    ``forward`` reads towards the first rank, else the text is reversed. Black
-    pawns attack the white king from the ranks above it, white pawns the black
-    king from below.
-    """
-    rook, bishop, knight, king, pawn = ("[rq]", "[bq]", "n", "k", "p") if white else ("[RQ]", "[BQ]", "N", "K", "P")
-    found = [_slide(s) + rook for s in _STRAIGHT] + [_slide(s) + bishop for s in _DIAGONAL]
-    found += [_skip(s) + knight for s in _KNIGHT] + [_skip(s) + king for s in _KING]
-    if forward != white:
-        found += [_skip(s) + pawn for s in _PAWN]
-    return found
-
-
-def _king(white: bool) -> str:
-    return "K" if white else "k"
-
-
-def _aligned_pattern(white: bool) -> str:
-    """Two sliders on one line through the king."""
-    rook, bishop = ("[rq]", "[bq]") if white else ("[RQ]", "[BQ]")
-    lines = [(rook, s) for s in _STRAIGHT] + [(bishop, s) for s in _DIAGONAL]
-    return "|".join(who + _slide(s) + _king(white) + _slide(s) + who for who, s in lines)
-
-
-def _by_side(side: Column, white: Column, black: Column) -> Column:
-    return F.when(side == "w", white).otherwise(black)
-
-
-def king_attacked(wide: Column, side: Column) -> Column:
-    """The king of ``side`` stands on an attacked square."""
-
-    def attacked(white: bool) -> Column:
-        ahead, behind = (f"{_king(white)}(?:{'|'.join(_attackers(white, f))})" for f in (True, False))
-        return wide.rlike(ahead) | F.reverse(wide).rlike(behind)
-
-    return _by_side(side, attacked(True), attacked(False))
-
-
-def other_side(side: Column) -> Column:
-    return F.translate(side, "wb", "bw")
-
-
-def impossible_check(wide: Column, side: Column) -> Column:
-    """Three or more checkers, or two sliders on one line through the king."""
-
-    def count(white: bool) -> Column:
-        total = F.lit(0)
-        for forward, text in ((True, wide), (False, F.reverse(wide))):
-            for pattern in _attackers(white, forward):
-                total = total + text.rlike(_king(white) + pattern).cast("int")
-        return total
-
-    many = _by_side(side, count(True), count(False)) >= 3
-    aligned = _by_side(side, wide.rlike(_aligned_pattern(True)), wide.rlike(_aligned_pattern(False)))
-    return F.when(king_attacked(wide, side), aligned | many).otherwise(F.lit(False))
-
-
-# --- en passant -----------------------------------------------------------
-
-
-def _ep_parts(wide: Column, side: Column, ep: Column):
-    at = (56 - F.ascii(F.substring(ep, 2, 1))) * 10 + F.ascii(ep) - 96
-    forward = _by_side(side, F.lit(10), F.lit(-10))
-    own, enemy = F.when(side == "w", "P").otherwise("p"), F.when(side == "w", "p").otherwise("P")
-
-    def piece(pos: Column) -> Column:
-        return F.substr(wide, pos, F.lit(1))
-
-    return at, forward, own, enemy, piece
-
-
-def ep_square_valid(wide: Column, side: Column, ep: Column) -> Column:
-    """A pawn of the other side can just have made a double step over ``ep``."""
-    at, forward, _, enemy, piece = _ep_parts(wide, side, ep)
-    return (
-        ep.rlike(SQUARE)
-        & (F.substring(ep, 2, 1) == F.when(side == "w", "6").otherwise("3"))
-        & (piece(at) == ".")
-        & (piece(at - forward) == ".")
-        & (piece(at + forward) == enemy)
-    )
-
-
-def legal_ep(wide: Column, side: Column, ep: Column) -> Column:
-    """An en-passant capture exists that leaves the own king unattacked."""
-    at, forward, own, _, piece = _ep_parts(wide, side, ep)
-    taken = F.overlay(F.overlay(wide, own, at, F.lit(1)), F.lit("."), at + forward, F.lit(1))
-
-    def capture_from(pos: Column) -> Column:
-        after = F.overlay(taken, F.lit("."), pos, F.lit(1))
-        return F.when(piece(pos) == own, ~king_attacked(after, side)).otherwise(F.lit(False))
-
-    return F.when(
-        (ep != "-") & ep_square_valid(wide, side, ep),
-        capture_from(at + forward - 1) | capture_from(at + forward + 1),
-    ).otherwise(F.lit(False))
-
-
-# --- material and legality ------------------------------------------------
-
-
-def _count(squares: Column, piece: str) -> Column:
-    """Pieces of one kind; the text is ASCII, so bytes are characters."""
-    return F.octet_length(squares) - F.octet_length(F.replace(squares, F.lit(piece), F.lit("")))
-
-
-def too_much_material(squares: Column) -> Column:
-    """More than 16 men or 8 pawns, or more promoted men than missing pawns.
-
-    Bishops beyond one per square color are promoted, which matters only where
-    a side has two or more; only then are the colors told apart.
-    """
-    dark = F.regexp_replace(squares, r"(.).(.).(.).(.)..(.).(.).(.).(.)", "$1$2$3$4$5$6$7$8")
-
-    def extra(counted: Column, usual: int) -> Column:
-        return F.greatest(counted - usual, F.lit(0))
-
-    def side(p: str, n: str, b: str, r: str, q: str, k: str) -> Column:
-        pawns, bishops = _count(squares, p), _count(squares, b)
-        on_dark = _count(dark, b)
-        same_color = F.when(bishops > 1, extra(on_dark, 1) + extra(bishops - on_dark, 1)).otherwise(0)
-        promoted = (
-            extra(_count(squares, n), 2) + same_color + extra(_count(squares, r), 2) + extra(_count(squares, q), 1)
-        )
-        men = sum((_count(squares, x) for x in (n, b, r, q, k)), pawns)
-        return (men > 16) | (pawns > 8) | (promoted > 8 - pawns)
-
-    return side(*"PNBRQK") | side(*"pnbrqk")
-
-
-def unbuildable(wide: Column, squares: Column, side: Column) -> Column:
-    """Errors no tolerance removes: kings, pawns on an end rank, opposite check."""
-    return (
-        F.when((_count(squares, "K") != 1) | (_count(squares, "k") != 1), "kings")
-        .when(F.substring(squares, 1, 8).rlike("[Pp]") | F.substring(squares, 57, 8).rlike("[Pp]"), "pawns")
-        .when(king_attacked(wide, other_side(side)), "opposite check")
-    )
-
-
 def syntax_error(
     n_fields: Column, valid_board: Column, side: Column, castling: Column, ep: Column, clocks: Column
 ) -> Column:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_, or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from poseval.functions import bitboard as B
 from poseval.functions import hashing as H
 from poseval.functions import position as P
-from poseval.schema import key_bytes, require_columns, to_unsigned
+from poseval.schema import compute_once, key_bytes, require_columns, to_unsigned
 
 
 def with_fen_fields(df: DataFrame, fen: str = "fen") -> DataFrame:
@@ -53,29 +57,49 @@ def with_board64(df: DataFrame) -> DataFrame:
     )
 
 
-def with_legality(df: DataFrame) -> DataFrame:
-    """Add FEN fields, ``wide``, ``squares``, ``syntax`` and ``position_error``.
+def _parsed(df: DataFrame) -> DataFrame:
+    """FEN fields, ``syntax``, and the two inputs of the board pass: ``_board`` and ``_state``.
 
-    ``position_error`` is ``syntax: ...`` or ``position: ...`` where no
-    tolerated rule can make a position of the text, else NULL.
+    All of it is one value that is computed once per row, whatever filters and
+    Python stages above it use.
     """
     fields = with_board(df).withColumn("side", F.when(F.col("n_fields") < 2, "w").otherwise(F.col("side")))
-    boards = fields.withColumns(
-        {
-            "wide": F.when(F.col("board_ok"), P.wide_board(F.col("expanded"))),
-            "squares": F.when(F.col("board_ok"), P.board64(F.col("expanded"))),
-            "syntax": P.syntax_error(*[F.col(c) for c in FIELD_COLUMNS]),
-        }
-    )
-    bad = P.unbuildable(F.col("wide"), F.col("squares"), F.col("side"))
-    return boards.withColumn(
-        "position_error",
-        F.when(F.col("syntax").isNotNull(), F.concat(F.lit("syntax: "), F.col("syntax"))).otherwise(
-            F.concat(F.lit("position: "), bad)
-        ),
+    values = {
+        **{c: F.col(c) for c in ("board", *FIELD_COLUMNS)},
+        "syntax": P.syntax_error(*[F.col(c) for c in FIELD_COLUMNS]),
+        "_board": F.when(F.col("board_ok"), F.col("expanded")).otherwise(B.EMPTY_TEXT),
+        "_state": H.state_number(F.col("side"), F.col("castling"), F.col("ep")),
+    }
+    found = F.struct(*[c.alias(n) for n, c in values.items()])
+    return compute_once(fields, df.columns, found, "_parsed").select(*df.columns, "_parsed.*")
+
+
+def has(fact: int) -> Column:
+    """Whether ``facts`` has a bit of ``bitboard``."""
+    return F.col("facts").bitwiseAND(F.lit(fact)) != 0
+
+
+def _position_error() -> Column:
+    bad = F.when(has(B.KINGS), "kings").when(has(B.PAWNS), "pawns").when(has(B.OPPOSITE), "opposite check")
+    return F.when(F.col("syntax").isNotNull(), F.concat(F.lit("syntax: "), F.col("syntax"))).otherwise(
+        F.concat(F.lit("position: "), bad)
     )
 
 
+def with_legality(df: DataFrame) -> DataFrame:
+    """Add FEN fields, ``facts``, ``syntax`` and ``position_error``.
+
+    ``facts`` are the board's bits of ``bitboard.facts`` (those of an empty board
+    where the text is bad). ``position_error`` is ``syntax: ...`` or ``position:
+    ...`` where no tolerated rule can make a position of the text, else NULL.
+    The rules run once per row, in one pass over Arrow batches; filters on their
+    results stay above it.
+    """
+    boards = _parsed(df)
+    found = boards.withColumn("facts", H.board_facts(F.col("_board"), F.col("_state"))).drop("_board", "_state")
+    return found.withColumn("position_error", _position_error())
+
+
 def with_position_key(
     df: DataFrame,
     constants: list[tuple[int, int]] | None = None,
@@ -91,24 +115,33 @@ def with_position_key(
         raise ValueError("on_error must be 'fail' or 'null'")
     pairs = constants or H.generated_constants()
     columns = df.columns
-    checked = with_legality(df.select(F.struct("*").alias("_row"), "fen"))
-    state = H.effective_state(*[F.col(c) for c in ("squares", "side", "castling", "ep", "wide")])
+    parsed = _parsed(df.select(F.struct("*").alias("_row"), "fen"))
+    board, state = F.col("_board"), F.col("_state")
+    if engine == "arrow":
+        found = parsed.withColumn("_key", H.facts_and_key(board, state, pairs))
+    else:
+        known = parsed.withColumn("_facts", H.board_facts(board, state))
+        found = known.withColumn("_key", H.key_by_expression(board, state, F.col("_facts"), pairs))
+    keyed = found.select("_row", "fen", "syntax", "_key.*").withColumn("position_error", _position_error())
+    good = F.col("position_error").isNull()
+    hi = F.when(good, F.col("hi"))
     if on_error == "fail":
         problem = F.concat_ws(" ", F.col("position_error"), F.lit("in"), F.col("fen"))
-        state = F.when(F.col("position_error").isNotNull(), F.raise_error(problem).cast("string")).otherwise(state)
-    else:
-        state = F.when(F.col("position_error").isNull(), state)
-    kept = checked.select("_row", "position_error", state.alias("_state"))
-    hashed = H.key_by_arrow if engine == "arrow" else H.key_by_expression
-    keyed = kept.withColumn("_key", hashed(F.col("_state"), pairs))
-    known = F.col("_key.hi").isNotNull()
+        hi = F.when(good, F.col("hi")).otherwise(F.raise_error(problem).cast("bigint"))
     out = [F.col(f"_row.{c}").alias(c) for c in columns] + [
-        to_unsigned(F.col("_key.hi")).alias("zobr64"),
-        F.when(known, F.concat(key_bytes(F.col("_key.hi")), key_bytes(F.col("_key.lo")))).alias("zobr128"),
+        to_unsigned(F.col("_hi")).alias("zobr64"),
+        F.concat(key_bytes(F.col("_hi")), key_bytes(F.col("lo"))).alias("zobr128"),
     ]
     if on_error == "null":
         out.append(F.col("position_error"))
-    return keyed.select(*out)
+    return keyed.withColumn("_hi", hi).select(*out)
+
+
+def castling_possible() -> Column:
+    """Over ``with_legality``: every castling letter is one of KQkq and has king and rook at home."""
+    castling = F.col("castling")
+    kept = [~castling.contains(r) | has(B.HOME << i) for i, r in enumerate(B.RIGHTS)]
+    return reduce(and_, kept, castling.rlike(r"^[KQkq]+\z"))
 
 
 # Problem labels, in report order.
@@ -134,19 +167,22 @@ def position_problems(df: DataFrame) -> DataFrame:
     """
     columns = df.columns
     base = with_legality(df.select(F.struct("*").alias("_row"), "fen"))
-    wide, side, castling, ep = (F.col(c) for c in ("wide", "side", "castling", "ep"))
-    built = F.col("position_error").isNull()
+    castling, ep, built = F.col("castling"), F.col("ep"), F.col("position_error").isNull()
+    named = castling != "-"
+    home = {right: has(B.HOME << i) for i, right in enumerate(B.RIGHTS)}
+    lost = {r: ~home[r] & (castling.contains(r) | castling.contains(f)) for r, f in H.RIGHT_LETTERS}
+    invalid = reduce(or_, lost.values(), castling.rlike("[B-Gb-g]"))
     flags = base.withColumns(
         {
-            "start": (F.col("board") == P.START_BOARD) & (side == "b"),
+            "start": (F.col("board") == P.START_BOARD) & (F.col("side") == "b"),
             "e_syntax": F.col("syntax").isNotNull(),
             "e_position": F.coalesce(F.col("position_error").startswith("position"), F.lit(False)),
-            "e_castling": F.when(built, P.castling_invalid(wide, castling)).otherwise(False),
-            "e_ep": F.when(built, (ep != "-") & ~P.ep_square_valid(wide, side, ep)).otherwise(False),
-            "e_check": F.when(built, P.impossible_check(wide, side)).otherwise(False),
-            "e_material": F.when(built, P.too_much_material(F.col("squares"))).otherwise(False),
-            "x_castling": F.when(built, (castling != "-") & ~P.castling_possible(wide, castling)).otherwise(False),
-            "x_ep": F.when(built, (ep != "-") & ~P.legal_ep(wide, side, ep)).otherwise(False),
+            "e_castling": built & named & invalid,
+            "e_ep": built & (ep != "-") & ~has(B.EP_VALID),
+            "e_check": built & has(B.CHECK),
+            "e_material": built & has(B.MATERIAL),
+            "x_castling": built & named & ~castling_possible(),
+            "x_ep": built & (ep != "-") & ~has(B.EP_LEGAL),
         }
     )
     label = lambda on, key: F.when(on, PROBLEMS[key])

@@ -1,12 +1,15 @@
 """Keys, rules and labels on known positions."""
 
+import re
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from checks import tables as T
 from checks.tables import SMALL
+from poseval.functions import bitboard as B
 from poseval.functions import hashing as H
-from poseval.functions import position as P
 from poseval.operators import analysis as A
 from poseval.operators import positions as N
 from poseval.schema import key64_column, key_bytes, to_key64, to_unsigned, unsigned_order
@@ -109,9 +112,11 @@ def test_supplied_constants_are_used(spark):
         ("4k3/8/8/8/8/8/8/q3K3 w - -", True),
     ],
 )
-def test_king_attacked(spark, fen, attacked):
-    row = N.with_legality(rows_of(spark, fen)).select(P.king_attacked(F.col("wide"), F.col("side"))).first()
-    assert row[0] is attacked
+def test_king_attacked(fen, attacked):
+    board, side = fen.split()[:2]
+    text = re.sub("[1-8]", lambda m: "." * int(m[0]), board)
+    boards = B.Boards(B.codes_of(np.frombuffer(text.encode(), np.uint8)))
+    assert B.King(boards, np.array([side == "w"])).attacked(boards.occupied).tolist() == [attacked]
 
 
 @pytest.mark.parametrize(
@@ -130,7 +135,7 @@ def test_king_attacked(spark, fen, attacked):
 )
 def test_legal_ep(spark, fen, legal):
     rows = N.with_legality(rows_of(spark, fen))
-    assert rows.select(P.legal_ep(F.col("wide"), F.col("side"), F.col("ep"))).first()[0] is legal
+    assert rows.select(N.has(B.EP_LEGAL)).first()[0] is legal
 
 
 def test_problem_labels(spark):
