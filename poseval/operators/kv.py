@@ -92,6 +92,12 @@ def grouped_entries(rows: DataFrame, order: list[str]) -> DataFrame:
     return grouped.select(key_bytes(F.col("key64")).alias("k"), F.unhex(F.concat(count, body)).alias("v"))
 
 
+def packed_entries(groups: DataFrame) -> DataFrame:
+    """``(k, v)`` of ``runs.entries_of_runs``: count byte, then the entries."""
+    count = F.unhex(F.lpad(F.hex("n"), 2, "0"))
+    return groups.select(key_bytes(F.col("key64")).alias("k"), F.concat(count, "entries").alias("v"))
+
+
 def decode_kv(kv: DataFrame) -> DataFrame:
     """One row per stored entry: key, position in the value and all fields.
 

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from poseval.operators import ordinal as O
 from poseval.operators import quality as Q
-from poseval.operators.kv import encoded_rows, grouped_entries
+from poseval.operators.kv import encoded_rows, grouped_entries, packed_entries
 from poseval.operators.positions import with_position_key
+from poseval.operators.runs import entries_of_runs, latest_of_runs, one_stretch_per_task
 from poseval.operators.simplify import deepest_of, latest_per_key, scored_rows, simplify_positions, upsert_counts
 from poseval.operators.text import diagnose_text
-from poseval.schema import SCORE_SCHEMA, read_simplified, require_columns, to_unsigned
+from poseval.schema import BITS, SCORE_SCHEMA, SIMPLIFIED_COLUMNS, key64_column, read_simplified, require_columns, unsigned_order
 from poseval.session import delete_folder, new_folder, stage, staging
 from poseval.sources import readers as R
 from poseval.sources import sinks as S
@@ -123,13 +124,6 @@ def simplify(
     return {"input_rows": read, "skipped_rows_without_eval": read - found["used"], "output_rows": found["rows"]}
 
 
-def _require_sorted(table: DataFrame) -> None:
-    first = Q.sortedness_violations(table).limit(1).collect()
-    if first:
-        row = first[0]
-        raise ValueError(f"input is not sorted by zobr64 (file {row['file']}, row {row['row']})")
-
-
 def build_latest(
     spark: SparkSession,
     src: str,
@@ -139,13 +133,24 @@ def build_latest(
     check_sorted: bool = True,
     target_mb: int = S.TARGET_MB,
 ) -> dict:
-    """One row per key, the last in arrival order wins; key as BIGINT bits."""
-    S.check_output(spark, src, dst, overwrite, empty=True)
+    """One row per key, the last in arrival order wins; key as BIGINT bits.
+
+    The input has to be sorted by key. It is then reduced where it is read and
+    its parts follow the input's splits; only keys at their ends are shuffled.
+    ``check_sorted=False`` takes any order and groups by a shuffle, into parts
+    of ``target_mb``.
+    """
+    mode = S.check_output(spark, src, dst, overwrite, empty=True)
+    S._check_sizes(target_mb, zstd_level)
     table = R.read_table(spark, src)
     rows = read_simplified(O.with_location(table))
     if check_sorted:
-        _require_sorted(rows)
-    S.write_latest_table(latest_per_key(rows, ORDER).drop("skipped"), dst, target_mb, zstd_level, overwrite, src)
+        values = SIMPLIFIED_COLUMNS[1:]
+        with staging(spark) as put:
+            latest = latest_of_runs(rows.withColumn("key64", key64_column(rows)), values, put)
+            S.write_runs(latest.select(F.col("key64").alias("zobr64", metadata=BITS), *values), dst, unsigned_order(F.col("zobr64")), mode, zstd_level)
+    else:
+        S.write_latest_table(latest_per_key(rows, ORDER).drop("skipped"), dst, target_mb, zstd_level, overwrite, src)
     read, written = table.count(), _rows(spark, dst)
     return {"input_rows": read, "inserted_rows": written, "skipped_duplicate_keys": read - written}
 
@@ -162,20 +167,26 @@ def build_kv(
     """Compact binary table with all entries of a key, plus castling letters.
 
     The input is encoded once into a stored table (key, entry or error, and
-    place); the sort check, the build and all counters read that.
+    place); the build and all counters read that. Input sorted by key, among the
+    rows that can be encoded, is grouped where it is read, and the parts follow
+    its splits; ``check_sorted=False`` takes any order and groups by a shuffle,
+    into parts of ``target_mb``.
     ``castling_letters`` and ``castling_snapshots`` (letters of the first 10%,
     20%, .. of the rows) are tables, one row per letter however many there are.
     """
-    S.check_output(spark, src, dst, overwrite, empty=True)
+    mode = S.check_output(spark, src, dst, overwrite, empty=True)
+    S._check_sizes(target_mb, zstd_level)
     table = R.read_table(spark, src)
     rows = read_simplified(O.with_location(table))
     percent = O.decile_of(table)
     with staging(spark) as put:
-        encoded = put(encoded_rows(rows, ORDER), "encoded")
-        good = encoded.where("encode_error IS NULL")
+        with one_stretch_per_task(spark):
+            encoded = put(encoded_rows(rows, ORDER), "encoded")
+        good = encoded.where("encode_error IS NULL").select("key64", "entry", *ORDER)
         if check_sorted:
-            _require_sorted(good.select(to_unsigned(F.col("key64")).alias("zobr64"), *ORDER))
-        S.write_kv(grouped_entries(good.select("key64", "entry", *ORDER), ORDER), dst, target_mb, zstd_level, overwrite, src)
+            S.write_runs(packed_entries(entries_of_runs(good, put)), dst, F.col("k"), mode, zstd_level)
+        else:
+            S.write_kv(grouped_entries(good, ORDER), dst, target_mb, zstd_level, overwrite, src)
         counts = stage(
             encoded.groupBy(percent.alias("percent"), F.col("encode_error").isNull().alias("good"), "bad_letter").agg(
                 F.count(F.lit(1)).alias("n")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poseval.operators.quality import global_sort
+from poseval.operators.runs import one_stretch_per_task
 from poseval.schema import require_columns
 from poseval.session import delete_folder, new_folder
 from poseval.sources.readers import PARQUET_GLOB, has_files, list_files
@@ -173,3 +175,30 @@ def write_latest_table(
     _check_sizes(target_mb, zstd_level)
     mode = check_output(latest.sparkSession, src, dst, overwrite, empty=True)
     _write_by_key(latest, "zobr64", dst, target_mb, zstd_level, mode)
+
+
+def name_by_order(spark: SparkSession, folder: str, order: Column) -> None:
+    """Rename the files of a folder so that their names rise with their smallest ``order``.
+
+    For tables whose files hold disjoint ranges. Reads the columns of ``order``;
+    the data stays where it is. A new name keeps the number the file was written
+    with, so names never clash, and a second call, or one after a stop halfway,
+    ends in the same order.
+    """
+    table = spark.read.parquet(folder)
+    files = table.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.min(order).alias("first")).orderBy("first")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    system = hadoop(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for i, row in enumerate(files.toLocalIterator()):
+        old = hadoop(row["path"])
+        written, rest = re.fullmatch(r"part-(?:\d+-t)?(\d+)(.*)", old.getName()).groups()
+        new = hadoop(old.getParent(), f"part-{i:05d}-t{written}{rest}")
+        if new.getName() != old.getName() and not system.rename(old, new):
+            raise OSError(f"could not rename {old}")
+
+
+def write_runs(df: DataFrame, dst: str, order: Column, mode: str, zstd_level: int = ZSTD_LEVEL) -> None:
+    """Write the result of ``operators.runs`` in ``order``: every task's rows are one range of keys."""
+    with one_stretch_per_task(df.sparkSession):
+        _writer(df.sortWithinPartitions(order), mode, zstd_level).parquet(dst)
+    name_by_order(df.sparkSession, dst, order)
