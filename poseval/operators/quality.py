@@ -8,13 +8,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from poseval.functions import evals as E
 from poseval.functions import position as P
 from poseval.operators import ordinal as O
 from poseval.operators.kv import with_encode_error
 from poseval.operators.positions import with_board
-from poseval.schema import compute_once, key64_column, require_columns, unsigned_order
+from poseval.operators.ranges import range_partitioned
+from poseval.schema import UNSIGNED, compute_once, holds_bits, key64_column, require_columns, unsigned_order
 from poseval.session import stage
 
 
@@ -178,10 +180,21 @@ def global_sort(df: DataFrame, column: str, partitions: int, spread: list[str] |
     among several partitions; rows of equal ``column`` have no set order. The
     default spread is a hash of the row; give a row index for tables with many
     whole-row copies.
+
+    A position key with a whole-number ``spread`` is cut into equal widths (see
+    ``ranges``), about ``partitions`` of them, and no sample of the table is
+    read. Other columns, and keys that turn out uneven, are cut by Spark's.
     """
     require_columns(df, [column])
     if partitions < 1:
         raise ValueError("partitions must be positive")
+    kind = df.schema[column].dataType
+    if spread and (kind == UNSIGNED or holds_bits(df, column)) and isinstance(df.schema[spread[0]].dataType, T.IntegralType):
+        order = unsigned_order(key64_column(df, column))
+        ranges = range_partitioned(df, order, partitions, F.col(spread[0]))
+        if ranges is not None:
+            by_key = [F.col("_order").asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in spread]]
+            return ranges.sortWithinPartitions(*by_key).drop("_order")
     by: list[Column] = [F.col(column).asc_nulls_first()]
     if spread:
         by += [F.col(c).asc_nulls_first() for c in spread]
