@@ -237,6 +237,15 @@ _define(
                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS zobr64 FROM marked) WHERE hit""",
 )
 
+# The same over whole files, each the texts of one remainder in order.
+_define("docs_file", ["docs"], "SELECT doc_id % 4 AS doc_id, string_agg(text, chr(10) ORDER BY doc_id) AS text FROM docs GROUP BY 1")
+for _name in ("tok", "ahead", "marked", "found"):
+    _needs, _sql = _CTES[_name]
+    _body = _sql[len(f"{_name} AS (") : -1]
+    for _need in _needs:
+        _body = _body.replace(f"FROM {_need}", f"FROM {_need}_file")
+    _define(f"{_name}_file", [f"{n}_file" for n in _needs], _body)
+
 # --- chess geometry -------------------------------------------------------
 
 _GEOMETRY: list[tuple[str, list[str], str]] = []
@@ -766,6 +775,7 @@ ORACLES: dict[str, str] = {
                  FROM (SELECT * FROM keyed ORDER BY row_id LIMIT 20))""",
     ),
     "extract_positions": _query(["found"], "SELECT doc_id, zobr64, fen FROM found"),
+    "positions_of_lines": _query(["found_file"], "SELECT doc_id, zobr64, fen FROM found_file"),
     "group_positions": _query(
         ["found"],
         """SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first) - 1 AS INT) AS group_no, zobr64,

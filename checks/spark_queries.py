@@ -302,6 +302,21 @@ def extraction_totals(spark, folder):
     return X.extraction_totals(T.docs(spark, folder))
 
 
+def positions_of_lines(spark, folder):
+    """All texts as four files, read in splits of 64 KB, so that headers and positions cross lines and splits."""
+    path = _folder(spark, "lines")
+    docs = T.docs(spark, folder).select("doc_id", F.coalesce("text", F.lit("")).alias("value"), (F.col("doc_id") % 4).alias("part"))
+    docs.repartition(4, "part").sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy("part").text(path)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        found = stage(X.positions_of_lines(R.read_text_lines(spark, path)), "positions")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    part = F.regexp_extract("file", r"part=(\d+)", 1).cast("bigint")
+    return found.select(part.alias("doc_id"), _key(), "fen")
+
+
 def diagnose_text(spark, folder):
     found = X.diagnose_text(T.docs(spark, folder))
     return found.select("doc_id", _key(), "fen", F.array_join("reported", "; ").alias("reported"))
@@ -529,6 +544,7 @@ _ALL = [
     extract_positions,
     group_positions,
     extraction_totals,
+    positions_of_lines,
     diagnose_text,
 ]
 

@@ -115,6 +115,17 @@ def has_files(spark: SparkSession, folder: str, glob: str) -> bool:
         raise
 
 
+def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files of any size: ``file, block, value``, in order within each split.
+
+    ``block`` is where the split begins in its file; large files are read by
+    many tasks. See ``text.positions_of_lines``.
+    """
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
+    )
+
+
 def read_text_positions(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files as ``(doc_id, text)``; the path is the id."""
     return spark.read.text(path, wholetext=True).select(

@@ -2,8 +2,11 @@
 
 import random
 
+import pytest
+
 from checks import tables as T
 from poseval.operators import text as X
+from poseval.sources import readers as R
 
 # Words that no position or key header can contain or be completed by.
 FILLER = ["lorem", "12x", "e9", "KK", "4k3/8/8/8/8/8/8", "4k3/8/8/8/8/8/8/4K4", "x4k3/8/8/8/8/8/8/4K3", "zobr64:7", "w/b"]
@@ -80,3 +83,33 @@ def test_extraction_does_not_shuffle(spark):
     table = spark.createDataFrame([(1, "x")], "doc_id int, text string")
     plan = X.diagnose_text(table)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def from_files(spark, path):
+    found = X.positions_of_lines(R.read_text_lines(spark, path))
+    out = {}
+    for r in found.orderBy("file", "block", "chunk", "nth").collect():
+        out.setdefault(r.file.rsplit("/", 1)[1], []).append((None if r.zobr64 is None else int(r.zobr64), r.fen))
+    return out
+
+
+@pytest.mark.parametrize("split, chunk", [("64", 1), ("300", 40), ("128m", 1 << 16)])
+def test_files_read_in_splits(spark, tmp_path, monkeypatch, split, chunk):
+    """Positions and headers across lines, chunks and splits equal those of the whole text."""
+    monkeypatch.setattr(X, "CHUNK", chunk)
+    rnd = random.Random(int(split.rstrip("m")))
+    texts = {"case.txt": " x ".join(t for t, _ in CASES), "empty.txt": "", "blank.txt": "\n \n\n"}
+    for i in range(3):
+        parts = [planted(rnd)[0] for _ in range(5)]
+        # A header, nothing for a while, and then a position with a word to each line.
+        parts.insert(5, "zobr64: 77" + "\n" * 12 + "\n".join(T.CORPUS[20].split()) + "\n" * 8 + "\n".join(T.CORPUS[24].split(" ")) + "\n1\n2\n")
+        texts[f"t{i}.txt"] = "\n".join(parts)
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    want = {name: found for name, found in zip(texts, extract(spark, list(texts.values()))) if found}
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        assert from_files(spark, str(tmp_path)) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
