@@ -794,3 +794,7 @@ ORACLES: dict[str, str] = {
            FROM found GROUP BY doc_id""",
     ),
 }
+# An update ends in the table of one build over all lines.
+ORACLES["update_deepest_job"] = ORACLES["build_deepest_job"]
+_FIFTIETH = _query(["keyed"], "SELECT format('{:016X}', CAST(zobr64 AS UBIGINT)) FROM keyed WHERE row_id % 50 = 0")
+ORACLES["lookup_keys"] = f"SELECT k, v FROM ({ORACLES['build_kv_job']}) AS kv WHERE k IN ({_FIFTIETH})"

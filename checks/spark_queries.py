@@ -15,6 +15,7 @@ from poseval.functions import codec as C
 from poseval.functions import evals as E
 from poseval.functions import position as P
 from poseval.operators import analysis as A
+from poseval.operators import fileindex as FX
 from poseval.operators import kv as K
 from poseval.operators import ordinal as O
 from poseval.operators import positions as N
@@ -22,7 +23,7 @@ from poseval.operators import quality as Q
 from poseval.operators import simplify as S
 from poseval.operators import text as X
 from poseval.plans import jobs as J
-from poseval.schema import SCORE_SCHEMA
+from poseval.schema import SCORE_SCHEMA, key64_column, key_bytes
 from poseval.session import new_folder, stage
 from poseval.sources import readers as R
 
@@ -473,6 +474,30 @@ def build_deepest_counters(spark, folder):
     return _counters(spark, _deepest(spark, folder)[0])
 
 
+def update_deepest_job(spark, folder):
+    """A table built from the first four fifths of the lines, in several files, and updated with the rest."""
+    rows, dst = stage(_legal_rows(spark, folder), "legal"), _folder(spark, "deepest")
+    cut = rows.agg((F.max("row_id") * 4 / 5).alias("cut"))
+    early = F.col("row_id") <= cut.first()["cut"]
+    first, rest = (_raw(spark, folder, rows.where(c)) for c in (early, ~early))
+    built = _folder(spark, "built")
+    J.build_deepest(spark, first, built, file=first)
+    kv = R.read_table(spark, built)
+    kv.repartitionByRange(4, "k").sortWithinPartitions("k").write.parquet(dst)
+    J.update_deepest(spark, rest, dst, file=rest)
+    return O.with_row_ordinal(R.read_table(spark, dst)).select("ord", F.hex("k").alias("k"), "v")
+
+
+def lookup_keys(spark, folder):
+    """Values of the keys of every fiftieth row, through the key ranges of the table's files."""
+    dst = _folder(spark, "kv")
+    J.build_kv(spark, _simple_table(spark, folder), dst)
+    FX.build_index(spark, dst, "k")
+    rows = T.keyed(spark, folder).where("row_id % 50 = 0")
+    keys = rows.select(key_bytes(key64_column(rows)).alias("k"))
+    return FX.lookup_keys(spark, dst, keys).select(F.hex("k").alias("k"), F.hex("v").alias("v"))
+
+
 def scan_castling_job(spark, folder):
     """Letters of the failing rows in the first quarter of a stored table."""
     src = _folder(spark, "encodable")
@@ -488,6 +513,8 @@ _ALL = [
     build_kv_letters,
     build_deepest_job,
     build_deepest_counters,
+    update_deepest_job,
+    lookup_keys,
     lookup_latest,
     ingest_job,
     read_scores_json,

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from poseval.operators import fileindex as X
 from poseval.operators import ordinal as O
 from poseval.operators import quality as Q
 from poseval.operators.kv import encoded_rows, grouped_entries, packed_entries
@@ -205,6 +206,15 @@ def build_kv(
     }
 
 
+def _scored_lines(lines: DataFrame, constants: list[tuple[int, int]] | None) -> DataFrame:
+    """One scored row per line; a line that is no position stops the job, a blank one has no key."""
+    parsed = with_position_key(R.parse_all_lines(lines, SCORE_SCHEMA), constants, on_error="null")
+    bad = ~F.col("blank") & F.col("position_error").isNotNull()
+    message = F.concat_ws(" ", "position_error", F.lit("in"), F.coalesce("fen", F.lit("a line without fen")))
+    checked = parsed.withColumn("fen", F.when(bad, F.raise_error(message).cast("string")).otherwise(F.col("fen")))
+    return scored_rows(checked, R.LINE_ORDER)
+
+
 def build_deepest(
     spark: SparkSession,
     src: str,
@@ -227,11 +237,7 @@ def build_deepest(
     path = R.resolve_eval_input(spark, src, file, first_only)
     lines = R.read_lines(spark, path, partitions)
     with staging(spark) as put:
-        parsed = with_position_key(R.parse_all_lines(lines, SCORE_SCHEMA), constants, on_error="null")
-        bad = ~F.col("blank") & F.col("position_error").isNotNull()
-        message = F.concat_ws(" ", "position_error", F.lit("in"), F.coalesce("fen", F.lit("a line without fen")))
-        checked = parsed.withColumn("fen", F.when(bad, F.raise_error(message).cast("string")).otherwise(F.col("fen")))
-        scored = put(scored_rows(checked, R.LINE_ORDER), "scored")
+        scored = put(_scored_lines(lines, constants), "scored")
         S.write_kv(deepest_of(scored), dst, target_mb, overwrite=overwrite, src=src)
         counters = upsert_counts(scored).first().asDict()
         # Blank lines are the rows without a key.
@@ -239,6 +245,63 @@ def build_deepest(
     return {**counters, "written_keys": _rows(spark, dst)}
 
 
+def update_deepest(
+    spark: SparkSession,
+    src: str,
+    dst: str,
+    file: str | None = None,
+    first_only: bool = False,
+    constants: list[tuple[int, int]] | None = None,
+    partitions: int | None = None,
+    zstd_level: int = S.ZSTD_LEVEL,
+) -> dict:
+    """Merge JSON lines into a table of ``build_deepest``: a key keeps its value unless a line is deeper.
+
+    The result is that of one build over the old lines and then the new ones.
+    Only files whose key range the batch touches are read and written anew, each
+    by one task; all others stay byte for byte. Counters are those of a load of
+    the batch in line order. Nobody may read or update the table meanwhile.
+    """
+    path = R.resolve_eval_input(spark, src, file, first_only)
+    if not R.has_files(spark, f"{dst}/{X.INDEX}", R.PARQUET_GLOB):
+        X.build_index(spark, dst, "k")
+    files = X.Files(X.read_index(spark, dst))
+    if not files.disjoint():
+        raise ValueError(f"the key ranges of the files overlap: {dst}")
+    with staging(spark) as put:
+        scored = put(_scored_lines(R.read_lines(spark, path, partitions), constants), "scored")
+        batch = scored.withColumn("_oa", F.lit(1))
+        order = unsigned_order(F.col("key64"))
+        usable = batch.where("depth IS NOT NULL")
+        numbers = sorted(r[0] for r in usable.select(files.number(order).alias("f")).distinct().collect()) if files.path else []
+        kept = ["key64", "fen", "eval", "mate", "depth", "_oa", *[c for c in scored.columns if c.startswith("_o")]]
+        if numbers:
+            old = spark.read.parquet(*[files.path[i] for i in numbers])
+            value = F.from_json("v", "eval int, mate int, depth int, fen string").alias("_v")
+            stored = old.select(unsigned_order(X.key_order(old, "k")).alias("key64"), value).select("key64", "_v.*")
+            # What is there came before any line of the batch.
+            stored = stored.withColumns({"_oa": F.lit(0), **{c: F.lit(None).cast(scored.schema[c].dataType) for c in kept[6:]}})
+            known = batch.where("key64 IS NOT NULL").select("key64").distinct()
+            counted = batch.select(kept).unionByName(stored.join(known, "key64", "left_semi").select(kept))
+            merged = deepest_of(batch.select(kept).unionByName(stored.select(kept)))
+        else:
+            counted, merged = batch.select(kept), deepest_of(batch.select(kept))
+        counted = put(counted, "counted")
+        before = counted.where("_oa = 0").count()
+        counters = upsert_counts(counted).first().asDict()
+        for name in ("lines", "rows_with_eval", "updated_keys"):
+            counters[name] -= before
+        counters["rows_missing_eval"] -= scored.where("key64 IS NULL").count()
+        if not usable.isEmpty():
+            made = new_folder(spark, "update")
+            place = merged.withColumn("_f", files.number(X.key_order(merged, "k")) if files.path else F.lit(0))
+            slot = F.array_position(F.array(*[F.lit(i) for i in numbers or [0]]), F.col("_f")).cast("int") - 1
+            rows = place.repartitionById(max(len(numbers), 1), slot).sortWithinPartitions("k").select("k", "v")
+            S._writer(rows, "errorifexists", zstd_level).parquet(made)
+            X.replace_files(spark, dst, made, numbers, files, "k")
+    return {**counters, "written_keys": _rows(spark, dst), "files_rewritten": len(numbers)}
+
+
 def scan_castling(spark: SparkSession, src: str, percent: float = 1.0) -> tuple[DataFrame, DataFrame, dict]:
     """Failing positions of the first ``percent`` of the rows, their letters, and counters."""
     table = R.read_table(spark, src)
