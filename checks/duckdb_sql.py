@@ -798,3 +798,5 @@ ORACLES: dict[str, str] = {
 ORACLES["update_deepest_job"] = ORACLES["build_deepest_job"]
 _FIFTIETH = _query(["keyed"], "SELECT format('{:016X}', CAST(zobr64 AS UBIGINT)) FROM keyed WHERE row_id % 50 = 0")
 ORACLES["lookup_keys"] = f"SELECT k, v FROM ({ORACLES['build_kv_job']}) AS kv WHERE k IN ({_FIFTIETH})"
+ORACLES["position_key_per_file"] = f"SELECT row_id, zobr64, true AS same_file FROM ({ORACLES['add_position_key_job']}) AS keyed"
+ORACLES["latest_catalog_table"] = ORACLES["build_latest_job"]

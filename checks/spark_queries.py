@@ -5,6 +5,7 @@ Keys and binary values are rendered as text so both engines compare equal.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,6 +27,7 @@ from poseval.plans import jobs as J
 from poseval.schema import SCORE_SCHEMA, key64_column, key_bytes
 from poseval.session import new_folder, stage
 from poseval.sources import readers as R
+from poseval.sources import sinks as W
 
 ORD = ["row_id"]
 LINE = ["row_id", "line_no", "part", "supp"]
@@ -459,6 +461,30 @@ def add_position_key_job(spark, folder):
     return R.read_table(spark, dst).select("row_id", _key(), F.hex("zobr128").alias("zobr128"))
 
 
+def position_key_per_file(spark, folder):
+    """Keys per input file: five files of one remainder each, and the file each row is in afterwards."""
+    raw, src, dst = (_folder(spark, n) for n in ("raw", "nested", "hashed"))
+    rows = N.with_position_key(T.positions(spark, folder), on_error="null").where("position_error IS NULL").select("row_id", "fen")
+    rows.withColumn("part", F.col("row_id") % 5).repartition(5, "part").write.partitionBy("part").parquet(raw)
+    for part in range(5):
+        spark.read.parquet(f"{raw}/part={part}").coalesce(1).write.mode("append").parquet(src)
+    J.add_position_key(spark, src, dst, keep_files=True)
+    name = lambda t: t.select("*", F.substring_index("_metadata.file_path", "/", -1).alias("file"))
+    found = name(R.read_table(spark, dst)).select("row_id", _key(), "file")
+    before = name(R.read_table(spark, src)).select(F.col("row_id").alias("_id"), F.col("file").alias("_file"))
+    kept = found.join(before, F.col("row_id") == F.col("_id"))
+    return kept.select("row_id", "zobr64", (F.col("file") == F.col("_file")).alias("same_file"))
+
+
+def latest_catalog_table(spark, folder):
+    """The latest table in the catalog, joined with itself by key."""
+    name = f"latest_{uuid.uuid4().hex}"
+    table = S.latest_per_key(_simplified(spark, folder)).drop("skipped")
+    saved = W.save_latest_table(table, name, 8, _folder(spark, "catalog"))
+    depths = spark.table(name).select("zobr64", "depth")
+    return saved.drop("depth").join(depths, "zobr64")
+
+
 def _deepest(spark, folder):
     path, dst = _raw(spark, folder, _legal_rows(spark, folder)), _folder(spark, "deepest")
     return J.build_deepest(spark, path, dst, file=path), dst
@@ -519,6 +545,8 @@ _ALL = [
     ingest_job,
     read_scores_json,
     add_position_key_job,
+    position_key_per_file,
+    latest_catalog_table,
     scan_castling_job,
     read_eval_json,
     sort_table_job,

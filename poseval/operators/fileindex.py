@@ -7,6 +7,8 @@ own file listing is.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,7 +52,7 @@ class Files:
         rows = sorted(index.select("low", "high", "path").collect())
         self.low = np.array([r["low"] for r in rows], np.int64)
         self.high = np.array([r["high"] for r in rows], np.int64)
-        self.path = [r["path"] for r in rows]
+        self.path = [unquote(r["path"]) for r in rows]  # scan metadata writes paths as URLs
 
     def disjoint(self) -> bool:
         return bool((self.high[:-1] < self.low[1:]).all())
@@ -107,8 +109,9 @@ def replace_files(spark: SparkSession, folder: str, made: str, numbers: list[int
     for row in lows.groupBy("path").agg(F.min("order").alias("low")).toLocalIterator():
         at = max(int(np.searchsorted(files.low, row["low"], "right")) - 1, 0)
         place = hadoop(files.path[at]).getName().split("-")[1] if files.path else "00000"
-        new = hadoop(folder, f"part-{place}-u{hadoop(row['path']).getName().removeprefix('part-')}")
-        if not system.rename(hadoop(row["path"]), new):
+        old = unquote(row["path"])
+        new = hadoop(folder, f"part-{place}-u{hadoop(old).getName().removeprefix('part-')}")
+        if not system.rename(hadoop(old), new):
             raise OSError(f"could not put {new} in place")
     for i in numbers:
         system.delete(hadoop(files.path[i]), False)

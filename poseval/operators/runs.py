@@ -29,18 +29,29 @@ _SPLIT, _OPEN = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostIn
 
 
 @contextmanager
-def one_stretch_per_task(spark: SparkSession) -> Iterator[None]:
+def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def one_stretch_per_task(spark: SparkSession):
     """Inside, scans that start give every task a piece of one file only.
 
     Opening a file is then counted as a full task's worth of bytes, so that
     Spark never packs two files into one task.
     """
-    before = spark.conf.get(_OPEN)
-    spark.conf.set(_OPEN, spark.conf.get(_SPLIT))
-    try:
-        yield
-    finally:
-        spark.conf.set(_OPEN, before)
+    return _settings(spark, **{_OPEN: spark.conf.get(_SPLIT)})
+
+
+def one_file_per_task(spark: SparkSession):
+    """Inside, scans that start give every task one whole file."""
+    return _settings(spark, **{_SPLIT: str(2**62), _OPEN: str(2**62)})
 
 
 class _Open:

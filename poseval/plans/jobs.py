@@ -61,12 +61,19 @@ def add_position_key(
     dst: str,
     constants: list[tuple[int, int]] | None = None,
     zstd_level: int = S.ZSTD_LEVEL,
+    keep_files: bool = False,
 ) -> dict:
-    """Append both keys. No shuffle: partitions follow the input splits."""
+    """Append both keys. No shuffle: partitions follow the input splits.
+
+    ``keep_files`` writes one output file per input file, of the same name; a
+    task then reads a whole file.
+    """
     S.check_output(spark, src, dst, overwrite=True)
     S._check_sizes(S.TARGET_MB, zstd_level)
-    keyed = with_position_key(R.read_table(spark, src), constants)
-    S._writer(keyed, "overwrite", zstd_level).parquet(dst)
+    if keep_files:
+        S.write_per_file(spark, src, dst, lambda table: with_position_key(table, constants), zstd_level)
+    else:
+        S._writer(with_position_key(R.read_table(spark, src), constants), "overwrite", zstd_level).parquet(dst)
     return {"output_rows": _rows(spark, dst)}
 
 

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poseval.operators.quality import global_sort
-from poseval.operators.runs import one_stretch_per_task
+from poseval.operators.runs import one_file_per_task, one_stretch_per_task
 from poseval.schema import require_columns
 from poseval.session import delete_folder, new_folder
-from poseval.sources.readers import PARQUET_GLOB, has_files, list_files
+from poseval.sources.readers import PARQUET_GLOB, has_files, list_files, read_table
 
 # Default part size and compression.
 TARGET_MB = 100
@@ -190,7 +192,7 @@ def name_by_order(spark: SparkSession, folder: str, order: Column) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     system = hadoop(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     for i, row in enumerate(files.toLocalIterator()):
-        old = hadoop(row["path"])
+        old = hadoop(unquote(row["path"]))  # scan metadata writes paths as URLs
         written, rest = re.fullmatch(r"part-(?:\d+-t)?(\d+)(.*)", old.getName()).groups()
         new = hadoop(old.getParent(), f"part-{i:05d}-t{written}{rest}")
         if new.getName() != old.getName() and not system.rename(old, new):
@@ -202,3 +204,73 @@ def write_runs(df: DataFrame, dst: str, order: Column, mode: str, zstd_level: in
     with one_stretch_per_task(df.sparkSession):
         _writer(df.sortWithinPartitions(order), mode, zstd_level).parquet(dst)
     name_by_order(df.sparkSession, dst, order)
+
+
+def write_per_file(
+    spark: SparkSession,
+    src: str,
+    dst: str,
+    make: Callable[[DataFrame], DataFrame],
+    zstd_level: int = ZSTD_LEVEL,
+    overwrite: bool = True,
+) -> None:
+    """One output file per input file, of the same name and row count.
+
+    ``make`` turns the table into the one to write, row by row. Each task reads
+    one whole file, so the number in an output file's name tells which one it
+    came from; after Spark has committed the files they take over the names.
+    Retried tasks leave nothing behind, as in any write. An input file without
+    rows gets an output file without rows. A ``make`` that changes the number of
+    rows of a file stops before anything is renamed.
+    """
+    mode = check_output(spark, src, dst, overwrite)
+    path = F.col("_metadata.file_path")
+    with one_file_per_task(spark):
+        table = read_table(spark, src)
+        tasks = {r["task"]: r["path"] for r in table.select(F.spark_partition_id().alias("task"), path.alias("path")).distinct().collect()}
+        made = make(table)
+        _writer(made, mode, zstd_level).parquet(dst)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    system = hadoop(dst).getFileSystem(spark._jsc.hadoopConfiguration())
+    name = lambda p: hadoop(p).getName()
+    rows = lambda folder: {
+        name(unquote(r["path"])): r["n"]  # scan metadata writes paths as URLs
+        for r in read_table(spark, folder).groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    read, written = rows(src), rows(dst)
+    source = {n: name(unquote(tasks[int(n.split("-")[1])])) for n in written}
+    changed = [n for n, old in source.items() if written[n] != read.get(old)]
+    if changed or len(set(source.values())) != len(source) or len(source) != len(read):
+        raise ValueError(f"rows were added or dropped: {', '.join(sorted(source.get(n, n) for n in changed)) or dst}")
+    for new, old in source.items():
+        if not system.rename(hadoop(dst, new), hadoop(dst, old)):
+            raise OSError(f"could not rename {new} to {old}")
+    # Files without rows, and what Spark writes for a table without any.
+    for r in list_files(spark, dst, PARQUET_GLOB).select("path").collect():
+        if name(r["path"]) not in read:
+            system.delete(hadoop(r["path"]), False)
+    for r in list_files(spark, src, PARQUET_GLOB).select("path").collect():
+        if name(r["path"]) not in read:
+            folder = new_folder(spark, "empty")
+            _writer(spark.createDataFrame([], made.schema).coalesce(1), "errorifexists", zstd_level).parquet(folder)
+            one = list_files(spark, folder, PARQUET_GLOB).first()["path"]
+            if not system.rename(hadoop(one), hadoop(dst, name(r["path"]))):
+                raise OSError(f"could not write {name(r['path'])}")
+            delete_folder(spark, folder)
+
+
+def save_latest_table(latest: DataFrame, name: str, buckets: int, path: str | None = None, overwrite: bool = False) -> DataFrame:
+    """The latest rows as a table of the session's catalog, in sorted buckets of the key.
+
+    Joins and groupings by key between such tables of equal ``buckets`` need no
+    shuffle. Keys are unique, so buckets are even. ``path`` makes it an external
+    table.
+    """
+    require_columns(latest, ["zobr64"])
+    if buckets < 1:
+        raise ValueError("buckets must be positive")
+    writer = latest.repartition(buckets, "zobr64").write.format("parquet").option("compression", "zstd")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.mode("overwrite" if overwrite else "errorifexists").bucketBy(buckets, "zobr64").sortBy("zobr64").saveAsTable(name)
+    return latest.sparkSession.table(name)
