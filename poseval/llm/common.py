@@ -25,6 +25,14 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_of_id(column: str = "doc_id") -> Column:
     """CRC-32 of the id written as text; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")))

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from poseval.llm.common import SPACES, staged, tasks_for, texts
+from poseval.llm.common import SPACES, free_name, staged, tasks_for, texts
 
 #: Keys of one shard: its filter is built and used by one task.
 SHARD_KEYS = 1 << 18
@@ -238,13 +238,13 @@ def drop_exact_duplicates(docs: DataFrame, batches: int = 3) -> DataFrame:
 
     Ids, digests and lengths name a row; of rows alike in all three one stays.
     """
-    winners = exact_duplicates(docs, batches).where("kept").select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"))
+    sha, key = free_name(docs, "_sha"), free_name(docs, "_name")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("none")).alias(key)
+    winners = exact_duplicates(docs, batches).where("kept").select(name, F.col("sha").alias(sha))
     text = F.coalesce(F.col("text"), F.lit(""))
     norm = F.regexp_replace(text, SPACES, "")
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("none")).alias("_name")
-    rows = docs.select("*", name, F.unhex(F.sha2(norm.cast("binary"), 256)).alias("_sha"))
-    winners = winners.select(F.coalesce(F.col("_id").cast("string"), F.lit("none")).alias("_name"), "_sha")
-    kept = rows.join(winners, ["_name", "_sha"], "left_semi")
+    rows = docs.select("*", name, F.unhex(F.sha2(norm.cast("binary"), 256)).alias(sha))
+    kept = rows.join(winners, [key, sha], "left_semi")
     # One id may come with several spacings of a text: the longest is the one that won.
     longest = F.max_by(F.struct(*docs.columns), F.char_length(text)).alias("_row")
-    return kept.groupBy("_name", "_sha").agg(longest).select("_row.*")
+    return kept.groupBy(key, sha).agg(longest).select("_row.*")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poseval.llm.common import staged, texts
+from poseval.llm.common import free_name, staged, texts
 from poseval.llm.components import connected_components
 
 SEED = 42
@@ -288,7 +288,8 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
         return pd.Series(np.array([fingerprint(t) for t in text], np.uint64).view(np.int64))
 
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    nameless = docs.where("doc_id IS NULL").withColumn("_fp", fp(text))
-    alone = marked.where("doc_id IS NULL AND component_id IS NULL").select(F.col("fp").alias("_fp"))
-    nameless = nameless.join(alone, "_fp", "left_semi").dropDuplicates(["_fp"]).select(docs.columns)
+    own = free_name(docs, "_fp")
+    nameless = docs.where("doc_id IS NULL").withColumn(own, fp(text))
+    alone = marked.where("doc_id IS NULL AND component_id IS NULL").select(F.col("fp").alias(own))
+    nameless = nameless.join(alone, own, "left_semi").dropDuplicates([own]).select(docs.columns)
     return named.union(nameless)
