@@ -800,3 +800,6 @@ _FIFTIETH = _query(["keyed"], "SELECT format('{:016X}', CAST(zobr64 AS UBIGINT))
 ORACLES["lookup_keys"] = f"SELECT k, v FROM ({ORACLES['build_kv_job']}) AS kv WHERE k IN ({_FIFTIETH})"
 ORACLES["position_key_per_file"] = f"SELECT row_id, zobr64, true AS same_file FROM ({ORACLES['add_position_key_job']}) AS keyed"
 ORACLES["latest_catalog_table"] = ORACLES["build_latest_job"]
+ORACLES["duplicates_of_sorted"] = _query(
+    ["keyed"], "SELECT CAST(zobr64 AS VARCHAR) AS zobr64, count(*) AS n FROM keyed GROUP BY keyed.zobr64 HAVING count(*) > 1"
+)

@@ -21,11 +21,12 @@ from poseval.operators import kv as K
 from poseval.operators import ordinal as O
 from poseval.operators import positions as N
 from poseval.operators import quality as Q
+from poseval.operators import runs as U
 from poseval.operators import simplify as S
 from poseval.operators import text as X
 from poseval.plans import jobs as J
-from poseval.schema import SCORE_SCHEMA, key64_column, key_bytes
-from poseval.session import new_folder, stage
+from poseval.schema import SCORE_SCHEMA, key64_column, key_bytes, to_unsigned
+from poseval.session import new_folder, stage, staging
 from poseval.sources import readers as R
 from poseval.sources import sinks as W
 
@@ -357,6 +358,17 @@ def sort_table_job(spark, folder):
     return O.with_row_ordinal(R.read_table(spark, dst)).select("ord", _key())
 
 
+def duplicates_of_sorted(spark, folder):
+    """Keys that the sorted table holds more than once, found in its runs."""
+    src, dst = _folder(spark, "keyed"), _folder(spark, "sorted")
+    T.keyed(spark, folder).write.parquet(src)
+    J.sort_table(spark, src, dst)
+    rows = O.with_location(R.read_table(spark, dst))
+    with staging(spark) as put:
+        found = stage(U.repeated_of_runs(rows.withColumn("key64", key64_column(rows)), put), "repeated")
+    return found.select(to_unsigned(F.col("key64")).cast("string").alias("zobr64"), "n")
+
+
 def _simple_table(spark, folder):
     """Folder of the stored reduced table, made by the reduce job."""
     src, dst = _folder(spark, "nested"), _folder(spark, "simple")
@@ -550,6 +562,7 @@ _ALL = [
     scan_castling_job,
     read_eval_json,
     sort_table_job,
+    duplicates_of_sorted,
     simplify_job,
     build_latest_job,
     build_kv_job,

@@ -238,6 +238,21 @@ def latest_of_runs(df: DataFrame, values: list[str], put, order: tuple[str, str]
     return found.select(unsigned_order(F.col("order")).alias("key64"), *values, "n")
 
 
+def repeated_of_runs(df: DataFrame, put, order: tuple[str, str] = (O.FILE, O.ROW)) -> DataFrame:
+    """``key64, n`` of the keys that a table sorted by key holds more than once.
+
+    Only the key is read. What is stored are the repeated keys and two rows per
+    stretch, so a table with few duplicates moves next to nothing, however large.
+    """
+    require_columns(df, ["key64", *order])
+    with one_stretch_per_task(df.sparkSession):
+        reduced = _reduced(_placed(df, [], list(order)), [], _LastRow())
+        reduced = put(reduced.where((F.col("kind") != INNER) | (F.col("n") > 1)), "runs")
+    _require_rising(reduced)
+    found = _stitched(reduced, F.struct(F.lit(True).alias("any")), [])
+    return found.where("n > 1").select(unsigned_order(F.col("order")).alias("key64"), "n")
+
+
 def entries_of_runs(df: DataFrame, put, order: tuple[str, str] = (O.FILE, O.ROW)) -> DataFrame:
     """Per key all entries of a table sorted by key: ``key64, entries, n``, entries joined in arrival order.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import tables as T
 from poseval.operators import ordinal as O
-from poseval.operators.runs import entries_of_runs, latest_of_runs
+from poseval.operators.runs import entries_of_runs, latest_of_runs, repeated_of_runs
 from poseval.plans import jobs as J
 from poseval.schema import to_key64
 from poseval.session import staging
@@ -89,6 +89,16 @@ def test_random_tables(spark, tmp_path):
     assert got == expected(files)
 
 
+def test_repeated_keys(spark, tmp_path):
+    """Repeated keys alone are stored, besides two rows per stretch."""
+    path = write_files(spark, tmp_path, [[1, 2, 3], [3], [4, 5, 5, 6, 7], [8], [9, 9], [9, BIG], [BIG]])
+    kept = []
+    with staging(spark) as put:
+        rows = repeated_of_runs(located(spark, path), lambda df, name: kept.append(put(df, name)) or kept[-1])
+        assert {r.key64 % 2**64: r.n for r in rows.collect()} == {3: 2, 5: 2, 9: 3, BIG: 2}
+        assert kept[0].where("kind = 0").count() == 1 and kept[0].count() <= 1 + 2 * 7
+
+
 def test_jobs_equal_the_shuffled_builds(spark, tmp_path):
     """Same rows and same order as the builds for input in any order."""
     path = write_files(spark, tmp_path, FILES)
