@@ -57,9 +57,12 @@ class Files:
     def disjoint(self) -> bool:
         return bool((self.high[:-1] < self.low[1:]).all())
 
-    def number(self, order: Column) -> Column:
-        """The only file that may hold a key: the last one that begins at or before it, else the first."""
-        low = self.low
+    def number(self, order: Column, among: list[int] | None = None) -> Column:
+        """The only file that may hold a key: the last one that begins at or before it, else the first.
+
+        ``among``, rising numbers of files, counts in that list; the key's file must be in it.
+        """
+        low = self.low if among is None else self.low[among]
 
         @F.arrow_udf("int")
         def find(order: pa.Array) -> pa.Array:

@@ -301,9 +301,9 @@ def update_deepest(
         counters["rows_missing_eval"] -= scored.where("key64 IS NULL").count()
         if not usable.isEmpty():
             made = new_folder(spark, "update")
-            place = merged.withColumn("_f", files.number(X.key_order(merged, "k")) if files.path else F.lit(0))
-            slot = F.array_position(F.array(*[F.lit(i) for i in numbers or [0]]), F.col("_f")).cast("int") - 1
-            rows = place.repartitionById(max(len(numbers), 1), slot).sortWithinPartitions("k").select("k", "v")
+            place = files.number(X.key_order(merged, "k"), numbers) if numbers else F.lit(0)
+            rows = merged.withColumn("_f", place).repartitionById(max(len(numbers), 1), F.col("_f"))
+            rows = rows.sortWithinPartitions("k").select("k", "v")
             S._writer(rows, "errorifexists", zstd_level).parquet(made)
             X.replace_files(spark, dst, made, numbers, files, "k")
     return {**counters, "written_keys": _rows(spark, dst), "files_rewritten": len(numbers)}
