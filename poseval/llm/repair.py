@@ -46,12 +46,12 @@ def _frequent(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rank = np.bincount(bucket, minlength=1 << BUCKET_BITS)[bucket]
     many = rank >= LEAST_USES
     rank = rank << BUCKET_BITS | bucket
-    same = rank[1:] == rank[:-1]
-    if same.any():
-        # In a run of one symbol every other pair is a candidate.
-        here = np.arange(len(rank))
-        first = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), here, 0))
-        rank[(here - first) % 2 == 1] = 0
+    # In a run of one symbol every other pair is a candidate. Runs are few, so only their places are looked at.
+    run = np.flatnonzero(rank[1:] == rank[:-1]) + 1
+    if len(run):
+        here = np.arange(len(run))
+        first = np.maximum.accumulate(np.where(np.append(True, np.diff(run) != 1), here, 0))
+        rank[run[(here - first) % 2 == 0]] = 0
     rise = rank[1:] > rank[:-1]
     many[1:] &= rise
     many[:-1] &= ~rise
