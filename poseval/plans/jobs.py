@@ -97,7 +97,7 @@ def sort_table(
         raise ValueError("input holds no rows")
     located = table.select("*", F.col("_metadata.row_index").alias(O.ROW))
     size = S.folder_bytes(spark, src)
-    S.write_sorted(located, dst, column, size, [O.ROW], [O.ROW], target_mb, zstd_level, overwrite, src)
+    S.write_sorted(located, dst, column, size, [O.ROW], [O.ROW], target_mb, zstd_level, overwrite, src, table.count())
     return {"output_rows": _rows(spark, dst)}
 
 
@@ -124,7 +124,7 @@ def simplify(
         S._writer(reduced, "errorifexists", zstd_level).parquet(folder)
         stored = spark.read.schema(reduced.schema).parquet(folder)
         size = S.folder_bytes(spark, folder)
-        S.write_sorted(stored, dst, "zobr64", size, ["fen"], ["_n"], target_mb, zstd_level, overwrite, src)
+        S.write_sorted(stored, dst, "zobr64", size, ["fen"], ["_n"], target_mb, zstd_level, overwrite, src, stored.count())
         found = stored.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_n"), F.lit(0)).alias("used")).first()
     finally:
         delete_folder(spark, folder)

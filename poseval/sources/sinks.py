@@ -21,6 +21,8 @@ TARGET_MB = 100
 ZSTD_LEVEL = 3
 SAMPLE_ROWS = 250_000
 MIN_ROWS_PER_PART = 10_000
+# Rows that one task sorts and one part holds at most: some 200 MB in memory, however well they compress.
+MAX_ROWS_PER_PART = 1_000_000
 MB = 1024 * 1024
 
 
@@ -57,9 +59,9 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
     return list_files(spark, folder, PARQUET_GLOB).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()["b"]
 
 
-def parts_for(size: int, target_mb: int = TARGET_MB) -> int:
-    """Parts of about ``target_mb`` that ``size`` bytes fill."""
-    return max(math.ceil(size / (target_mb * MB)), 1)
+def parts_for(size: int, target_mb: int = TARGET_MB, rows: int = 0) -> int:
+    """Parts of about ``target_mb`` that ``size`` bytes fill, more where ``rows`` would exceed a part's."""
+    return max(math.ceil(size / (target_mb * MB)), math.ceil(rows / MAX_ROWS_PER_PART), 1)
 
 
 def rows_per_part(df: DataFrame, target_mb: int = TARGET_MB, zstd_level: int = ZSTD_LEVEL) -> int:
@@ -115,18 +117,19 @@ def write_sorted(
     zstd_level: int = ZSTD_LEVEL,
     overwrite: bool = False,
     src: str | None = None,
+    rows: int = 0,
 ) -> None:
     """Globally sorted parts: one range partition per part of the wanted size.
 
-    ``size`` is the table's stored size in bytes. Rows of equal ``column`` are
-    ordered and divided by ``spread``; columns in ``drop`` only serve the order
-    and are not written.
+    ``size`` is the table's stored size in bytes and ``rows`` how many it has.
+    Rows of equal ``column`` are ordered and divided by ``spread``; columns in
+    ``drop`` only serve the order and are not written.
     """
     _check_sizes(target_mb, zstd_level)
     mode = check_output(df.sparkSession, src, dst, overwrite)
     require_columns(df, [column, *spread])
     keep = [c for c in df.columns if c not in (drop or [])]
-    ordered = global_sort(df, column, parts_for(size, target_mb), spread)
+    ordered = global_sort(df, column, parts_for(size, target_mb, rows), spread)
     _writer(ordered.select(keep), mode, zstd_level).parquet(dst)
 
 
@@ -140,8 +143,8 @@ def _write_by_key(df: DataFrame, key: str, dst: str, target_mb: int, zstd_level:
     folder = new_folder(spark, "by-key")
     try:
         _writer(df, "errorifexists", zstd_level).parquet(folder)
-        parts = parts_for(folder_bytes(spark, folder), target_mb)
         stored = spark.read.schema(df.schema).parquet(folder)
+        parts = parts_for(folder_bytes(spark, folder), target_mb, stored.count())
         _writer(stored.repartitionByRange(parts, key).sortWithinPartitions(key), mode, zstd_level).parquet(dst)
     finally:
         delete_folder(spark, folder)

@@ -196,6 +196,28 @@ def test_parts_follow_bytes(spark, tmp_path):
     assert max(sizes) < 1.3 * 2 * 2**20 and len(sizes) >= 3
 
 
+def test_parts_hold_few_rows_however_well_they_compress(spark, tmp_path, monkeypatch):
+    """One task sorts a part, so the stored bytes alone must not decide how many rows it gets."""
+    monkeypatch.setattr(W, "MAX_ROWS_PER_PART", 1_000, raising=False)
+    key = F.xxhash64(F.floor(F.col("id") / 2)).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")
+    entry = "array(named_struct('knodes', 1L, 'depth', 5L, 'pvs', array(named_struct('cp', 1L, 'mate', null, 'line', 'e2e4'))))"
+    nested = spark.range(10_000).select(key.cast("decimal(20,0)").alias("zobr64"), F.concat(F.lit("8/8 w - - "), "id").alias("fen"), F.expr(entry).alias("evals"))
+    nested.write.parquet(str(tmp_path / "nested"))
+    paths = {n: str(tmp_path / n) for n in ("nested", "sorted", "simple", "latest", "unsorted")}
+    J.sort_table(spark, paths["nested"], paths["sorted"])
+    J.simplify(spark, paths["sorted"], paths["simple"])
+    J.build_latest(spark, paths["simple"], paths["latest"])
+    J.build_latest(spark, paths["simple"], paths["unsorted"], check_sorted=False)
+    rows = {}
+    for n in ("sorted", "simple", "latest", "unsorted"):
+        table = R.read_table(spark, paths[n])
+        rows[n] = table.count()
+        assert max(r["count"] for r in table.groupBy("_metadata.file_path").count().collect()) < 2_000, n
+        assert Q.sortedness_violations(O.with_location(table)).isEmpty()
+    kept = R.read_table(spark, paths["simple"]).select("zobr64").distinct().count()
+    assert rows["sorted"] == 10_000 and rows["latest"] == rows["unsorted"] == kept == 5_000
+
+
 def test_jobs_clear_their_staging(spark, flow, tmp_path):
     from poseval.session import shared_folder
 
