@@ -274,10 +274,14 @@ def global_sort(spark, folder):
     """The sorted rows with their place in the order of partitions and rows."""
     rows = T.keyed(spark, folder).withColumn("zobr64", F.when(F.col("row_id") % 3 != 0, F.col("zobr64")))
     ordered = Q.global_sort(rows, "zobr64", 8, ["row_id"])
-    # Ids rise along the sorted partitions, so their rank is the place.
+    # An id is the sorted partition's number and, in the lower 33 bits, the row's place in it.
     placed = stage(ordered.withColumn("_id", F.monotonically_increasing_id()), "sorted")
-    place = F.row_number().over(Window.orderBy("_id")).cast("long") - 1
-    return placed.withColumn("ord", place).select("ord", "row_id", _key(), "fen")
+    placed = placed.withColumn("_part", F.shiftright("_id", 33))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.col("before") + F.col("_id").bitwiseAND(F.lit(2**33 - 1))
+    return placed.join(F.broadcast(before), "_part").select(place.alias("ord"), "row_id", _key(), "fen")
 
 
 def sortedness_violations(spark, folder):
