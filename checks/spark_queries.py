@@ -5,6 +5,7 @@ Keys and binary values are rendered as text so both engines compare equal.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -34,6 +35,8 @@ ORD = ["row_id"]
 LINE = ["row_id", "line_no", "part", "supp"]
 # A key that exists at every scale: the rows 8 to 15.
 LOOKUP = "11400714819323198485"
+# Splits of a text, at most.
+SPLITS = 256
 
 
 def _key(name: str = "zobr64") -> Column:
@@ -311,12 +314,15 @@ def extraction_totals(spark, folder):
 
 
 def positions_of_lines(spark, folder):
-    """All texts as four files, read in splits of 64 KB, so that headers and positions cross lines and splits."""
+    """All texts as four files, read in many splits, so that headers and positions cross lines and splits.
+
+    A split has 64 KB, or more where the texts would else have more than ``SPLITS``.
+    """
     path = _folder(spark, "lines")
     docs = T.docs(spark, folder).select("doc_id", F.coalesce("text", F.lit("")).alias("value"), (F.col("doc_id") % 4).alias("part"))
     docs.repartition(4, "part").sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy("part").text(path)
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    size, total = spark.conf.get("spark.sql.files.maxPartitionBytes"), R.list_files(spark, path, "*").agg(F.sum("length")).first()[0]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(64 * 1024, math.ceil((total or 0) / SPLITS))))
     try:
         found = stage(X.positions_of_lines(R.read_text_lines(spark, path)), "positions")
     finally:

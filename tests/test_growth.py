@@ -2,6 +2,7 @@
 
 from checks import spark_queries as C
 from checks import tables as T
+from poseval.sources import readers as R
 
 
 def test_places_of_a_sort_need_no_task_that_holds_all_rows(spark):
@@ -11,3 +12,20 @@ def test_places_of_a_sort_need_no_task_that_holds_all_rows(spark):
     assert [r["ord"] for r in found] == list(range(len(found)))
     keys = [(r["zobr64"] is not None, int(r["zobr64"] or 0)) for r in found]
     assert keys == sorted(keys)
+
+
+def test_splits_of_texts_do_not_grow_in_number(spark, monkeypatch):
+    """The same positions, whether the texts are read in a few splits or in many."""
+    seen = []
+    read = R.read_text_lines
+
+    def counted(session, path):
+        lines = read(session, path)
+        seen.append(lines.rdd.getNumPartitions())
+        return lines
+
+    monkeypatch.setattr(C.R, "read_text_lines", counted)
+    many = sorted(map(tuple, C.positions_of_lines(spark, T.SMALL).collect()), key=str)
+    monkeypatch.setattr(C, "SPLITS", 3, raising=False)
+    few = sorted(map(tuple, C.positions_of_lines(spark, T.SMALL).collect()), key=str)
+    assert many == few and seen[1] < seen[0] and seen[1] <= 8
