@@ -35,8 +35,8 @@ ORD = ["row_id"]
 LINE = ["row_id", "line_no", "part", "supp"]
 # A key that exists at every scale: the rows 8 to 15.
 LOOKUP = "11400714819323198485"
-# Splits of a text, at most.
-SPLITS = 256
+# Rows of a written file of compressed lines, and splits of a text, at most.
+FILE_ROWS, SPLITS = 250_000, 256
 
 
 def _key(name: str = "zobr64") -> Column:
@@ -433,19 +433,29 @@ def build_kv_letters(spark, folder):
     return _kv_counts(spark, folder)["castling_letters"]
 
 
+def _files(rows):
+    """Files to write ``rows`` rows to, four at least: one task sorts, writes and later reads each."""
+    return max(4, math.ceil(rows / FILE_ROWS))
+
+
 def _raw(spark, folder, rows):
     """Compressed JSON lines of ``fen, evals`` in ``row_id`` order, several files, with blank lines."""
     path = _folder(spark, "raw")
-    lines = rows.select("row_id", F.to_json(F.struct("fen", "evals")).alias("value"))
-    blank = lines.where("row_id % 50 = 7").withColumn("value", F.lit(" "))
-    ordered = lines.union(blank).repartitionByRange(4, "row_id").sortWithinPartitions("row_id", "value")
+    line = F.to_json(F.struct("fen", "evals"))
+    # The blank line is a second value of its row, so that the rows are computed once.
+    values = F.when(F.col("row_id") % 50 == 7, F.array(line, F.lit(" "))).otherwise(F.array(line))
+    lines = rows.select("row_id", F.explode(values).alias("value"))
+    files = _files(T.load(spark, folder, "orders").count())
+    ordered = lines.repartitionByRange(files, "row_id").sortWithinPartitions("row_id", "value")
     ordered.select("value").write.option("compression", "gzip").text(path)
     return f"{path}/*.gz"
 
 
 def _legal_rows(spark, folder):
     """Nested rows over made-up boards that have a key, five lines to a board."""
-    boards = N.with_position_key(T.positions(spark, folder), on_error="null").where("position_error IS NULL")
+    # Few splits hold many small rows; they are spread before the rules are tried.
+    spread = T.positions(spark, folder).repartition("row_id")
+    boards = N.with_position_key(spread, on_error="null").where("position_error IS NULL")
     boards = stage(boards.select((F.col("row_id") - F.col("row_id") % 5).alias("board"), "row_id", "fen"), "boards")
     boards = boards.groupBy("board").agg(F.min_by("fen", "row_id").alias("fen"))
     rows = T.eval_rows(spark, folder).select("row_id", "evals", (F.col("row_id") - F.col("row_id") % 5).alias("board"))
@@ -531,7 +541,7 @@ def update_deepest_job(spark, folder):
     built = _folder(spark, "built")
     J.build_deepest(spark, first, built, file=first)
     kv = R.read_table(spark, built)
-    kv.repartitionByRange(4, "k").sortWithinPartitions("k").write.parquet(dst)
+    kv.repartitionByRange(_files(kv.count()), "k").sortWithinPartitions("k").write.parquet(dst)
     J.update_deepest(spark, rest, dst, file=rest)
     return O.with_row_ordinal(R.read_table(spark, dst)).select("ord", F.hex("k").alias("k"), "v")
 

@@ -1,5 +1,8 @@
 """Queries whose own steps have to spread with their tables."""
 
+import glob
+import os
+
 from checks import spark_queries as C
 from checks import tables as T
 from poseval.sources import readers as R
@@ -14,6 +17,19 @@ def test_places_of_a_sort_need_no_task_that_holds_all_rows(spark):
     assert keys == sorted(keys)
 
 
+def test_lines_are_written_to_more_files_as_they_grow(spark, monkeypatch):
+    monkeypatch.setattr(C, "FILE_ROWS", 100, raising=False)
+    rows = T.eval_rows(spark, T.SMALL)
+    path = C._raw(spark, T.SMALL, rows)
+    files = sorted(glob.glob(path))
+    n = rows.count()
+    assert len(files) > n / 100 * 0.9
+    lines = R.read_text_lines(spark, os.path.dirname(path)).collect()
+    blank = rows.where("row_id % 50 = 7").count()
+    assert blank and len(lines) == n + blank and sum(r["value"] == " " for r in lines) == blank
+    assert max(sum(r["file"].endswith(os.path.basename(f)) for r in lines) for f in files) < 400
+
+
 def test_splits_of_texts_do_not_grow_in_number(spark, monkeypatch):
     """The same positions, whether the texts are read in a few splits or in many."""
     seen = []
