@@ -5,19 +5,23 @@ of 64-bit word hashes, most frequent first. For each level (words, then pairs of
 and word, ...) a block sends its distinct n-grams with its training counts to
 buckets; a bucket adds up the blocks' counts and answers each block with the
 counts of its n-grams and, per context, what the backoff weight needs: how many
-followers occur 1 to 5 times, and the lower-order probability of those seen.
+followers occur 1 to 5 times, and the lower-order probability of those seen. A
+block that has all followers of a context itself is not told them.
 The answers are stored, one table per level in bucket order, and a block's
 tokens are evaluated from them recursively: a seen n-gram has its discounted
 count, another the context's backoff weight times the next shorter n-gram.
 
 N-grams are summed per block before they move, in packed arrays of a few bytes
 each; from the second level on a word goes by its number in its first bucket,
-which takes three bytes where its hash takes eight. All followers of a context meet in its bucket, except those of very
-frequent contexts, which spread over all buckets by word; their sums per bucket
-are added up afterwards. Such contexts are bounded in number by the threshold,
-a share of all tokens.
-
-Every block has a row for every bucket, so both should grow with the corpus:
+which takes three bytes where its hash takes eight, and pairs go to the bucket of their first word, so the contexts
+in it are dense numbers. The lower-order probability goes as the two counts it is the quotient of.
+All followers of a context meet in its bucket, except those of very
+frequent contexts, which are divided by word, one part for so many occurrences;
+the sums of the parts are added up afterwards. So parts grow with the tokens,
+not with contexts times buckets.
+
+A block has a row for every bucket that has n-grams of it, never more than its
+n-grams; blocks and buckets should grow with the corpus:
 the defaults suit up to some 10^11 tokens, and tasks with more memory take
 larger blocks and buckets.
 """
@@ -44,8 +48,9 @@ ORDER = 2
 CUT = 5
 BLOCK_TOKENS = 1_200_000
 BUCKET_NGRAMS = 1_000_000
-#: A context with this share of the tokens is divided among all buckets.
+#: A context with this share of the tokens, and so many in a bucket's n-grams, is divided.
 HOT_SHARE = 1 / 20_000
+HOT_IN_BUCKET = 1 / 8
 #: Documents with crc32(id) mod 7 = 2 are held out of training.
 FOLDS, HELD_OUT = 7, 2
 END = xxhash.xxh64_intdigest(b"")
@@ -66,14 +71,18 @@ def _unpack(data: bytes, kind) -> np.ndarray:
 
 
 def _pack_values(x: np.ndarray) -> bytes:
-    """Numbers of which few differ: the distinct ones, and the place of each among them."""
+    """Numbers: the distinct ones, and the place of each among them; all as they are, after a zero, where most differ."""
     values, place = np.unique(x, return_inverse=True)
+    if len(values) > 0.75 * len(x):
+        return bytes(4) + _pack(x)
     first = _pack(values)
     return len(first).to_bytes(4, "little") + first + _pack(_small(place))
 
 
 def _unpack_values(data: bytes) -> np.ndarray:
     n = 4 + int.from_bytes(data[:4], "little")
+    if n == 4:
+        return _unpack(data[4:], np.float64)
     return _unpack(data[4:n], np.float64)[_unpack(data[n:], np.uint32)]
 
 
@@ -192,18 +201,27 @@ def _discounted(count: np.ndarray, d: np.ndarray) -> np.ndarray:
     return np.where(count > CUT, count, count * d[small])
 
 
-def _split(g: Grams, lower: Grams | None, lower_count: np.ndarray | None, low: np.ndarray, buckets: int, hot_from: float):
+def _scaled(key: np.ndarray, buckets: int) -> np.ndarray:
+    return ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _split(level: int, g: Grams, lower: Grams | None, lower_count: np.ndarray | None, buckets: int, hot_from: float):
     """Order of the n-grams to ask for, by bucket, context and word, and the bucket of each."""
     real = np.flatnonzero(g.real)
     if lower is None:
-        context, spread = np.full(len(real), _EMPTY), np.ones(len(real), bool)
+        context, word = np.full(len(real), _EMPTY), g.word[real]
+        bucket = _scaled(_chain(context, word), buckets)
     else:
         seen = lower_count[g.context[real]]
-        real = real[seen > 0]
-        context, spread = lower.hashed[g.context[real]], seen[seen > 0] >= hot_from
-    word = g.word[real]
-    key = np.where(spread, _chain(context, word), _mix(context))
-    bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        real, seen = real[seen > 0], seen[seen > 0]
+        context, word = lower.hashed[g.context[real]], g.word[real]
+        if level == 2:
+            bucket = ((context >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        else:
+            bucket = _scaled(_mix(context), buckets)
+        hot = np.flatnonzero(seen >= hot_from)
+        parts = np.ceil(seen[hot] / hot_from).astype(np.uint64)
+        bucket[hot] = _scaled(_chain(context[hot], _mix(word[hot]) % parts), buckets)
     order = np.lexsort((word, context, bucket))
     return real[order], context[order], bucket[order]
 
@@ -211,6 +229,7 @@ def _split(g: Grams, lower: Grams | None, lower_count: np.ndarray | None, low: n
 class Evaluated(NamedTuple):
     grams: Grams
     count: np.ndarray
+    base: np.ndarray  # what the discounted count of an n-gram that occurs is divided by
     probability: np.ndarray
 
 
@@ -222,21 +241,28 @@ def evaluate(block: Block, answers: dict[int, dict[int, tuple]], levels: list[Le
         g = grams(block, lower.grams if lower else None, done[0].grams.word if done else None)
         low = lower.probability[g.shorter] if lower else np.ones(len(g.hashed))
         asked, context, bucket = _split(
-            g, lower.grams if lower else None, lower.count if lower else None, low, level.buckets, hot_from
+            n, g, lower.grams if lower else None, lower.count if lower else None, level.buckets, hot_from
         )
         count, left, seen = np.zeros(len(g.hashed), np.int64), np.zeros(len(g.hashed)), np.zeros(len(g.hashed))
         # What discounting leaves over for each follower that occurs 1 to CUT times.
         spare = (1 - level.discounts) * np.arange(1, CUT + 1)
         names = np.full(len(g.hashed), START, np.uint64)
-        for b, (counts, followers, mass, ranks) in answers.get(n, {}).items():
+        for b, (counts, whole, followers, mass, ranks) in answers.get(n, {}).items():
             lo, hi = np.searchsorted(bucket, [b, b + 1])
             at = asked[lo:hi]
             count[at] = _unpack(counts, np.uint32)
             if ranks is not None:
                 names[at] = (b << 32) + np.cumsum(_unpack(ranks, np.uint32).astype(np.uint64))
             own = np.cumsum(np.r_[True, context[lo:hi][1:] != context[lo:hi][:-1]]) - 1
-            left[at] = (_unpack(followers, np.uint32).reshape(-1, CUT) @ spare)[own]
-            seen[at] = _unpack_values(mass)[own]
+            known = np.unpackbits(np.frombuffer(whole, np.uint8), count=own[-1] + 1) > 0
+            # Of contexts that are whole in this block, it has all followers that occur.
+            here = np.flatnonzero((count[at] > 0) & known[own])
+            few = here[count[at][here] <= CUT]
+            often = np.bincount(own[few] * CUT + count[at][few] - 1, minlength=len(known) * CUT).reshape(-1, CUT)
+            of_seen = np.bincount(own[here], weights=low[at][here], minlength=len(known)).astype(float)
+            if not known.all():
+                often[~known], of_seen[~known] = _unpack(followers, np.uint32).reshape(-1, CUT), _unpack_values(mass)
+            left[at], seen[at] = (often @ spare)[own], of_seen[own]
         if level.hot:
             # What buckets know of a divided context is a part; the sums are complete.
             keys = np.array(sorted(level.hot), np.uint64)
@@ -257,7 +283,7 @@ def evaluate(block: Block, answers: dict[int, dict[int, tuple]], levels: list[Le
         if lower is None:
             g = g._replace(hashed=names, word=names)
         # The start mark is no event; as a context it occurs once per training document.
-        done.append(Evaluated(g, np.where(g.real, count, totals.documents), p))
+        done.append(Evaluated(g, np.where(g.real, count, totals.documents), base, p))
     return done
 
 
@@ -317,21 +343,21 @@ def _blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
     )
 
 
-_ANSWER = "block long, bucket int, counts binary, followers binary, mass binary, ranks binary, context long, sums array<double>"
-_LISTED = ["level", "bucket", "counts", "followers", "mass", "ranks"]
+_ANSWER = "block long, bucket int, counts binary, whole binary, followers binary, mass binary, ranks binary, context long, sums array<double>"
+_LISTED = ["level", "bucket", "counts", "whole", "followers", "mass", "ranks"]
 
 
 def _answers_of(row: dict) -> dict[int, dict[int, tuple]]:
     out: dict[int, dict[int, tuple]] = {}
     for a in row["answers"] or []:
-        out.setdefault(a["level"], {})[a["bucket"]] = (a["counts"], a["followers"], a["mass"], a["ranks"])
+        out.setdefault(a["level"], {})[a["bucket"]] = (a["counts"], a["whole"], a["followers"], a["mass"], a["ranks"])
     return out
 
 
 def _with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
     """Blocks with the answers to them; they are as many as a block has n-grams."""
     if not answers:
-        kind = "array<struct<level:int,bucket:int,counts:binary,followers:binary,mass:binary,ranks:binary>>"
+        kind = "array<struct<level:int,bucket:int,counts:binary,whole:binary,followers:binary,mass:binary,ranks:binary>>"
         return blocks.withColumn("answers", F.lit(None).cast(kind))
     rows = [a.where("block >= 0").withColumn("level", F.lit(n)) for n, a in enumerate(answers, 1)]
     every = reduce(DataFrame.union, rows).groupBy("block")
@@ -348,9 +374,8 @@ def _ask(rows: DataFrame, levels: list[Level], totals: Totals | None, buckets: i
             done = evaluate(block, _answers_of(row), levels, totals, hot_from)
             lower = done[-1] if done else None
             g = grams(block, lower.grams if lower else None, done[0].grams.word if done else None)
-            low = lower.probability[g.shorter] if lower else np.zeros(len(g.hashed))
             asked, context, bucket = _split(
-                g, lower.grams if lower else None, lower.count if lower else None, low, buckets, hot_from
+                len(levels) + 1, g, lower.grams if lower else None, lower.count if lower else None, buckets, hot_from
             )
             hot = lower.count[g.context[asked]] >= hot_from if lower else np.ones(len(asked), bool)
             cuts = np.flatnonzero(np.diff(bucket)) + 1
@@ -363,22 +388,23 @@ def _ask(rows: DataFrame, levels: list[Level], totals: Totals | None, buckets: i
                     _pack(np.diff(own[edge], prepend=_EMPTY)),
                     _pack(_small(np.diff(np.r_[edge, len(own)]) * 2 + hot[lo:hi][edge])),
                     _pack(g.word[at]),
-                    _pack_values(low[at]),
+                    _pack(_small(lower.count[g.shorter[at]])) if lower else None,
+                    _pack(lower.base[g.shorter[at]].astype(np.uint64)) if lower else None,
                     _pack(_small(g.count[at])),
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["block"]]), pa.array([int(bucket[lo])], pa.int32()), *[pa.array([p], pa.binary()) for p in packed]],
-                    names=["block", "bucket", "contexts", "runs", "words", "low", "counts"],
+                    names=["block", "bucket", "contexts", "runs", "words", "shorter", "base", "counts"],
                 )
 
     return rows.mapInArrow(
         run,
-        "block long, bucket int, contexts binary, runs binary, words binary, low binary, counts binary",
+        "block long, bucket int, contexts binary, runs binary, words binary, shorter binary, base binary, counts binary",
     )
 
 
-def _add_up(asked: DataFrame, tasks: int, numbered: bool) -> DataFrame:
-    """Answers to blocks, with the words' numbers if ``numbered``; sums of divided contexts under block -2, and of the level under -1."""
+def _add_up(asked: DataFrame, tasks: int, shorter: Level | None) -> DataFrame:
+    """Answers to blocks, on the first level with the words' numbers; ``shorter`` is the level below. Sums of divided contexts under block -2, and of the level under -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[dict]] = {}
@@ -388,8 +414,8 @@ def _add_up(asked: DataFrame, tasks: int, numbered: bool) -> DataFrame:
         while held:
             bucket, rows = held.popitem()
             out = list(answer(bucket, rows))
-            schema = [pa.int64(), pa.int32(), *[pa.binary()] * 4, pa.int64(), pa.list_(pa.float64())]
-            names = ["block", "bucket", "counts", "followers", "mass", "ranks", "context", "sums"]
+            schema = [pa.int64(), pa.int32(), *[pa.binary()] * 5, pa.int64(), pa.list_(pa.float64())]
+            names = ["block", "bucket", "counts", "whole", "followers", "mass", "ranks", "context", "sums"]
             for k in range(0, len(out), 256):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 256]), schema)], names=names)
 
@@ -398,7 +424,12 @@ def _add_up(asked: DataFrame, tasks: int, numbered: bool) -> DataFrame:
         runs = [_unpack(r["runs"], np.uint32).astype(np.int64) for r in rows]
         each = np.concatenate([np.repeat(c, n >> 1) for c, n in zip(contexts, runs)])
         word = np.concatenate([_unpack(r["words"], np.uint64) for r in rows])
-        low = np.concatenate([_unpack_values(r["low"]) for r in rows])
+        if shorter:
+            often = np.concatenate([_unpack(r["shorter"], np.uint32) for r in rows]).astype(np.int64)
+            # Only what is said of n-grams that occur is used.
+            low = _discounted(often, shorter.discounts) / np.concatenate([_unpack(r["base"], np.uint64) for r in rows])
+        else:
+            low = np.zeros(len(word))
         count = np.concatenate([_unpack(r["counts"], np.uint32) for r in rows]).astype(np.int64)
         hot = np.concatenate([np.repeat(n & 1, n >> 1) for n in runs])
         order = np.lexsort((word, each))
@@ -417,20 +448,23 @@ def _add_up(asked: DataFrame, tasks: int, numbered: bool) -> DataFrame:
         followers = np.bincount(groups[small] * CUT + total[small] - 1, minlength=n * CUT).reshape(n, CUT)
         mass = np.bincount(groups[seen], weights=low[order[new[seen]]], minlength=n)
         names = sorted_context[new_context]
+        of_context = np.add.reduceat(total, np.flatnonzero(new_context[new]))
         at = 0
         for r, c, m in zip(rows, contexts, runs):
             size = int((m >> 1).sum())
             place = np.searchsorted(names, c)
             # Words of the first level are asked in order, so their ranks rise.
-            own = _pack(_small(np.diff(rank[at : at + size], prepend=0))) if numbered else None
-            packed = _pack(_small(every[at : at + size])), _pack(_small(followers[place].ravel())), _pack_values(mass[place]), own
-            yield r["block"], bucket, *packed, None, None
+            own = None if shorter else _pack(_small(np.diff(rank[at : at + size], prepend=0)))
+            whole = np.add.reduceat(every[at : at + size], np.cumsum(m >> 1) - (m >> 1)) == of_context[place]
+            place = place[~whole]
+            told = (_pack(_small(followers[place].ravel())), _pack_values(mass[place])) if len(place) else (None, None)
+            yield r["block"], bucket, _pack(_small(every[at : at + size])), np.packbits(whole).tobytes(), *told, own, None, None
             at += size
         divided = np.unique(groups[np.searchsorted(new, np.flatnonzero(hot[order]), "right") - 1])
         for k in divided.tolist():
-            yield -2, bucket, None, None, None, None, int(names[k : k + 1].view(np.int64)[0]), [*followers[k].astype(float), float(mass[k])]
+            yield -2, bucket, None, None, None, None, None, int(names[k : k + 1].view(np.int64)[0]), [*followers[k].astype(float), float(mass[k])]
         often = np.bincount(np.minimum(total[seen], CUT + 2), minlength=CUT + 3)[1 : CUT + 2]
-        yield -1, bucket, None, None, None, None, None, [*often.astype(float), float(len(seen))]
+        yield -1, bucket, None, None, None, None, None, None, [*often.astype(float), float(len(seen))]
 
     return asked.repartition(tasks, "bucket").mapInArrow(run, _ANSWER)
 
@@ -467,14 +501,13 @@ def score_documents(
     found = blocks.agg(
         F.coalesce(F.sum("train_tokens"), F.lit(0)), F.coalesce(F.sum("train_docs"), F.lit(0)), F.sum(F.size("ids"))
     ).first()
-    totals, hot_from = Totals(found[0], found[1], 0), max(2.0, found[0] * hot_share)
+    totals, hot_from = Totals(found[0], found[1], 0), max(2.0, found[0] * hot_share, bucket_ngrams * HOT_IN_BUCKET)
     levels, answers = [], []
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Blocks hold at most their tokens in distinct n-grams.
+    buckets = max(-(-totals.tokens // bucket_ngrams), 1)
     for n in range(1, order + 1):
-        # Blocks hold at most their tokens in distinct n-grams.
-        buckets = max(shuffles, -(-totals.tokens // bucket_ngrams), 1)
         asked = _ask(_with_answers(blocks, answers), levels, totals, buckets, hot_from)
-        answers.append(staged(_add_up(asked, buckets, n == 1), f"level-{n}", heavy=True))
+        answers.append(staged(_add_up(asked, buckets, levels[-1] if levels else None), f"level-{n}", heavy=True))
         level, types = _summed(answers[-1], buckets)
         levels.append(level)
         if n == 1:

@@ -106,3 +106,37 @@ def test_empty_and_untrained(docs_of):
     only = next(i for i in range(50) if held(i))
     (row,) = K.score_documents(docs_of([(only, "a b")])).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.score) == (3, 0, 0, 0.0)
+
+
+def test_divided_contexts_and_packing_grow_with_the_text(docs_of, monkeypatch):
+    """Rows do not grow with contexts times buckets, nor an n-gram's bytes with the number of buckets."""
+    rnd = random.Random(5)
+    rows = [(k, " ".join(f"w{int(rnd.paretovariate(0.8))}" for _ in range(300))) for k in range(80)]
+    seen = {}
+
+    def put(df, name, heavy=False):
+        seen[name] = staged(df, name, heavy)
+        return seen[name]
+
+    staged = K.staged
+    monkeypatch.setattr(K, "staged", put)
+    spark = (docs := docs_of(rows)).sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 200)
+        K.score_documents(docs, 2, 2000, 4000, 1 / 1000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    blocks = seen["blocks"].count()
+    for level in ("level-1", "level-2"):
+        divided = seen[level].where("block = -2").count()
+        assert 0 < divided <= 2 * 8 * 24_080 / 4000
+        assert seen[level].where("block >= 0").count() <= blocks * 7
+
+
+def test_packed_numbers():
+    rnd = np.random.default_rng(1)
+    for x in (rnd.random(1000), rnd.choice(rnd.random(9), 1000), np.zeros(5), rnd.random(1)):
+        assert (K._unpack_values(K._pack_values(x)) == x).all()
+    # Numbers that all differ take no dictionary beside them.
+    assert len(K._pack_values(rnd.random(1000))) < 8200
