@@ -28,6 +28,7 @@ larger blocks and buckets.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import reduce
 from typing import NamedTuple
@@ -51,6 +52,8 @@ BUCKET_NGRAMS = 1_000_000
 #: A context with this share of the tokens, and so many in a bucket's n-grams, is divided.
 HOT_SHARE = 1 / 20_000
 HOT_IN_BUCKET = 1 / 8
+#: Rows of texts, and numbers of a block, that are worked on at a time.
+TEXT_ROWS, SLICE = 500, 1 << 16
 #: Documents with crc32(id) mod 7 = 2 are held out of training.
 FOLDS, HELD_OUT = 7, 2
 END = xxhash.xxh64_intdigest(b"")
@@ -154,10 +157,11 @@ def grams(block: Block, lower: Grams | None, names: np.ndarray | None = None) ->
         first[at[::-1]] = np.arange(len(at))[::-1]
         context, shorter, hashed = np.zeros(n, np.int64), np.zeros(n, np.int64), names
     else:
-        before = np.where(begins, np.arange(len(begins)), np.arange(len(begins)) - 1)
-        pair = lower.at[before].astype(np.int64) * len(block.vocab) + block.tokens
-        _, first, at = np.unique(pair, return_index=True, return_inverse=True)
-        context, shorter = lower.at[before][first], lower.at[first]
+        before = np.arange(len(begins), dtype=np.int32) - ~begins
+        _, first, at = np.unique(
+            lower.at[before].astype(np.int64) * len(block.vocab) + block.tokens, return_index=True, return_inverse=True
+        )
+        at, context, shorter = at.astype(np.int32), lower.at[before[first]], lower.at[first]
         hashed = _chain(lower.hashed[context], names[block.tokens[first]])
     count = np.bincount(at[block.trained], minlength=len(first))
     return Grams(at, hashed, context, shorter, names[block.tokens[first]], count, ~begins[first])
@@ -233,20 +237,34 @@ class Evaluated(NamedTuple):
     probability: np.ndarray
 
 
+def _base_and_probability(count, of_context, left, seen, low, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By n-gram, a slice at a time; ``low`` is the lower-order probability."""
+    base, probability = np.empty(len(count), np.int64), np.empty(len(count))
+    for lo in range(0, len(count), SLICE):
+        at = slice(lo, lo + SLICE)
+        none = left[at] <= 0
+        with np.errstate(divide="ignore", invalid="ignore"):
+            base[at] = of_context[at] + none
+            backoff = np.where(none, 1.0, left[at]) / base[at] / (1 - seen[at])
+            p = np.where(count[at] > 0, _discounted(count[at], d) / base[at], backoff * low[at])
+        probability[at] = np.where(of_context[at] > 0, p, low[at])
+    return base, probability
+
+
 def evaluate(block: Block, answers: dict[int, dict[int, tuple]], levels: list[Level], totals: Totals, hot_from: float) -> list[Evaluated]:
     """Global counts and probabilities of a block's n-grams, shortest first."""
     done: list[Evaluated] = []
     for n, level in enumerate(levels, 1):
         lower = done[-1] if done else None
         g = grams(block, lower.grams if lower else None, done[0].grams.word if done else None)
-        low = lower.probability[g.shorter] if lower else np.ones(len(g.hashed))
         asked, context, bucket = _split(
             n, g, lower.grams if lower else None, lower.count if lower else None, level.buckets, hot_from
         )
+        low = lower.probability[g.shorter] if lower else np.ones(len(g.hashed))
         count, left, seen = np.zeros(len(g.hashed), np.int64), np.zeros(len(g.hashed)), np.zeros(len(g.hashed))
         # What discounting leaves over for each follower that occurs 1 to CUT times.
         spare = (1 - level.discounts) * np.arange(1, CUT + 1)
-        names = np.full(len(g.hashed), START, np.uint64)
+        names = None if lower else np.full(len(g.hashed), START, np.uint64)
         for b, (counts, whole, followers, mass, ranks) in answers.get(n, {}).items():
             lo, hi = np.searchsorted(bucket, [b, b + 1])
             at = asked[lo:hi]
@@ -267,23 +285,23 @@ def evaluate(block: Block, answers: dict[int, dict[int, tuple]], levels: list[Le
             # What buckets know of a divided context is a part; the sums are complete.
             keys = np.array(sorted(level.hot), np.uint64)
             sums = np.array([level.hot[int(k)] for k in keys])
-            slot = np.minimum(np.searchsorted(keys, context), len(keys) - 1)
-            known = keys[slot] == context
-            left[asked[known]], seen[asked[known]] = (sums[:, :CUT] @ spare)[slot[known]], sums[slot[known], CUT]
+            for lo in range(0, len(context), SLICE):
+                own, at = context[lo : lo + SLICE], asked[lo : lo + SLICE]
+                slot = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                known = keys[slot] == own
+                left[at[known]], seen[at[known]] = (sums[:, :CUT] @ spare)[slot[known]], sums[slot[known], CUT]
+        del asked, context, bucket
         if lower is None:
             of_context, seen = np.full(len(count), totals.tokens), np.zeros(len(count))
         else:
             of_context = lower.count[g.context]
-        none = left <= 0
-        with np.errstate(divide="ignore", invalid="ignore"):
-            base = of_context + none
-            backoff = np.where(none, 1.0, left) / base / (1 - seen)
-            p = np.where(count > 0, _discounted(count, level.discounts) / base, backoff * low)
-        p = np.where(of_context > 0, p, low)
+        base, p = _base_and_probability(count, of_context, left, seen, low, level.discounts)
         if lower is None:
             g = g._replace(hashed=names, word=names)
         # The start mark is no event; as a context it occurs once per training document.
-        done.append(Evaluated(g, np.where(g.real, count, totals.documents), base, p))
+        count[~g.real] = totals.documents
+        done.append(Evaluated(g, count, base, p))
+        del low, left, seen, of_context
     return done
 
 
@@ -294,29 +312,31 @@ def _blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        ids, trained, hashes, held = [], [], [], 0
+        ids, trained, lengths, hashes = [], [], [], array("Q")
         digest = xxhash.xxh64_intdigest
 
         def flush() -> pa.RecordBatch:
-            nonlocal number
-            vocab, tokens, often = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+            nonlocal number, ids, trained, lengths, hashes
+            every, hashes = np.frombuffer(hashes, np.uint64), array("Q")
+            vocab, tokens, often = np.unique(every, return_inverse=True, return_counts=True)
+            del every
             # Frequent words have small numbers, which pack well; words equally frequent stay in order of their hash.
             order = np.argsort(-often, kind="stable")
             place = np.empty(len(order), np.int32)
             place[order] = np.arange(len(order))
             vocab, tokens = vocab[order], place[tokens]
-            lengths = np.array([len(h) for h in hashes], np.int32)
+            sizes, train = np.array(lengths, np.int32), np.array(trained, np.uint8)
             row = [
                 pa.array([number]),
                 pa.array([ids], pa.list_(id_type)),
                 *[pa.array([x], pa.binary()) for x in (
-                    _pack(np.diff(vocab, prepend=np.uint64(0))), _pack(tokens), _pack(lengths),
-                    _pack(np.array(trained, np.uint8)),
+                    _pack(np.diff(vocab, prepend=np.uint64(0))), _pack(tokens), _pack(sizes), _pack(train),
                 )],
-                pa.array([int(lengths[np.array(trained, bool)].sum() - sum(trained))]),
+                pa.array([int(sizes[train > 0].sum() - sum(trained))]),
                 pa.array([int(sum(trained))]),
             ]
             number += 1
+            ids, trained, lengths = [], [], []
             return pa.RecordBatch.from_arrays(
                 row, names=["block", "ids", "vocab", "tokens", "lengths", "train", "train_tokens", "train_docs"]
             )
@@ -324,15 +344,15 @@ def _blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
         id_type = None
         for b in batches:
             id_type = b.schema.field("doc_id").type
-            for doc_id, t, text in zip(*(c.to_pylist() for c in b.columns)):
-                words = text.lower().split()
-                hashes.append(np.array([START, *map(digest, words), END], np.uint64))
-                ids.append(doc_id)
-                trained.append(t)
-                held += len(words)
-                if held >= block_tokens:
-                    yield flush()
-                    ids, trained, hashes, held = [], [], [], 0
+            for k in range(0, b.num_rows, TEXT_ROWS):
+                for doc_id, t, text in zip(*(c.to_pylist() for c in b.slice(k, TEXT_ROWS).columns)):
+                    words = text.lower().split()
+                    hashes.extend([START, *map(digest, words), END])
+                    ids.append(doc_id)
+                    trained.append(t)
+                    lengths.append(len(words) + 2)
+                    if len(hashes) - 2 * len(ids) >= block_tokens:
+                        yield flush()
         if ids:
             yield flush()
 
@@ -354,48 +374,56 @@ def _answers_of(row: dict) -> dict[int, dict[int, tuple]]:
     return out
 
 
-def _with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
-    """Blocks with the answers to them; they are as many as a block has n-grams."""
+def _with_answers(blocks: DataFrame, answers: list[DataFrame], tasks: int) -> DataFrame:
+    """Blocks with the answers to them; they are as many as a block has n-grams.
+
+    ``tasks`` is the number of blocks: a task gets its rows in one batch, so there should be few blocks in it.
+    """
     if not answers:
         kind = "array<struct<level:int,bucket:int,counts:binary,whole:binary,followers:binary,mass:binary,ranks:binary>>"
         return blocks.withColumn("answers", F.lit(None).cast(kind))
     rows = [a.where("block >= 0").withColumn("level", F.lit(n)) for n, a in enumerate(answers, 1)]
-    every = reduce(DataFrame.union, rows).groupBy("block")
+    every = reduce(DataFrame.union, rows).repartition(tasks, "block").groupBy("block")
     listed = every.agg(F.collect_list(F.struct(*_LISTED)).alias("answers"))
-    return blocks.join(listed, "block", "left")
+    return blocks.repartition(tasks, "block").join(listed, "block", "left")
 
 
 def _ask(rows: DataFrame, levels: list[Level], totals: Totals | None, buckets: int, hot_from: float) -> DataFrame:
     """Each block's distinct n-grams of the next level, packed by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One call per block, so that its arrays are gone before the next one's are made.
         for row in _rows(batches):
-            block = Block.load(row["vocab"], row["tokens"], row["lengths"], row["train"])
-            done = evaluate(block, _answers_of(row), levels, totals, hot_from)
-            lower = done[-1] if done else None
-            g = grams(block, lower.grams if lower else None, done[0].grams.word if done else None)
-            asked, context, bucket = _split(
-                len(levels) + 1, g, lower.grams if lower else None, lower.count if lower else None, buckets, hot_from
+            yield from ask(row)
+
+    def ask(row: dict) -> Iterator[pa.RecordBatch]:
+        block = Block.load(row["vocab"], row["tokens"], row["lengths"], row["train"])
+        done = evaluate(block, _answers_of(row), levels, totals, hot_from)
+        lower = done[-1] if done else None
+        g = grams(block, lower.grams if lower else None, done[0].grams.word if done else None)
+        del block
+        asked, context, bucket = _split(
+            len(levels) + 1, g, lower.grams if lower else None, lower.count if lower else None, buckets, hot_from
+        )
+        cuts = np.flatnonzero(np.diff(bucket)) + 1
+        for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(asked)]):
+            if lo == hi:
+                continue
+            at, own = asked[lo:hi], context[lo:hi]
+            edge = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            hot = lower.count[g.context[at[edge]]] >= hot_from if lower else np.ones(len(edge), bool)
+            packed = [
+                _pack(np.diff(own[edge], prepend=_EMPTY)),
+                _pack(_small(np.diff(np.r_[edge, len(own)]) * 2 + hot)),
+                _pack(g.word[at]),
+                _pack(_small(lower.count[g.shorter[at]])) if lower else None,
+                _pack(lower.base[g.shorter[at]].astype(np.uint64)) if lower else None,
+                _pack(_small(g.count[at])),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["block"]]), pa.array([int(bucket[lo])], pa.int32()), *[pa.array([p], pa.binary()) for p in packed]],
+                names=["block", "bucket", "contexts", "runs", "words", "shorter", "base", "counts"],
             )
-            hot = lower.count[g.context[asked]] >= hot_from if lower else np.ones(len(asked), bool)
-            cuts = np.flatnonzero(np.diff(bucket)) + 1
-            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(asked)]):
-                if lo == hi:
-                    continue
-                at, own = asked[lo:hi], context[lo:hi]
-                edge = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                packed = [
-                    _pack(np.diff(own[edge], prepend=_EMPTY)),
-                    _pack(_small(np.diff(np.r_[edge, len(own)]) * 2 + hot[lo:hi][edge])),
-                    _pack(g.word[at]),
-                    _pack(_small(lower.count[g.shorter[at]])) if lower else None,
-                    _pack(lower.base[g.shorter[at]].astype(np.uint64)) if lower else None,
-                    _pack(_small(g.count[at])),
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["block"]]), pa.array([int(bucket[lo])], pa.int32()), *[pa.array([p], pa.binary()) for p in packed]],
-                    names=["block", "bucket", "contexts", "runs", "words", "shorter", "base", "counts"],
-                )
 
     return rows.mapInArrow(
         run,
@@ -412,12 +440,14 @@ def _add_up(asked: DataFrame, tasks: int, shorter: Level | None) -> DataFrame:
             for row in b.to_pylist():
                 held.setdefault(row["bucket"], []).append(row)
         while held:
-            bucket, rows = held.popitem()
-            out = list(answer(bucket, rows))
-            schema = [pa.int64(), pa.int32(), *[pa.binary()] * 5, pa.int64(), pa.list_(pa.float64())]
-            names = ["block", "bucket", "counts", "whole", "followers", "mass", "ranks", "context", "sums"]
-            for k in range(0, len(out), 256):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 256]), schema)], names=names)
+            yield from told_by(*held.popitem())
+
+    def told_by(bucket: int, rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        out = list(answer(bucket, rows))
+        schema = [pa.int64(), pa.int32(), *[pa.binary()] * 5, pa.int64(), pa.list_(pa.float64())]
+        names = ["block", "bucket", "counts", "whole", "followers", "mass", "ranks", "context", "sums"]
+        for k in range(0, len(out), 256):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 256]), schema)], names=names)
 
     def answer(bucket: int, rows: list[dict]) -> Iterator[tuple]:
         contexts = [np.cumsum(_unpack(r["contexts"], np.uint64)) for r in rows]
@@ -425,21 +455,25 @@ def _add_up(asked: DataFrame, tasks: int, shorter: Level | None) -> DataFrame:
         each = np.concatenate([np.repeat(c, n >> 1) for c, n in zip(contexts, runs)])
         word = np.concatenate([_unpack(r["words"], np.uint64) for r in rows])
         if shorter:
-            often = np.concatenate([_unpack(r["shorter"], np.uint32) for r in rows]).astype(np.int64)
             # Only what is said of n-grams that occur is used.
-            low = _discounted(often, shorter.discounts) / np.concatenate([_unpack(r["base"], np.uint64) for r in rows])
+            low = np.concatenate([
+                _discounted(_unpack(r["shorter"], np.uint32), shorter.discounts) / _unpack(r["base"], np.uint64) for r in rows
+            ])
         else:
             low = np.zeros(len(word))
-        count = np.concatenate([_unpack(r["counts"], np.uint32) for r in rows]).astype(np.int64)
+        count = np.concatenate([_unpack(r["counts"], np.uint32) for r in rows])
         hot = np.concatenate([np.repeat(n & 1, n >> 1) for n in runs])
         order = np.lexsort((word, each))
         sorted_context, sorted_word = each[order], word[order]
         new_context = np.r_[True, sorted_context[1:] != sorted_context[:-1]]
         new = np.flatnonzero(new_context | np.r_[True, sorted_word[1:] != sorted_word[:-1]])
-        total = np.add.reduceat(count[order], new)
+        names = sorted_context[new_context]
+        del each, word, sorted_context, sorted_word
+        total = np.add.reduceat(count[order], new, dtype=np.int64)
+        del count
         sizes = np.diff(np.r_[new, len(order)])
-        every, rank = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
-        every[order], rank[order] = np.repeat(total, sizes), np.repeat(np.arange(len(new)), sizes)
+        every, rank = np.empty(len(order), np.uint32), np.empty(len(order), np.uint32)
+        every[order], rank[order] = np.repeat(_small(total), sizes), np.repeat(_small(np.arange(len(new))), sizes)
         # Per context: followers by count, and the lower-order probability of those seen.
         groups = np.cumsum(new_context[new]) - 1
         seen = np.flatnonzero(total > 0)
@@ -447,18 +481,17 @@ def _add_up(asked: DataFrame, tasks: int, shorter: Level | None) -> DataFrame:
         n = int(groups[-1]) + 1
         followers = np.bincount(groups[small] * CUT + total[small] - 1, minlength=n * CUT).reshape(n, CUT)
         mass = np.bincount(groups[seen], weights=low[order[new[seen]]], minlength=n)
-        names = sorted_context[new_context]
         of_context = np.add.reduceat(total, np.flatnonzero(new_context[new]))
         at = 0
         for r, c, m in zip(rows, contexts, runs):
             size = int((m >> 1).sum())
             place = np.searchsorted(names, c)
             # Words of the first level are asked in order, so their ranks rise.
-            own = None if shorter else _pack(_small(np.diff(rank[at : at + size], prepend=0)))
-            whole = np.add.reduceat(every[at : at + size], np.cumsum(m >> 1) - (m >> 1)) == of_context[place]
+            own = None if shorter else _pack(np.diff(rank[at : at + size], prepend=np.uint32(0)))
+            whole = np.add.reduceat(every[at : at + size], np.cumsum(m >> 1) - (m >> 1), dtype=np.int64) == of_context[place]
             place = place[~whole]
             told = (_pack(_small(followers[place].ravel())), _pack_values(mass[place])) if len(place) else (None, None)
-            yield r["block"], bucket, _pack(_small(every[at : at + size])), np.packbits(whole).tobytes(), *told, own, None, None
+            yield r["block"], bucket, _pack(every[at : at + size]), np.packbits(whole).tobytes(), *told, own, None, None
             at += size
         divided = np.unique(groups[np.searchsorted(new, np.flatnonzero(hot[order]), "right") - 1])
         for k in divided.tolist():
@@ -478,6 +511,29 @@ def _summed(answers: DataFrame, buckets: int) -> tuple[Level, int]:
     return Level(discounts(np.array(whole[: CUT + 1])), hot, buckets), int(whole[CUT + 1])
 
 
+def _scores(row: dict, levels: list[Level], totals: Totals, hot_from: float) -> list[np.ndarray]:
+    """Columns of a block's documents, from ``held_out`` on. What it takes in memory is gone when it returns."""
+    block = Block.load(row["vocab"], row["tokens"], row["lengths"], row["train"])
+    done = evaluate(block, _answers_of(row), levels, totals, hot_from)
+    first, last = done[0], done[-1]
+    del done
+    n, real = len(row["ids"]), ~block.begins
+    of = block.document[real]
+    p = last.probability[last.grams.at[real]]
+    del last
+    count = first.count[first.grams.at[real]]
+    scored = np.bincount(of, weights=np.log10(p, out=p), minlength=n)
+    base = np.bincount(of, weights=np.log10((count + 1) / (totals.tokens + totals.types + 1)), minlength=n)
+    return [
+        _unpack(row["train"], np.uint8) == 0,
+        np.bincount(of, minlength=n),
+        np.bincount(of[count > 0], minlength=n),
+        np.full(n, totals.tokens, np.int64),
+        base,
+        scored,
+    ]
+
+
 def score_documents(
     docs: DataFrame,
     order: int = ORDER,
@@ -499,14 +555,15 @@ def score_documents(
     spark = docs.sparkSession
     blocks = staged(_blocks(docs, block_tokens), "blocks")
     found = blocks.agg(
-        F.coalesce(F.sum("train_tokens"), F.lit(0)), F.coalesce(F.sum("train_docs"), F.lit(0)), F.sum(F.size("ids"))
+        F.coalesce(F.sum("train_tokens"), F.lit(0)), F.coalesce(F.sum("train_docs"), F.lit(0)), F.count("*")
     ).first()
-    totals, hot_from = Totals(found[0], found[1], 0), max(2.0, found[0] * hot_share, bucket_ngrams * HOT_IN_BUCKET)
+    totals, tasks = Totals(found[0], found[1], 0), max(found[2], 1)
+    hot_from = max(2.0, found[0] * hot_share, bucket_ngrams * HOT_IN_BUCKET)
     levels, answers = [], []
     # Blocks hold at most their tokens in distinct n-grams.
     buckets = max(-(-totals.tokens // bucket_ngrams), 1)
     for n in range(1, order + 1):
-        asked = _ask(_with_answers(blocks, answers), levels, totals, buckets, hot_from)
+        asked = _ask(_with_answers(blocks, answers, tasks), levels, totals, buckets, hot_from)
         answers.append(staged(_add_up(asked, buckets, levels[-1] if levels else None), f"level-{n}", heavy=True))
         level, types = _summed(answers[-1], buckets)
         levels.append(level)
@@ -517,24 +574,9 @@ def score_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            block = Block.load(row["vocab"], row["tokens"], row["lengths"], row["train"])
-            done = evaluate(block, _answers_of(row), levels, totals, hot_from)
-            real, of = ~block.begins, block.document
-            n = len(row["ids"])
-            count, p = done[0].count[done[0].grams.at], done[-1].probability[done[-1].grams.at]
-            base = np.log10((count + 1) / (totals.tokens + totals.types + 1))
-            add = lambda x: np.bincount(of[real], weights=x[real], minlength=n)
-            columns = [
-                pa.array(row["ids"], id_type),
-                pa.array(_unpack(row["train"], np.uint8) == 0),
-                pa.array(np.bincount(of[real], minlength=n)),
-                pa.array(np.bincount(of[real & (count > 0)], minlength=n)),
-                pa.array(np.full(n, totals.tokens, np.int64)),
-                pa.array(add(base)),
-                pa.array(add(np.log10(p, where=real, out=np.zeros(len(p))))),
-            ]
+            columns = [pa.array(row["ids"], id_type), *map(pa.array, _scores(row, levels, totals, hot_from))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     schema = f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return _with_answers(blocks, answers).mapInArrow(run, schema)
+    return _with_answers(blocks, answers, tasks).mapInArrow(run, schema)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from poseval.llm import katz as K
+from pyspark.sql import functions as F
 
 
 def words_of(text):
@@ -140,3 +142,41 @@ def test_packed_numbers():
         assert (K._unpack_values(K._pack_values(x)) == x).all()
     # Numbers that all differ take no dictionary beside them.
     assert len(K._pack_values(rnd.random(1000))) < 8200
+
+
+def test_a_task_holds_one_block_at_a_time(docs_of, monkeypatch):
+    """Blocks come in as many tasks as there are blocks, and what one takes in memory is gone before the next."""
+    rnd = random.Random(3)
+    docs = docs_of([(k, " ".join(f"w{int(rnd.paretovariate(0.5)) % 50_000}" for _ in range(500))) for k in range(160)])
+    calls, kept = [], type(docs).mapInArrow
+
+    def noted(df, run, *rest):
+        calls.append((df, run))
+        return kept(df, run, *rest)
+
+    def peak(run, batches):
+        tracemalloc.start()
+        for _ in run(iter(batches)):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    monkeypatch.setattr(type(docs), "mapInArrow", noted)
+    spark, before = docs.sparkSession, docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 1)
+        scores = K.score_documents(docs.coalesce(1), 2, 10_000, 10_000)
+        assert scores.count() == 160
+        assert scores.select(F.spark_partition_id()).distinct().count() >= 3
+        # Blocks, then asked and answered by level, then scored.
+        assert len(calls) == 6
+        for k in (1, 3, 5):
+            df, run = calls[k]
+            rows = df.toArrow().combine_chunks().to_batches()
+            blocks = [b.slice(i, 1) for b in rows for i in range(b.num_rows)]
+            assert len(blocks) == 8
+            peak(run, blocks[:1])
+            assert peak(run, blocks) < 1.15 * max(peak(run, [b]) for b in blocks), k
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
